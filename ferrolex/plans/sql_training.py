@@ -37,3 +37,34 @@ WHERE n_numbers >= 20 AND n_top / n_numbers > 0.3
 UNION ALL
 SELECT load_id, column_name, 'shape' FROM m WHERE n_texts >= 20 AND shape IS NOT NULL AND n_odd / n_texts > 0.05
 """
+
+_DOCS = """
+WITH v AS (SELECT cache_id, CAST(payload AS JSON) AS j FROM mp_cache WHERE json_valid(payload)),
+b AS (
+  SELECT cache_id, CASE WHEN json_type(j) = 'ARRAY' THEN j
+    WHEN json_type(j) = 'OBJECT' AND json_exists(j, '$.material_id') THEN json_array(j)
+    WHEN json_type(j) = 'OBJECT' THEN json_extract(j, '$.data') END AS docs
+  FROM v
+),
+doc AS (
+  SELECT cache_id, CAST(e.key AS INTEGER) AS doc_pos, e.value AS d FROM b, json_each(b.docs) e WHERE b.docs IS NOT NULL
+)
+"""
+
+P5_FOUND = (
+    _DOCS
+    + """
+SELECT cache_id, doc_pos, substr(t.fullkey, 3) AS leaf_path
+FROM doc, json_tree(doc.d) t
+WHERE t.atom IS NOT NULL AND t.type NOT IN ('NULL', 'OBJECT', 'ARRAY')
+  AND regexp_matches(t.fullkey, '^\\$\\.(symmetry|bulk_modulus|shear_modulus|origins)[.\\[]')
+"""
+)
+
+P5_ORIGINS = (
+    _DOCS
+    + """
+SELECT cache_id, doc_pos, CAST(o.key AS INTEGER) AS origins_pos, o.value->>'$.name' AS name, o.value->>'$.task_id' AS task_id
+FROM doc, json_each(doc.d, '$.origins') o
+"""
+)
