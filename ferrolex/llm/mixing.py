@@ -180,8 +180,8 @@ def _shares(spark: SparkSession, selection: DataFrame, wanted: dict[str, tuple[f
     rows = [(s, share, passes, int(tokens.get(s, 0))) for s, (share, passes) in wanted.items()]
     listed = spark.createDataFrame(rows, "source string, target_share double, max_repeats int, tokens_available bigint")
     t = listed.join(taken, "source", "left").withColumn("tokens_taken", F.coalesce("tokens_taken", F.lit(0)))
-    whole = taken.agg(F.sum("tokens_taken").alias("whole"))
-    return t.join(F.broadcast(whole), F.lit(True), "left").select(
+    whole = W.partitionBy(F.lit(1))  # over the listed sources, MAX_SOURCES rows at most
+    return t.withColumn("whole", F.sum("tokens_taken").over(whole)).select(
         "source", "target_share", F.when(F.coalesce("whole", F.lit(0)) > 0, F.col("tokens_taken") / F.col("whole")).otherwise(0.0).alias("actual_share"),
         "tokens_available", "tokens_taken", "max_repeats", F.coalesce("most_uses", F.lit(0)).alias("most_uses"),
     )

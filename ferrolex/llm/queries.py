@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ferrolex.llm import canonical, mixing, packing
+from ferrolex.llm import canonical, mixing, packing, spam
 from ferrolex.sources.tables import table
 
 FIELDS = ("dopant_or_alloying_element", "deformation_process", "dbtt_definition")
@@ -42,10 +42,18 @@ def p8_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mix(table(spark, d, "documents"), table(spark, d, "mix_target"))[1]
 
 
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return spam.score(table(spark, d, "documents")).where("is_spam").select("doc_id")
+
+
+def p9_scores(spark: SparkSession, d: str) -> DataFrame:
+    return spam.score(table(spark, d, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "p1_found": p1_found, "p1_unmatched": p1_unmatched, "p7_packed": p7_packed, "p7_report": p7_report,
-        "p8_selection": p8_selection, "p8_shares": p8_shares,
+        "p8_selection": p8_selection, "p8_shares": p8_shares, "p9_found": p9_found, "p9_scores": p9_scores,
     }
 
 
