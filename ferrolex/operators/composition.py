@@ -161,11 +161,18 @@ def with_discrete(df: DataFrame, parts: str = "field_parts", notes: str = "field
         F.when(F.col("_mixed"), F.array(F.lit("mixed units of dopants"))).otherwise(none),
         F.when(F.col("_sum") > 1, F.array(F.lit("dopants exceed the whole"))).otherwise(none),
     )
-    x = x.withColumns({
-        parts: F.when(kind == "pure", pure).when(kind.isin("doped", "alloy"), alloyed).cast(PART),
-        notes: F.when(kind.isin("doped", "alloy"), said).otherwise(none),
-    })
-    return x.drop("_all", "_use", "_good", "_wt", "_at", "_by_wt", "_mixed", "_given", "_sum", "_full", "_moles", "_total")
+    found = F.when(kind == "pure", pure).when(kind.isin("doped", "alloy"), alloyed).cast(PART)
+    result = F.struct(found.alias(parts), F.when(kind.isin("doped", "alloy"), said).otherwise(none).alias(notes))
+    return once(x, df.columns, result)
+
+
+def once(df: DataFrame, keep: list[str], result: Column) -> DataFrame:
+    """The columns to keep and the members of a struct, computed once per row behind a generator.
+
+    Without it a filter on the result would be copied into the steps that build it, and they into each other.
+    """
+    kept = [F.col(f"`{c}`") for c in keep]
+    return df.select(*kept, F.explode(F.array(result)).alias("_once")).select(*kept, "_once.*")
 
 
 def with_composition(df: DataFrame) -> DataFrame:
@@ -181,11 +188,9 @@ def with_composition(df: DataFrame) -> DataFrame:
         .when(kind == "pure", "B_pure").otherwise("B_discrete_fields")
     )
     failed = F.when(F.col("_text").isNotNull(), F.array(F.concat(F.lit("cannot read "), "_text"))).otherwise(F.array().cast(NONE))
-    x = x.withColumns({
-        "parts": F.coalesce("_string_parts", "field_parts"), "format_used": used,
-        "composition_warnings": F.when(F.col("_string_parts").isNotNull(), F.array().cast(NONE)).otherwise(F.concat(failed, "field_notes")),
-    })
-    return x.drop("_text", "_string_parts", "field_parts", "field_notes")
+    warnings = F.when(F.col("_string_parts").isNotNull(), F.array().cast(NONE)).otherwise(F.concat(failed, "field_notes"))
+    result = F.struct(F.coalesce("_string_parts", "field_parts").alias("parts"), used.alias("format_used"), warnings.alias("composition_warnings"))
+    return once(x, df.columns, result)
 
 
 def formula_string(parts: Column) -> Column:
