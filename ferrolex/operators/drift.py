@@ -76,8 +76,8 @@ def members(records: DataFrame, record_key: str = "record_id") -> DataFrame:
 
 
 def plain_text(j: Column) -> Column:
-    """A JSON value without its wrapping: a single member of an object is unwrapped, marks are dropped."""
-    inner = F.regexp_replace(j, r'^\{"[^"]*":([^,:{}\[\]]*|"(?:[^"\\]|\\.)*")\}$', "$1")
+    """A JSON value without its wrapping: an object with one member, named in lower case, is unwrapped; marks are dropped."""
+    inner = F.regexp_replace(j, r'^\{"[a-z][A-Za-z_]*":([^,:{}\[\]]*|"(?:[^"\\]|\\.)*")\}$', "$1")
     bare = F.regexp_replace(inner, r'^"(.*)"$', "$1")
     return F.when(bare.rlike(r"^[\[{]"), F.regexp_replace(bare, r'[\[\]{}",:\s]', "")).otherwise(bare)
 
