@@ -106,7 +106,7 @@ PACKED = "grp string, doc_id bigint, item bigint, part int, size bigint, bin int
 
 def pieces(docs: DataFrame, capacity: int, folder: str, vocabulary: str) -> DataFrame:
     """doc_id, n_tokens, part, size: one row per text, or per full container and rest of a text over the capacity."""
-    sized = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), token_count(F.col("text"), folder, vocabulary).alias("n_tokens"))
+    sized = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(token_count(F.col("text"), folder, vocabulary), F.lit(0)).alias("n_tokens"))
     sized = sized.withColumn("item", F.coalesce("doc_id", F.monotonically_increasing_id()))
     full = F.floor((F.col("n_tokens") - 1) / capacity).cast("int")
     parts = F.when(F.col("n_tokens") > capacity, F.sequence(F.lit(0), full)).otherwise(F.array(F.lit(0)))

@@ -6,7 +6,7 @@ page's prediction is the share of its characters in spam blocks; it is smoothed
 on the scale of log odds, and pages above one half come out.
 
 Defined results: null, empty and blank texts are no spam; whole texts count, however long; repeated texts come out
-each; where no weak labels of both kinds exist, the rules themselves judge the blocks. Null hosts form one host.
+each; where there are fewer than LEAST_LABELS weak labels of either kind, the rules themselves judge the blocks. Null hosts form one host.
 Further columns are not read; an empty table gives no rows.
 """
 
@@ -25,6 +25,8 @@ from ferrolex.session import cut
 
 #: Pages in the training sample (expected number; all pages of smaller tables), and blocks used of them at most.
 TRAIN_PAGES, TRAIN_BLOCKS = 4000, 40_000
+#: Weak labels of each kind that training needs.
+LEAST_LABELS = 10
 #: Weight of the host's log odds, and pages of average spam rate added to each host.
 HOST_WEIGHT, HOST_PRIOR = 0.1, 20.0
 
@@ -183,7 +185,7 @@ def train(pages: DataFrame, seed: int = 7) -> BaggedTrees:
     kept = pages if n <= TRAIN_PAGES else pages.where(F.pmod(F.xxhash64("page", F.lit(seed)), F.lit(1 << 30)) < F.lit((TRAIN_PAGES << 30) // n))
     rows = kept.mapInPandas(_block_rows, "page bigint, k int, label int, f array<double>").where("label >= 0")
     sample = rows.orderBy(F.xxhash64("page", "k"), "page", "k").limit(TRAIN_BLOCKS).toPandas()
-    if sample.empty or sample["label"].nunique() < 2:
+    if min((sample["label"] == 0).sum(), (sample["label"] == 1).sum()) < LEAST_LABELS:
         return BaggedTrees()
     return BaggedTrees(seed=seed).fit(np.array(sample["f"].tolist(), dtype=float), sample["label"].to_numpy())
 
