@@ -24,7 +24,7 @@ from ferrolex.llm.trees import BaggedTrees
 from ferrolex.session import cut
 
 #: Pages in the training sample (expected number; all pages of smaller tables), and blocks used of them at most.
-TRAIN_PAGES, TRAIN_BLOCKS = 4000, 40_000
+TRAIN_PAGES, TRAIN_BLOCKS = 4000, 12_000
 #: Weak labels of each kind that training needs.
 LEAST_LABELS = 10
 #: Weight of the host's log odds, and pages of average spam rate added to each host.
@@ -46,19 +46,29 @@ TRADE_WORDS = frozenset(
     "acheter prix promo fabricant fournisseur pas cher ligne livraison vente devis grossiste".split()
 )
 WORD = re.compile(r"[^\W\d_]+(?:[-'][^\W\d_]+)*")
-TOKEN = re.compile(r"\S+")
-LINK = re.compile(r"<a\s[^>]*>[^<]*</a>|\[[^\]]*\]\(\s*\w+://[^)]*\)|\w+://\S+|\b[\w-]+(?:\.[\w-]+)*\.(?:com|net|org|info|example|invalid|test|biz|shop|de|fr)\b(?:/\S*)?")
+#: Lengths are bounded so that no text makes a pattern look at it more than a bounded number of times.
+LINK = re.compile(
+    r"<a\s[^>]{0,500}>[^<]{0,300}</a>|\[[^\]]{0,300}\]\(\s*\w{1,12}://[^)]{0,500}\)|\b\w{1,12}://\S+|"
+    r"\b[\w-]{1,63}(?:\.[\w-]{1,63}){0,6}\.(?:com|net|org|info|example|invalid|test|biz|shop|de|fr)\b(?:/\S*)?"
+)
 TRADE_PHRASE = re.compile(
     r"\b(?:in stock|near me|buy online|best quality|add to (?:cart|basket)|for sale|free shipping|en ligne|pas cher|en stock|à vendre|auf lager|in den warenkorb|"
-    r"see also)\b|^more (?=.* at\b)| at\s*$",
+    r"see also)\b|^more (?=.{1,200} at\b)| at\s*$",
     re.I | re.M,
 )
 HASHTAG = re.compile(r"#\w+")
-SHOP = re.compile(r"add to (?:cart|basket)|\bSKU\b|\bin stock\b|^tags:|^item \d|\b(?:EUR|USD|\$|€) ?\d|in den warenkorb|ajouter au panier|^partner:|^see also:|^more .* at ", re.I | re.M)
+SHOP = re.compile(r"add to (?:cart|basket)|\bSKU\b|\bin stock\b|^tags:|^item \d|\b(?:EUR|USD|\$|€) ?\d|in den warenkorb|ajouter au panier|^partner:|^see also:|^more .{1,200} at ", re.I | re.M)
+LINK_HINTS = ("://", "<a ", ".com", ".net", ".org", ".info", ".example", ".invalid", ".test", ".biz", ".shop", ".de", ".fr")
+TRADE_HINTS = (
+    "add to ", "sku", "in stock", "tags:", "item ", "eur ", "usd", "$", "€", "eur1", "warenkorb", "au panier", "partner:", "see also", "near me", "buy online",
+    "best quality", "for sale", "free shipping", "en ligne", "pas cher", "en stock", "à vendre", "auf lager", " at\n",
+)
+REFERENCE_HINTS = ("et al", "doi", "vol.", "(19", "(20", ", 19", ", 20")
+DIGIT = re.compile(r"\d")
 REFERENCE = re.compile(r"\bet al\b|\bdoi\b|\bvol\. ?\d|\((?:19|20)\d\d\)|, (?:19|20)\d\d\b")
-CRUMBS = re.compile(r"(?:^|\S )[>»|·] \S")
 SENTENCE_END = re.compile(r"[.!?](?:\s|$)")
-SEPARATOR = re.compile(r"[,;|/·•>»]| - ")
+SEPARATORS = ",;|/·•>»"
+LIST_MARK = re.compile(r"\s*(?:[-*•]|\d+[.)])\s")
 CAMEL = re.compile(r"[a-zäöü][A-ZÄÖÜ]")
 FEATURES = (
     "function_share", "trade_share", "link_share", "hashtag_share", "shop_marks", "digit_share", "distinct_share", "separator_rate", "end_rate",
@@ -66,23 +76,33 @@ FEATURES = (
 )
 
 
+def hinted(text: str) -> tuple[bool, bool]:
+    """Whether the text can hold links, and whether it can hold marks or phrases of trade; cheap tests that miss none."""
+    low = text.lower()
+    links = any(h in low for h in LINK_HINTS)
+    return links, any(h in low for h in TRADE_HINTS) or (links and "more " in low)
+
+
 def bare(text: str) -> str:
     """The text without links and set phrases of trade, whose small words say nothing about sentences."""
-    return TRADE_PHRASE.sub(" ", SHOP.sub(" ", LINK.sub(" ", text)))
+    links, trade = hinted(text)
+    if links:
+        text = LINK.sub(" ", text)
+    return TRADE_PHRASE.sub(" ", SHOP.sub(" ", text)) if trade else text
 
 
 def line_class(line: str) -> str:
     """p prose, n numbers, r references, o other."""
     plain = bare(line)
-    tokens = TOKEN.findall(plain)
+    tokens = plain.split()
     words = WORD.findall(plain.lower())
     if len(plain) < 0.6 * len(line) or not tokens:
         return "o"
-    if REFERENCE.search(line):
+    if any(h in line for h in REFERENCE_HINTS) and REFERENCE.search(line):
         return "r"
     if len(words) >= 4 and sum(w in FUNCTION_WORDS for w in words) >= 0.12 * len(words):
         return "p"
-    digits = sum(any(c.isdigit() for c in t) for t in tokens)
+    digits = sum(DIGIT.search(t) is not None for t in tokens)
     return "n" if digits >= 0.5 * len([t for t in tokens if any(c.isalnum() for c in t)]) and len(words) <= 1 + digits else "o"
 
 
@@ -92,7 +112,7 @@ def columns(line: str) -> tuple[int, ...]:
 
 def blocks(text: str) -> list[str]:
     """Runs of like lines; a blank line ends a run. A heading with the columns of the numbers below belongs to them."""
-    lines = text.splitlines(keepends=True)
+    lines = text.replace("\xa0", " ").splitlines(keepends=True)
     kinds = [line_class(x) if x.strip() else "" for x in lines]
     for k in range(len(lines) - 1):
         if kinds[k] in ("o", "p") and kinds[k + 1] == "n" and any(columns(lines[k])) and columns(lines[k]) == columns(lines[k + 1]):
@@ -114,11 +134,13 @@ def blocks(text: str) -> list[str]:
 
 def features(block: str) -> list[float]:
     """The content and link features of one block, in the order of FEATURES."""
-    phrases = len(TRADE_PHRASE.findall(block))
+    links, trade = hinted(block)
+    phrases = len(TRADE_PHRASE.findall(block)) if trade else 0
     words = WORD.findall(bare(block).lower())
-    tokens = TOKEN.findall(block)
+    tokens = block.split()
     lines = [x for x in block.split("\n") if x.strip()] or [block]
     n, m, size = max(1, len(words)), max(1, len(tokens)), max(1, len(block))
+    tagged = "#" in block
     counts: dict[str, int] = {}
     for w in words:
         counts[w] = counts.get(w, 0) + 1
@@ -127,20 +149,20 @@ def features(block: str) -> list[float]:
     return [
         sum(w in FUNCTION_WORDS for w in words) / n,
         min(1.0, (sum(w in TRADE_WORDS for w in words) + 2 * phrases) / (n + 2 * phrases)),
-        sum(len(x) for x in LINK.findall(block)) / size,
-        len(HASHTAG.findall(block)) / m,
-        len(SHOP.findall(block)) / len(lines),
-        sum(any(c.isdigit() for c in t) for t in tokens) / m,
+        sum(len(x) for x in LINK.findall(block)) / size if links else 0.0,
+        len(HASHTAG.findall(block)) / m if tagged else 0.0,
+        len(SHOP.findall(block)) / len(lines) if trade else 0.0,
+        sum(DIGIT.search(t) is not None for t in tokens) / m,
         len(counts) / n,
-        len(SEPARATOR.findall(block)) / m,
+        (sum(map(block.count, SEPARATORS)) + block.count(" - ")) / m,
         len(SENTENCE_END.findall(block)) / m,
-        len(REFERENCE.findall(block)) / len(lines),
+        len(REFERENCE.findall(block)) / len(lines) if any(h in block for h in REFERENCE_HINTS) else 0.0,
         len(words) / len(lines),
         max(counts.values(), default=0) / n,
         float(np.log1p(len(words))),
-        sum(t[:1].isupper() for t in tokens) / m,
-        len(CAMEL.findall(block)) / m,
-        sum(bool(re.match(r"\s*(?:[-*•]|\d+[.)])\s", x)) for x in lines) / len(lines),
+        sum(t[0].isupper() for t in tokens) / m,
+        len(CAMEL.findall(block)) / m if tagged else 0.0,
+        sum(LIST_MARK.match(x) is not None for x in lines) / len(lines),
         1 - len(set(pairs)) / len(pairs) if pairs else 0.0,
         sum(": " in x for x in lines) / len(lines),
     ]
