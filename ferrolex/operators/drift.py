@@ -13,6 +13,7 @@ sketch keeps all records of files up to SAMPLE records and about SAMPLE of large
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from difflib import SequenceMatcher
 
 import pandas as pd
@@ -114,23 +115,22 @@ def likeness(a: str, b: str) -> float:
     return 1.0 if x == y else SequenceMatcher(None, x, y).ratio()
 
 
-def match_keys(group: pd.DataFrame) -> pd.DataFrame:
-    """Changes of one file: rows of side p (previous key), n (new key) and s (overlap)."""
-    file_id = group["file_id"].iloc[0]
-    then = {r.prev_key: r for r in group[group["side"] == "p"].itertuples()}
-    now = {r.key_name: r for r in group[group["side"] == "n"].itertuples()}
-    same = {(r.prev_key, r.key_name): r.n_same for r in group[group["side"] == "s"].itertuples()}
+def match_keys(file_id: int, rows: list[dict]) -> list[tuple]:
+    """Changes of one file, from rows of side p (previous key), n (new key) and s (overlap of two keys)."""
+    then = {r["prev_key"]: r for r in rows if r["side"] == "p"}
+    now = {r["key_name"]: r for r in rows if r["side"] == "n"}
+    same = {(r["prev_key"], r["key_name"]): r["n_same"] for r in rows if r["side"] == "s"}
     common = max([0, *same.values()])
     old, new = sorted(then), sorted(now)
 
     def weight(a: str, b: str) -> float:
         agree = same.get((a, b), 0)
         share = agree / common if common else 0.0
-        comparable = common and then[a].n_values and now[b].n_values
+        comparable = common and then[a]["n_values"] and now[b]["n_values"]
         if a == b:
             return SAME_NAME + share
         alike = likeness(a, b)
-        typed = float(set(then[a].types) == set(now[b].types))
+        typed = float(set(then[a]["types"]) == set(now[b]["types"]))
         if share >= LEAST_OVERLAP:
             return share + NAME_WEIGHT * alike + TYPE_WEIGHT * typed
         if not comparable and a not in now and b not in then and alike >= NAME_ALONE:
@@ -143,18 +143,24 @@ def match_keys(group: pd.DataFrame) -> pd.DataFrame:
         a, b = old[i], new[j]
         if a != b:
             out.append((file_id, a, b, "renamed"))
-        x, y = set(then[a].types), set(now[b].types)
+        x, y = set(then[a]["types"]), set(now[b]["types"])
         if x and y and x != y:
             out.append((file_id, a, b, "retyped"))
     out += [(file_id, old[i], old[i], "removed") for i in range(len(old)) if i not in {p[0] for p in pairs}]
     out += [(file_id, new[j], new[j], "added") for j in range(len(new)) if j not in {p[1] for p in pairs}]
-    return pd.DataFrame(out, columns=["file_id", "prev_key", "key_name", "change_kind"])
+    return out
+
+
+def _match(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for b in batches:
+        out = [c for file_id, rows in zip(b["file_id"], b["rows"]) for c in match_keys(file_id, list(rows))]
+        yield pd.DataFrame(out, columns=["file_id", "prev_key", "key_name", "change_kind"])
 
 
 def changes(files: DataFrame, records: DataFrame) -> DataFrame:
     """file_id, prev_key, key_name, change_kind of each file against the one before it.
 
-    The grouped step sees the keys of two files, never their rows.
+    What is gathered per file are its keys and those of the file before, never rows.
     """
     links = previous_files(files)
     cells = members(records)
@@ -170,7 +176,8 @@ def changes(files: DataFrame, records: DataFrame) -> DataFrame:
         "file_id", F.lit("s").alias("side"), "prev_key", "key_name", F.array().cast("array<string>").alias("types"), F.lit(0).cast("bigint").alias("n_values"), "n_same"
     )
     every = new.unionByName(old).unionByName(same)
-    return every.groupBy("file_id").applyInPandas(match_keys, "file_id bigint, prev_key string, key_name string, change_kind string")
+    gathered = every.groupBy("file_id").agg(F.collect_list(F.struct("side", "prev_key", "key_name", "types", "n_values", "n_same")).alias("rows"))
+    return gathered.mapInPandas(_match, "file_id bigint, prev_key string, key_name string, change_kind string")
 
 
 def lineages(files: DataFrame, found: DataFrame) -> DataFrame:
