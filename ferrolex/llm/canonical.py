@@ -156,22 +156,41 @@ class FieldMatcher:
         return term
 
 
+#: Matchers of this Python process; Spark uses a worker process for many tasks. What they were asked is not kept.
+_MATCHERS: dict[tuple, FieldMatcher] = {}
+
+
+def matcher_of(field: str, terms: tuple) -> FieldMatcher:
+    key = (field, terms)
+    if key not in _MATCHERS:
+        if len(_MATCHERS) >= 16:
+            _MATCHERS.clear()
+        _MATCHERS[key] = FieldMatcher(field, list(terms))
+    return _MATCHERS[key]
+
+
 def mapper(terms_by_field: dict[str, list[tuple[int, str, str | None]]]):
-    """The function for mapInPandas; matchers are built once per worker."""
+    """The function for mapInPandas; values are remembered within a task."""
+    terms = {f: tuple(t) for f, t in terms_by_field.items()}
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        matchers: dict[str, FieldMatcher] = {}
+        from ferrolex.llm.canonical import matcher_of  # the module's own matchers, not a copy sent with this function
+
+        own: dict[str, FieldMatcher] = {}
         memory: dict[tuple[str, str], int] = {}
         for batch in batches:
             out = []
             for field, entry in zip(batch["field_name"], batch["entry"]):
                 found = memory.get((field, entry))
                 if found is None:
-                    if field not in matchers:
-                        matchers[field] = FieldMatcher(field, terms_by_field.get(field, []))
+                    if field not in own:
+                        own[field] = matcher_of(field, terms.get(field, ()))
+                        own[field].near.clear()
                     if len(memory) > MEMORY:
                         memory.clear()
-                    found = memory[field, entry] = matchers[field].term(entry)
+                    found = own[field].term(entry)
+                    if len(entry) < 500:
+                        memory[field, entry] = found
                 out.append(found)
             yield pd.DataFrame({"field_name": batch["field_name"], "row_key": batch["row_key"], "entry": batch["entry"], "term_id": out})
 
