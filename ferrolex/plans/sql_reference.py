@@ -123,6 +123,16 @@ doc AS (
 """
 
 
+ALL_DOCS = """
+v AS (SELECT cache_id, CAST(payload AS JSON) AS j FROM mp_cache WHERE json_valid(payload)),
+b AS (
+  SELECT cache_id, CASE WHEN json_type(j) = 'ARRAY' THEN j WHEN json_type(j) = 'OBJECT' AND json_exists(j, '$.material_id') THEN json_array(j)
+    WHEN json_type(j) = 'OBJECT' THEN json_extract(j, '$.data') END AS docs FROM v
+),
+doc AS (SELECT cache_id, CAST(e.key AS INTEGER) AS doc_pos, e.value AS d FROM b, json_each(b.docs) e WHERE b.docs IS NOT NULL)
+"""
+
+
 def chosen(keyed: str, n: str, by: str) -> str:
     """Phase selection by rank over documents joined with a count of elements."""
     return f"""
@@ -215,6 +225,14 @@ def oracle_sql() -> dict[str, str]:
         "domain_rules": f"SELECT rec_key, {r6('deformation_temperature_k + 273.15')} AS kelvin, {r6('(dbtt_lower_k + dbtt_upper_k) / 2')} AS midpoint, {r6('(dbtt_upper_k - dbtt_lower_k) / 2')} AS half_width, {r6('CASE WHEN degree_of_cold_rolling / 100 < 1 THEN -ln(1 - degree_of_cold_rolling / 100) END')} AS log_strain, pre_existing_dislocation_density_m2 * 1e4 AS density, {r6('1 / nullif(grain_size_l_um, 0) + 1 / nullif(grain_size_t_um, 0) + 1 / nullif(grain_size_s_um, 0)')} AS boundary_area FROM w_dbtt",
         "composition_classes": "WITH x AS (SELECT rec_key, base_material_purity_pct AS p, CASE WHEN dopant_concentration_unit = 'wt%' THEN dopant_concentration WHEN dopant_or_alloying_element IS NULL THEN 0 END AS w FROM w_dbtt) SELECT rec_key, CASE WHEN coalesce(w, 0) = 0 AND p >= 99.9 THEN 'pure' WHEN w < 1 THEN 'doped' WHEN w >= 1 THEN 'alloy' END AS class FROM x",
         "enumerations": "SELECT rec_key, 'composition_type' AS field_name FROM w_dbtt WHERE composition_type NOT IN ('pure', 'doped', 'alloy') UNION ALL SELECT rec_key, 'dopant_concentration_unit' FROM w_dbtt WHERE dopant_concentration_unit NOT IN ('ppm', 'wt%', 'at%') UNION ALL SELECT rec_key, 'grain_size_estimated_dimensions' FROM w_dbtt WHERE grain_size_estimated_dimensions NOT IN ('full_3D', 'two_directions', 'single_direction_only')",
+        "stable_top": f"WITH {ALL_DOCS} SELECT cache_id, doc_pos, d->>'$.material_id' AS material_id, CAST(d->>'$.energy_above_hull' AS DOUBLE) AS e_hull FROM doc WHERE CAST(d->>'$.energy_above_hull' AS DOUBLE) <= 0.1 ORDER BY e_hull, cache_id, doc_pos LIMIT 50",
+        "record_summary": "SELECT rec_key, substr(rpad(coalesce(record_id, 'None'), 12, ' '), 1, 12) || ' ' || substr(coalesce(material_name, 'None'), 1, 60) AS line FROM w_dbtt",
+        "enrich_summary": f"""{COMP}, {KEY}, {DOCS}, {chosen("keys JOIN doc d ON d.cache_key = keys.formula AND NOT heavy AND keys.n > 0", "keys.n", "rec_key")},
+u AS (SELECT rec_key, CASE WHEN NOT bool_or(u IS NULL AND f > 0.01) THEN sum(f * u) / nullif(sum(f) FILTER (WHERE u IS NOT NULL), 0) END AS usfe FROM comp LEFT JOIN (SELECT * FROM {USFES}) USING (el) GROUP BY rec_key),
+fu AS (SELECT DISTINCT rec_key, format_used FROM comp)
+SELECT coalesce(format_used, 'none') AS format_used, CASE WHEN heavy THEN 'W_heavy_alloy_no_DBTT' ELSE 'none' END AS scope, count(*) AS n, count(best.material_id) AS n_phases, {r6('sum(usfe) / 1e3')} AS usfe_sum
+FROM w_dbtt LEFT JOIN fu USING (rec_key) LEFT JOIN keys USING (rec_key) LEFT JOIN best USING (rec_key) LEFT JOIN u USING (rec_key) GROUP BY ALL""",
+        "element_attributes": f"WITH w AS (SELECT * FROM {PROPS} WHERE el = 'W') SELECT attribute, value FROM (VALUES ('atomic_number', '74'), ('lattice_structure', 'BCC'), ('vec', '6'), ('atomic_weight', '183.84'), ('atomic_radius', NULL), ('metallic_radius', (SELECT CAST(metallic_radius AS VARCHAR) FROM w)), ('covalent_radius', NULL), ('melting_point', (SELECT CAST(melting_point AS VARCHAR) FROM w)), ('boiling_point', NULL), ('density', (SELECT CAST(density AS VARCHAR) FROM w)), ('lattice_constant', (SELECT CAST(lattice_constant AS VARCHAR) FROM w)), ('en_pauling', (SELECT CAST(en_pauling AS VARCHAR) FROM w)), ('en_allen', NULL), ('fusion_heat', NULL), ('thermal_conductivity', NULL), ('electron_affinity', NULL)) AS t(attribute, value)",
         "json_props": "WITH e AS (SELECT event_type, CAST(props->>'$.k' AS BIGINT) AS k FROM events) SELECT event_type, count(*) AS n, CAST(sum(k) AS BIGINT) AS k_sum, min(k) AS k_min, max(k) AS k_max FROM e GROUP BY event_type",
         "supplement_concat": "WITH s AS (SELECT extraction_id, string_agg(coalesce(description, ''), chr(10) ORDER BY figure_key) AS t FROM extraction_figure WHERE extraction_id IS NOT NULL GROUP BY extraction_id) SELECT extraction_id, md5(t) AS text_md5, length(t) AS n_chars FROM s",
         "order_mixtures": "WITH x AS (SELECT l_orderkey, split_part(p_type, ' ', 1) AS el, sum(l_quantity) AS q FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY ALL) SELECT l_orderkey, count(*) AS n_components, round(CASE WHEN count(*) > 1 THEN -8.314 * (sum(q * ln(q)) / sum(q) - ln(sum(q))) ELSE 0.0 END + 1e-9, 4) AS entropy FROM x GROUP BY l_orderkey",
