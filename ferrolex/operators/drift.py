@@ -7,8 +7,8 @@ added or removed. Lineages of keys over renames then name one fixed column each.
 
 Defined results: records that are not JSON objects count for nothing; a file without readable records has no keys;
 files without feed or order number are compared with nothing; of files with one order number the lower file_id comes
-first; a type changes only where both files have non-null values. Repeated records count once in the sketches. The
-sketch keeps all records of files up to SAMPLE records and about SAMPLE of larger ones; keys and types use all rows.
+first; a type changes only where both files have non-null values. Repeated records count once in the sketches. Of the record
+ids common to the two files of a pair the sketch keeps all up to SAMPLE and about SAMPLE of more; keys and types use all rows.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ferrolex.functions.matching import best_matching
 
-#: Expected records per file in a sketch; the sampling error of an overlap is below 1 / sqrt(SAMPLE).
+#: Expected common records of two files in their sketch; the sampling error of an overlap is below 1 / sqrt(SAMPLE).
 SAMPLE = 4096
 #: Least share of common records that agree for content to count as going on, and the bonus of an unchanged name.
 LEAST_OVERLAP, SAME_NAME, NAME_WEIGHT, TYPE_WEIGHT = 0.3, 0.5, 0.1, 0.05
@@ -95,19 +95,19 @@ def key_profiles(cells: DataFrame) -> DataFrame:
     return cells.groupBy("file_id", "key_name").agg(F.array_sort(F.collect_set("json_type")).alias("types"), F.count("json_type").alias("n_values"))
 
 
-def overlaps(cells: DataFrame, links: DataFrame, records: DataFrame) -> DataFrame:
+def overlaps(cells: DataFrame, links: DataFrame) -> DataFrame:
     """file_id, prev_key, key_name, n_same: records of the sketch in which the two keys hold the same content."""
-    sizes = records.groupBy("file_id").agg(F.count("*").alias("n"))
-    width = links.join(sizes, "file_id").groupBy("feed_name").agg(F.max("n").alias("widest"))
-    of_file = links.join(width, "feed_name", "left").select("file_id", "prev_id", "widest")
-    sketch = (
-        cells.where("mark is not null and rec is not null").join(of_file, "file_id")
-        .where((F.col("widest") <= SAMPLE) | (F.pmod("rec", F.lit(1 << 20)) < F.lit(SAMPLE << 20) / F.col("widest")))
-        .select("file_id", "prev_id", "rec", "key_name", "mark").distinct()
-    )
-    now = sketch.where("prev_id is not null").select("file_id", F.col("prev_id").alias("at"), "rec", "mark", "key_name")
-    then = sketch.select(F.col("file_id").alias("at"), "rec", "mark", F.col("key_name").alias("prev_key"))
-    return now.join(then, ["at", "rec", "mark"]).groupBy("file_id", "prev_key", "key_name").agg(F.count("*").alias("n_same"))
+    marked = cells.where("mark is not null and rec is not null").select("file_id", "rec", "key_name", "mark").distinct()
+    own = marked.groupBy("file_id", "rec").agg(F.lit(1).alias("one")).select("file_id", "rec")
+    pairs = links.where("prev_id is not null").select("file_id", "prev_id")
+    common = own.join(pairs, "file_id").join(own.withColumnRenamed("file_id", "prev_id"), ["prev_id", "rec"])
+    sizes = common.groupBy("file_id").agg(F.count("*").alias("n_common"))
+    sketch = common.join(sizes, "file_id").where(
+        (F.col("n_common") <= SAMPLE) | (F.pmod("rec", F.lit(1 << 20)) < F.lit(SAMPLE << 20) / F.col("n_common"))
+    )
+    now = marked.join(sketch.select("file_id", "rec"), ["file_id", "rec"])
+    then = marked.withColumnsRenamed({"file_id": "prev_id", "key_name": "prev_key"}).join(sketch.select("file_id", "prev_id", "rec"), ["prev_id", "rec"]).drop("prev_id")
+    return now.join(then, ["file_id", "rec", "mark"]).groupBy("file_id", "prev_key", "key_name").agg(F.count("*").alias("n_same"))
 
 
 def likeness(a: str, b: str) -> float:
@@ -172,7 +172,7 @@ def changes(files: DataFrame, records: DataFrame) -> DataFrame:
     old = profiles.withColumnRenamed("file_id", "prev_id").join(links.select("file_id", "prev_id"), "prev_id").select(
         "file_id", F.lit("p").alias("side"), F.col("key_name").alias("prev_key"), empty.cast("string").alias("key_name"), "types", "n_values", F.lit(0).cast("bigint").alias("n_same")
     )
-    same = overlaps(cells, links, records).select(
+    same = overlaps(cells, links).select(
         "file_id", F.lit("s").alias("side"), "prev_key", "key_name", F.array().cast("array<string>").alias("types"), F.lit(0).cast("bigint").alias("n_values"), "n_same"
     )
     every = new.unionByName(old).unionByName(same)

@@ -59,6 +59,16 @@ def test_large_files_use_a_sample(spark, monkeypatch):
     assert changes(spark, a, b) == {(2, "VEC", "vec_mean", "renamed")}
 
 
+def test_small_files_beside_a_large_one_are_compared_in_full(spark, monkeypatch):
+    monkeypatch.setattr(drift, "SAMPLE", 4)
+    wide = [rec(i, VEC=i * 1.01) for i in range(1000, 3000)]
+    a = [rec(i, VEC=i * 1.01, composition_string=f"W0.{i}1") for i in range(10, 23)]
+    b = [rec(i, electrons_per_atom=i * 1.01, alloy_formula=f"W0.{i}1") for i in range(19, 32)]
+    assert {c for c in changes(spark, wide, a, b) if c[0] == 3} == {
+        (3, "VEC", "electrons_per_atom", "renamed"), (3, "composition_string", "alloy_formula", "renamed"),
+    }
+
+
 def test_order_in_buckets(spark, monkeypatch):
     monkeypatch.setattr(drift, "BUCKET", 2)
     f, _ = feed(spark, [], [], [], [], [])
