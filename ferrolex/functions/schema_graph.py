@@ -8,7 +8,10 @@ from dataclasses import dataclass, field
 
 @dataclass
 class Node:
-    """An element of the schema: kind is object, array, scalar or mixed; `type` is the scalar's type."""
+    """An element of the schema: kind is object, array, scalar or mixed; `type` is the scalar's type.
+
+    A mixed element may have fields and an item beside its scalars, as far as its objects and arrays are known.
+    """
 
     kind: str
     type: str = ""
@@ -76,7 +79,7 @@ def inline(root: Node, name: str) -> Table:
 
     def visit(node: Node) -> None:
         for key, child in node.fields.items():
-            if child.kind == "object" and child.fields:
+            if child.fields:
                 parents[key] += 1
             visit(child)
         if node.item:
@@ -89,16 +92,15 @@ def inline(root: Node, name: str) -> Table:
 
 
 def _fill(table: Table, node: Node, path: tuple[str, ...], parents: Counter, above: tuple[str, ...]) -> None:
-    if node.kind != "object" or not node.fields:
+    if node.kind in ("scalar", "mixed") or not (node.fields or node.item):
         table.leaves.append((path, node))
-        return
+    if node.item:
+        own = Table(f"{table.name}_{'_'.join(path) or 'item'}", path, True)
+        table.children.append(own)
+        _fill(own, node.item, (), parents, above)
     for key, child in node.fields.items():
         at = (*path, key)
-        if child.kind == "array":
-            own = Table(f"{table.name}_{'_'.join(at)}", at, True)
-            table.children.append(own)
-            _fill(own, child.item, (), parents, (*above, key))
-        elif child.kind == "object" and child.fields and (parents[key] > 1 or key in above):
+        if child.fields and (parents[key] > 1 or key in above):
             own = Table(f"{table.name}_{'_'.join(at)}", at, False)
             table.children.append(own)
             _fill(own, child, (), parents, (*above, key))

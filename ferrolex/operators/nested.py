@@ -3,7 +3,8 @@
 An answer is a list of documents, an object that wraps such a list, or one document. Null, blank, cut-off and failed
 answers are kept in the table of answers and give no documents; a document keeps its position in the answer, also
 when others around it are null. Repeated answers are kept under their own keys. Everything runs on VARIANT values
-inside the JVM; the schema graph comes from one mergeable aggregate over the data, or from a schema passed in.
+inside the JVM; the schema graph comes from one mergeable aggregate over the data, and one more for each member that is
+of several kinds, or from a schema passed in.
 """
 
 from __future__ import annotations
@@ -58,22 +59,71 @@ def documents(answers: DataFrame, key: str = "cache_id", payload: str = "payload
     return parsed(answers.select(key, payload), payload).select(key, F.posexplode("docs").alias("doc_pos", "doc"))
 
 
-def schema_plan(docs: DataFrame, schema: str | None = None) -> Table:
-    """The tables by shared inlining. `schema` is a merged VARIANT schema; without it one aggregate finds it."""
-    if schema is None:
-        objects = docs.where(F.schema_of_variant("doc").startswith("OBJECT"))
-        schema = objects.select(F.schema_of_variant_agg("doc").alias("s")).first()["s"]
-    return inline(parse_schema(schema if schema and schema not in ("VOID", "VARIANT") else "OBJECT<>"), "document")
+def schema_plan(docs: DataFrame, schema: str | None = None, roots: tuple[str, ...] | None = None) -> Table:
+    """The tables by shared inlining. `schema` is a merged VARIANT schema; without it aggregates find it.
+
+    With `roots` members of several kinds are looked into below these members only.
+    """
+    if schema is not None:
+        return inline(parse_schema(schema if schema not in ("", "VOID", "VARIANT") else "OBJECT<>"), "document")
+    objects = docs.where(F.schema_of_variant("doc").startswith("OBJECT")).select(F.col("doc").alias("_e"))
+    root = merged(objects)
+    for name, child in root.fields.items():
+        if roots is None or name in roots:
+            root.fields[name] = told_apart(objects, child, (name,))
+    return inline(root, "document")
+
+
+def merged(elements: DataFrame) -> Node:
+    """The node of the elements `_e`: the fields of their objects, the item of their arrays and their scalars side by side."""
+    kind = F.schema_of_variant("_e")
+    part = lambda of_kind, name: F.schema_of_variant_agg(F.when(of_kind, F.col("_e"))).alias(name)
+    found = elements.select(
+        part(kind.startswith("OBJECT"), "o"), part(kind.startswith("ARRAY"), "a"), part(~kind.rlike("^(OBJECT|ARRAY)"), "s")
+    ).first()
+    nodes = [parse_schema(t) for t in found if t and t != "VOID"]
+    if len(nodes) == 1:
+        return nodes[0]
+    fields = {k: v for n in nodes for k, v in n.fields.items()}
+    return Node("mixed" if nodes else "object", "VARIANT" if nodes else "", fields, next((n.item for n in nodes if n.item), None))
+
+
+def several_kinds(node: Node) -> bool:
+    return node.kind == "mixed" or any(map(several_kinds, node.fields.values())) or (node.item is not None and several_kinds(node.item))
+
+
+def told_apart(elements: DataFrame, node: Node, path: tuple[str, ...] = ()) -> Node:
+    """The node at `path` below the elements, with what its members of several kinds hold as objects, arrays and scalars."""
+    if not several_kinds(node):
+        return node
+    if path:
+        elements = elements.select(F.try_variant_get("_e", step(path), "variant").alias("_e")).where("_e is not null")
+    if node.kind == "mixed":
+        node = merged(elements)
+    node.fields = {k: told_apart(elements, child, (k,)) for k, child in node.fields.items()}
+    if node.item is not None and several_kinds(node.item):
+        items = F.when(F.schema_of_variant("_e").startswith("ARRAY"), F.try_variant_get("_e", "$", "array<variant>"))
+        node.item = told_apart(elements.select(F.explode(items).alias("_e")), node.item)
+    return node
+
+
+def scalar_in(inner: Column) -> Column:
+    return ~F.schema_of_variant(inner).rlike("^(OBJECT|ARRAY|VOID)")
 
 
 def value_of(v: Column, path: tuple[str, ...], node: Node) -> Column:
-    """The leaf as a typed column; mixed, nested and void leaves as JSON text, a JSON null as null."""
+    """The leaf as a typed column; mixed, nested and void leaves as JSON text, a JSON null as null.
+
+    Objects and arrays of a mixed leaf that has columns or a table for them are not repeated in it.
+    """
     if node.kind == "scalar" and (t := SCALARS.get(node.type.split("(")[0])):
         return F.try_variant_get(v, step(path), t)
     if node.kind == "scalar" and node.type.startswith("DECIMAL"):
         return F.try_variant_get(v, step(path), "double")
     inner = F.try_variant_get(v, step(path), "variant")
-    return F.when(inner.isNotNull() & ~F.is_variant_null(inner), F.to_json(inner))
+    text = F.when(inner.isNotNull() & ~F.is_variant_null(inner), F.to_json(inner))
+    apart = [k for k, own in (("OBJECT", node.fields), ("ARRAY", node.item)) if own]
+    return F.when(~F.schema_of_variant(inner).rlike(f"^({'|'.join(apart)})"), text) if apart else text
 
 
 def flat_tables(answers: DataFrame, key: str = "cache_id", payload: str = "payload", schema: str | None = None) -> dict[str, DataFrame]:
@@ -96,10 +146,15 @@ def _emit(df: DataFrame, table: Table, keys: list[str], out: dict[str, DataFrame
         name = "_".join(path) or "value"
         seen = names[name.lower()] = names.get(name.lower(), 0) + 1
         columns.append(value_of(F.col("_e"), path, node).alias(name if seen == 1 else f"{name}_{seen}"))
-    out[table.name] = df.select(*keys, *columns)
+    title = table.name
+    while title in out:
+        title += "_2"
+    out[title] = df.select(*keys, *columns)
     for child in table.children:
         if child.repeated:
-            pos = f"{'_'.join(child.path)}_pos"
+            pos = f"{'_'.join(child.path) or 'item'}_pos"
+            while pos in keys:
+                pos += "_2"
             items = F.try_variant_get("_e", step(child.path), "array<variant>")
             _emit(df.select(*keys, F.posexplode(items).alias(pos, "_e")), child, [*keys, pos], out)
         else:
@@ -108,21 +163,24 @@ def _emit(df: DataFrame, table: Table, keys: list[str], out: dict[str, DataFrame
 
 
 def leaves(table: Table, v: Column, prefix: Column, roots: tuple[str, ...] | None) -> Column:
-    """array<string> of the paths of all non-null scalars of the table's element and of its child tables."""
+    """array<string> of the paths of all non-null scalars of the table's element and of its child tables.
+
+    With `roots` only of those below these members, not of the members themselves.
+    """
     parts = []
     for path, node in table.leaves:
-        if roots is not None and (not path or path[0] not in roots):
+        if roots is not None and (len(path) < 2 or path[0] not in roots):
             continue
         full = F.concat(prefix, F.lit((("." if path else "") + ".".join(path))))
         if node.kind == "scalar":
             scalar = F.try_variant_get(v, step(path), "string").isNotNull()
         else:
-            scalar = ~F.schema_of_variant(F.try_variant_get(v, step(path), "variant")).rlike("^(OBJECT|ARRAY|VOID)")
+            scalar = scalar_in(F.try_variant_get(v, step(path), "variant"))
         parts.append(F.array_compact(F.array(F.when(scalar, full))))
     for child in table.children:
-        if roots is not None and child.path[0] not in roots:
+        if roots is not None and (not child.path or child.path[0] not in roots):
             continue
-        at = F.concat(prefix, F.lit("." + ".".join(child.path)))
+        at = F.concat(prefix, F.lit("".join("." + p for p in child.path)))
         if child.repeated:
             items = F.try_variant_get(v, step(child.path), "array<variant>")
             parts.append(F.coalesce(F.flatten(F.transform(items, _inside(child, at))), F.array().cast("array<string>")))
@@ -138,6 +196,6 @@ def _inside(child: Table, at: Column):
 def leaf_paths(answers: DataFrame, roots: tuple[str, ...], key: str = "cache_id", payload: str = "payload", schema: str | None = None) -> DataFrame:
     """key, doc_pos, leaf_path of each non-null scalar below `roots` in each document, through the plan of the tables."""
     docs = documents(answers, key, payload)
-    plan = schema_plan(docs, schema)
+    plan = schema_plan(docs, schema, roots)
     found = leaves(plan, F.col("doc"), F.lit(""), roots)
     return docs.select(key, "doc_pos", F.explode(found).alias("p")).select(key, "doc_pos", F.expr("substring(p, 2)").alias("leaf_path"))

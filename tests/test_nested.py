@@ -33,6 +33,25 @@ def test_mixed_types_and_long_documents(spark):
     assert {(0, "symmetry.number"), (1, "symmetry.number"), (3, "symmetry.number")} <= got
 
 
+def test_members_of_several_kinds_are_found_in_all_documents(spark):
+    docs = [
+        {"material_id": "a", "symmetry": {"number": 1, "deep": {"x": 1}}, "origins": [{"name": "e"}, "odd", [["p", {"q": 2}], 3]], "bulk_modulus": {"vrh": 1}},
+        {"material_id": "b", "symmetry": "cubic", "origins": "n/a", "bulk_modulus": [1.5, None, {"vrh": 2}]},
+        {"material_id": "c", "symmetry": {"number": {"of": [7]}, "deep": "y"}, "origins": [{"name": {"first": "f"}}]},
+    ]
+    df = answers(spark, json.dumps(docs), json.dumps([[1], "x", docs[0]]))
+    first = {"symmetry.number", "symmetry.deep.x", "origins[0].name", "origins[1]", "origins[2][0][0]", "origins[2][0][1].q", "origins[2][1]", "bulk_modulus.vrh"}
+    got = [(r.cache_id, r.doc_pos, r.leaf_path) for r in leaf_paths(df, ROOTS).collect()]
+    assert len(got) == len(set(got))
+    assert {p for c, d, p in got if (c, d) == (0, 0)} == {p for c, d, p in got if (c, d) == (1, 2)} == first
+    assert {p for c, d, p in got if (c, d) == (0, 1)} == {"bulk_modulus[0]", "bulk_modulus[2].vrh"}
+    assert {p for c, d, p in got if (c, d) == (0, 2)} == {"symmetry.number.of[0]", "symmetry.deep", "origins[0].name.first"}
+    t = flat_tables(df)
+    rows = {(r.cache_id, r.doc_pos): r for r in t["document"].collect()}
+    assert rows[0, 1].symmetry == '"cubic"' and rows[0, 0].symmetry is None and rows[0, 0].symmetry_number == "1" and rows[0, 0].symmetry_deep_x == 1
+    assert {(r.origins_pos, r.name) for r in t["document_origins"].where("cache_id = 0 and doc_pos = 0").collect()} == {(0, '"e"'), (1, None), (2, None)}
+
+
 def test_empty(spark):
     assert leaf_paths(answers(spark), ROOTS).count() == 0
     assert leaf_paths(answers(spark, "[]"), ROOTS).count() == 0
