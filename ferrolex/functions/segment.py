@@ -19,6 +19,7 @@ PLAIN = re.compile(r"[,/+·•]")
 BLANKS = re.compile(r"[  ]+")
 NUMBER_LIKE = re.compile(r"\d+")
 BRACKETS = {"(": ")", "[": "]", "{": "}"}
+BRACKET = re.compile(r"[()\[\]{}]")
 QUOTES = {'"': '"', "“": "”", "«": "»", "„": "“", "'": "'", "‘": "’"}
 
 # Symbols and names of elements that are recorded as impurities.
@@ -51,8 +52,6 @@ PHRASES = ("furnace cooled", "by weight", "by atoms", "per pass", "per kg", "(w/
 ONE_VALUE = re.compile(r"^(?:Q*[LB]Q*|Q*[LB]?Q*N[UB]*Q*|Q+|U+|S(?:N[UB]*)?|N[UB]*S)$")
 #: A known value is at most this long; longer stretches are never taken for one value.
 LONGEST_VALUE = 96
-#: Chunks with more blanks than this are split at all of them or none.
-MOST_BLANKS = 60
 
 
 @lru_cache(maxsize=1)
@@ -76,13 +75,14 @@ def guarded(text: str) -> bytearray:
     """1 at each character inside quotes or brackets, the marks included. Marks without a partner guard nothing."""
     mask = bytearray(len(text))
     at, size = 0, len(text)
+    partners = bracket_partners(text)
     while at < size:
         c = text[at]
         end = -1
         if c in QUOTES and (c not in "'‘" or opens_item(text, at)):
             end = closing_quote(text, at, QUOTES[c])
         elif c in BRACKETS:
-            end = closing_bracket(text, at)
+            end = partners.get(at, -1)
         if end > at:
             mask[at : end + 1] = b"\1" * (end + 1 - at)
             at = end
@@ -108,18 +108,17 @@ def closing_quote(text: str, at: int, mark: str) -> int:
     return -1
 
 
-def closing_bracket(text: str, at: int) -> int:
-    """Partner of the bracket at `at`, looked for on nested brackets only as far as a value is long; else -1."""
-    stack = []
-    for k in range(at, min(len(text), at + 4 * LONGEST_VALUE)):
-        c = text[k]
+def bracket_partners(text: str) -> dict[int, int]:
+    """Opening to closing position of each pair of brackets; a bracket within an open one of another kind does not close it."""
+    stack: list[tuple[int, str]] = []
+    partners = {}
+    for m in BRACKET.finditer(text):
+        c = m.group()
         if c in BRACKETS:
-            stack.append(BRACKETS[c])
-        elif stack and c == stack[-1]:
-            stack.pop()
-            if not stack:
-                return k
-    return -1
+            stack.append((m.start(), BRACKETS[c]))
+        elif stack and c == stack[-1][1]:
+            partners[stack.pop()[0]] = m.start()
+    return partners
 
 
 def one_known_value(piece: str) -> bool:
@@ -151,11 +150,11 @@ def best_cover(text: str, start: int, end: int, cuts: list[tuple[int, int, bool]
         choice = (-1e18, j - 1)
         over_plain = False
         for i in range(j - 1, -1, -1):
+            piece = text[stops[i][1] : stops[j][0]]
             if i < j - 1:
                 over_plain = over_plain or not stops[i + 1][2]
-                if stops[j][0] - stops[i][1] > LONGEST_VALUE and over_plain:
+                if len(piece.strip()) > LONGEST_VALUE:
                     break
-            piece = text[stops[i][1] : stops[j][0]]
             known = one_known_value(piece)
             score = (len(piece.strip()) if known else 0) - 0.5
             if not known and over_plain:
@@ -229,8 +228,6 @@ def chunk_pieces(text: str, start: int, end: int, mask: bytearray) -> list[tuple
         words = [(edges[k], edges[k + 1]) for k in range(0, len(edges), 2)]
         if not all(one_known_value(text[x:y]) for x, y in words):
             out.append((a, b))
-        elif len(blanks) > MOST_BLANKS:
-            out += words
         else:
             out += best_cover(text, a, b, blanks)
     return out

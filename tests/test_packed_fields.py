@@ -45,6 +45,16 @@ def test_long_text():
     assert len(split_packed("Fe " * 5_000 + "Ni")) == 5_001
 
 
+def test_entries_of_many_values_are_split_like_short_ones():
+    items = ["Fe 12 ppm", "Ni 5 ppm", "0.5 wt%", "Cu"]
+    for n in (1, 6, 16, 500):
+        assert values(" ".join(items * n)) == items * n
+    inside = ", ".join(f"Fe {k} ppm; Ni" for k in range(100))
+    assert len(inside) > 1000
+    assert values(f"rest ({inside}); Mo") == [f"rest ({inside})", "Mo"]
+    assert values("a (b [c; d; " * 300 + "e")[-1] == "e"
+
+
 def test_operator_edges(spark):
     schema = "rec_key bigint, impurities string, impurity_concentration string, processing_history string, pos string, item string, entry string"
     rows = [(1, "Fe; Ni", None, "a\tb", "x", "y", "z"), (1, "Fe; Ni", "12", "", "x", "y", "z"), (None, "Fe; Ni", None, None, None, None, None)]
