@@ -7,7 +7,8 @@ permutation of the block numbers, and slots are joined with blocks on that numbe
 
 The size of the mix is the largest at which the sources together miss at most `tolerance` of it: a source that is too
 small gives all its passes and holds a lower share, an absent one gives nothing; the shares of the others stay in
-proportion. A text that occurs under several ids is taken once, under its lowest id and with that id's source.
+proportion. The sources that run out first do not bear on the size where the mix without them in the reckoning is more than
+1 + GAIN * w times as large, w being their share together; they give what they have. A text that occurs under several ids is taken once, under its lowest id and with that id's source.
 
 Defined results: texts of unlisted or null sources, null and empty texts are left out; a target without share or
 passes gives nothing; of a source listed twice the row with the larger share counts. Without any usable text both
@@ -32,6 +33,8 @@ BLOCK = 512
 #: Share of the mix by which small sources may fall short together; texts per bucket when offsets are summed up;
 #: slots of a shard at least, and shards at most (larger shards beyond).
 TOLERANCE, BUCKET, LEAST_SLOTS, MOST_SHARDS = 0.01, 20_000, 256, 100_000
+#: How much larger, per share left out of the reckoning of the size, the mix must become by it.
+GAIN = 50
 #: More sources than this are refused.
 MAX_SOURCES = 10_000
 SEED = 20_240_501
@@ -43,16 +46,35 @@ def plan(available: dict[str, int], targets: dict[str, tuple[float, int]], toler
     weight = sum(share for share, _ in usable.values())
     if not usable:
         return {}
-    missing = lambda t: sum(max(0.0, share / weight * t - cap) for share, cap in usable.values())
     if total is None:
-        low, high = 0.0, float(sum(cap for _, cap in usable.values())) / max(1e-9, 1 - tolerance)
-        for _ in range(200):
-            middle = (low + high) / 2
-            low, high = (middle, high) if missing(middle) <= tolerance * middle else (low, middle)
-        total = low
+        total = size_of_mix([(share / weight, float(cap)) for share, cap in usable.values()], tolerance)
     return {s: min(share / weight * total, float(cap)) for s, (share, cap) in usable.items()}
 
 
+def size_of_mix(sources: list[tuple[float, float]], tolerance: float) -> float:
+    """The size for (share, most tokens) of each source.
+
+    With the first k sources to run out left aside, the size is the largest at which the others miss at most `tolerance`
+    of their part; among all k the one with the largest size / (1 + GAIN * share left aside) counts.
+    """
+    ordered = sorted(sources, key=lambda x: x[1] / x[0])
+    ends = [cap / share for share, cap in ordered]
+    share = np.concatenate([[0.0], np.cumsum([x[0] for x in ordered])])
+    most = np.concatenate([[0.0], np.cumsum([x[1] for x in ordered])])
+    best, size = -1.0, 0.0
+    for k in range(len(ordered)):
+        allowed = tolerance * (share[-1] - share[k])
+        low, high = k, len(ordered)  # the first source at whose end the sources from k on miss too much
+        while low < high:
+            m = (low + high) // 2
+            over = (share[m] - share[k] - allowed) * ends[m] > most[m] - most[k]
+            low, high = (low, m) if over else (m + 1, high)
+        t = (most[low] - most[k]) / max(1e-9, share[low] - share[k] - allowed)
+        if (worth := t / (1 + GAIN * share[k])) > best:
+            best, size = worth, float(t)
+    return size
+
+
 def draw(counts: dict[str, int], seed: int = SEED) -> pd.DataFrame:
     """shard, source, n, start: multinomial counts per shard over the slots that each source still has to fill."""
     names = sorted(counts)

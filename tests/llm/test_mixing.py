@@ -1,6 +1,6 @@
 import numpy as np
 
-from ferrolex.llm.mixing import draw, mix, permuted, plan
+from ferrolex.llm.mixing import draw, mix, permuted, plan, size_of_mix
 from ferrolex.llm.tokens import encode
 
 
@@ -23,6 +23,30 @@ def test_plan_and_draw():
         assert (g["start"].to_numpy() == np.concatenate([[0], np.cumsum(g["n"])[:-1]])).all()
 
 
+def test_a_nearly_empty_source_is_sized_like_an_absent_one():
+    targets = {"a": (0.5, 2), "b": (0.485, 1), "c": (0.015, 2)}
+    without = sum(plan({"a": 900_000, "b": 1_000_000}, targets).values())
+    for few in (1, 100, 1_000):
+        given = plan({"a": 900_000, "b": 1_000_000, "c": few}, targets)
+        assert abs(sum(given.values()) / without - 1) < 0.02 and given["c"] == 2 * few
+        assert abs(given["a"] / given["b"] - 0.5 / 0.485) < 0.03
+    large = {"a": (0.4, 2), "b": (0.3, 1), "c": (0.3, 2)}
+    assert sum(plan({"a": 900_000, "b": 1_000_000, "c": 10}, large).values()) > 2_000_000
+    half = plan({"a": 900_000, "b": 1_000_000, "c": 150_000}, large, tolerance=0.0)
+    assert abs(half["c"] / sum(half.values()) - 0.3) < 1e-6
+
+
+def test_size_is_the_largest_within_the_tolerance(monkeypatch):
+    monkeypatch.setattr("ferrolex.llm.mixing.GAIN", 1e12)
+    rng = np.random.default_rng(1)
+    for _ in range(50):
+        share = rng.dirichlet(np.ones(6))
+        caps = rng.random(6) * 1000
+        t = size_of_mix(list(zip(share, caps)), 0.01)
+        missing = [np.maximum(0, share * x - caps).sum() / x for x in (t, t * 1.001)]
+        assert missing[0] <= 0.01 + 1e-9 < missing[1]
+
+
 def corpus(spark):
     rows = [(i, f"text {i} of the first source " * (1 + i % 5), "a", 1, "x") for i in range(300)]
     rows += [(1000 + i, f"another text {i} " * 4, "b", 1, "x") for i in range(40)]
