@@ -8,7 +8,8 @@ permutation of the block numbers, and slots are joined with blocks on that numbe
 The size of the mix is the largest at which the sources together miss at most `tolerance` of it: a source that is too
 small gives all its passes and holds a lower share, an absent one gives nothing; the shares of the others stay in
 proportion. The sources that run out first do not bear on the size where the mix without them in the reckoning is more than
-1 + GAIN * w times as large, w being their share together; they give what they have. A text that occurs under several ids is taken once, under its lowest id and with that id's source.
+1 + GAIN * w times as large, w being their share together; they give what they have. A text that occurs
+under several ids of listed sources is taken once, under the lowest of these ids and with that id's source.
 
 Defined results: texts of unlisted or null sources, null and empty texts are left out; a target without share or
 passes gives nothing; of a source listed twice the row with the larger share counts. Without any usable text both
@@ -133,13 +134,13 @@ def _slots(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def source_texts(docs: DataFrame, sources: list[str], folder: str, vocabulary: str) -> DataFrame:
     """doc_id, source, n_tokens: each different text of the listed sources once."""
-    listed = docs.where(F.col("text").isNotNull() & (F.length("text") > 0))
+    listed = docs.where(F.col("source").isin(sources) & F.col("text").isNotNull() & (F.length("text") > 0))
     sized = listed.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), "source", F.length("text").alias("n"), F.md5("text").alias("h"),
         token_count(F.col("text"), folder, vocabulary).alias("n_tokens"),
     )
     one = sized.groupBy("h", "n").agg(F.min(F.struct("doc_id", "source", "n_tokens")).alias("d"))
-    return one.select("d.*").where(F.col("source").isin(sources) & (F.col("n_tokens") > 0))
+    return one.select("d.*").where(F.col("n_tokens") > 0)
 
 
 def block_pieces(texts: DataFrame, block: int, n_texts: int) -> DataFrame:

@@ -71,6 +71,13 @@ def test_mix_meets_shares_and_caps(spark):
     assert again == sorted(map(tuple, selection.collect()), key=str)
 
 
+def test_copies_in_unlisted_sources_displace_nothing(spark):
+    docs = spark.createDataFrame([(3, "a text held twice", "forum_post"), (4, "a text held twice", None), (9, "a text held twice", "a"), (10, "a text held twice", "a")], "doc_id bigint, text string, source string")
+    targets = spark.createDataFrame([("a", 1.0, 1)], "source string, target_share double, max_repeats int")
+    selection, shares = mix(docs, targets)
+    assert {r.doc_id for r in selection.collect()} == {9} and shares.first().tokens_available == len(encode("a text held twice"))
+
+
 def test_edges(spark):
     docs, targets, _ = corpus(spark)
     for d, t in ((docs.where("false"), targets), (docs, targets.where("false"))):
