@@ -25,9 +25,11 @@ from ferrolex.functions.matching import best_matching
 
 #: Expected common records of two files in their sketch; the sampling error of an overlap is below 1 / sqrt(SAMPLE).
 SAMPLE = 4096
-#: Least share of common records that agree for content to count as going on, and the bonus of an unchanged name.
+#: Least share of agreement for content to count as going on, of the common records in which the rarer of two keys has a
+#: value; least number of agreeing records where they are under this share of all; the bonus of an unchanged name.
+LEAST_COUNT = 2
 LEAST_OVERLAP, SAME_NAME, NAME_WEIGHT, TYPE_WEIGHT = 0.3, 0.5, 0.1, 0.05
-#: Least likeness of names where two files have no comparable values at all.
+#: Least likeness of names where two keys have no comparable values at all.
 NAME_ALONE = 0.8
 BUCKET = 1024
 
@@ -96,7 +98,10 @@ def key_profiles(cells: DataFrame) -> DataFrame:
 
 
 def overlaps(cells: DataFrame, links: DataFrame) -> DataFrame:
-    """file_id, prev_key, key_name, n_same: records of the sketch in which the two keys hold the same content."""
+    """file_id, prev_key, key_name, n_same: records of the sketch in which the two keys hold the same content.
+
+    A row with only one of the keys counts the values of this key in the sketch, in the file or the one before it.
+    """
     marked = cells.where("mark is not null and rec is not null").select("file_id", "rec", "key_name", "mark").distinct()
     own = marked.groupBy("file_id", "rec").agg(F.lit(1).alias("one")).select("file_id", "rec")
     pairs = links.where("prev_id is not null").select("file_id", "prev_id")
@@ -107,7 +112,11 @@ def overlaps(cells: DataFrame, links: DataFrame) -> DataFrame:
     )
     now = marked.join(sketch.select("file_id", "rec"), ["file_id", "rec"])
     then = marked.withColumnsRenamed({"file_id": "prev_id", "key_name": "prev_key"}).join(sketch.select("file_id", "prev_id", "rec"), ["prev_id", "rec"]).drop("prev_id")
-    return now.join(then, ["file_id", "rec", "mark"]).groupBy("file_id", "prev_key", "key_name").agg(F.count("*").alias("n_same"))
+    nothing, count = F.lit(None).cast("string"), F.count("*").alias("n_same")
+    same = now.join(then, ["file_id", "rec", "mark"]).groupBy("file_id", "prev_key", "key_name").agg(count)
+    of_new = now.groupBy("file_id", "key_name").agg(count).select("file_id", nothing.alias("prev_key"), "key_name", "n_same")
+    of_old = then.groupBy("file_id", "prev_key").agg(count).select("file_id", "prev_key", nothing.alias("key_name"), "n_same")
+    return same.unionByName(of_new).unionByName(of_old)
 
 
 def likeness(a: str, b: str) -> float:
@@ -116,22 +125,25 @@ def likeness(a: str, b: str) -> float:
 
 
 def match_keys(file_id: int, rows: list[dict]) -> list[tuple]:
-    """Changes of one file, from rows of side p (previous key), n (new key) and s (overlap of two keys)."""
+    """Changes of one file, from rows of side p (previous key), n (new key) and s (overlap of two keys, or values of one)."""
     then = {r["prev_key"]: r for r in rows if r["side"] == "p"}
     now = {r["key_name"]: r for r in rows if r["side"] == "n"}
     same = {(r["prev_key"], r["key_name"]): r["n_same"] for r in rows if r["side"] == "s"}
-    common = max([0, *same.values()])
+    common = max([0, *(n for (a, b), n in same.items() if a is not None and b is not None)])
     old, new = sorted(then), sorted(now)
 
     def weight(a: str, b: str) -> float:
         agree = same.get((a, b), 0)
-        share = agree / common if common else 0.0
-        comparable = common and then[a]["n_values"] and now[b]["n_values"]
+        filled = same.get((a, None), 0), same.get((None, b), 0)
+        rarer = min(filled)
+        share = agree / max(filled) if agree else 0.0
+        enough = agree and agree >= LEAST_OVERLAP * rarer and (agree >= LEAST_COUNT or agree >= LEAST_OVERLAP * common)
+        comparable = rarer and not 0 < agree < LEAST_COUNT
         if a == b:
             return SAME_NAME + share
         alike = likeness(a, b)
         typed = float(set(then[a]["types"]) == set(now[b]["types"]))
-        if share >= LEAST_OVERLAP:
+        if enough:
             return share + NAME_WEIGHT * alike + TYPE_WEIGHT * typed
         if not comparable and a not in now and b not in then and alike >= NAME_ALONE:
             return NAME_WEIGHT * alike + TYPE_WEIGHT * typed

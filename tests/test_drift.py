@@ -69,6 +69,22 @@ def test_small_files_beside_a_large_one_are_compared_in_full(spark, monkeypatch)
     }
 
 
+def test_rarely_filled_keys_are_renamed_and_swapped(spark):
+    full = [{"VEC": i * 1.01} | ({"dopant": f"D{i}", "p": i * 7, "q": f"Q{i}"} if i % 10 == 0 else {}) for i in range(100)]
+    a = [rec(i, **m) for i, m in enumerate(full)]
+    b = [rec(i, **{{"dopant": "second_element", "p": "q", "q": "p"}.get(k, k): v for k, v in m.items()}, unlike=i % 50 + 2000) for i, m in enumerate(full)]
+    got = changes(spark, a, b)
+    assert {c for c in got if c[3] != "retyped"} == {
+        (2, "dopant", "second_element", "renamed"), (2, "p", "q", "renamed"), (2, "q", "p", "renamed"), (2, "unlike", "unlike", "added"),
+    }
+
+
+def test_one_chance_agreement_renames_nothing(spark):
+    a = [rec(i, VEC=i * 1.01, form="rod") for i in range(20)]
+    b = [rec(i, VEC=i * 1.01, **({"shape": "rod"} if i == 3 else {})) for i in range(20)]
+    assert changes(spark, a, b) == {(2, "form", "form", "removed"), (2, "shape", "shape", "added")}
+
+
 def test_order_in_buckets(spark, monkeypatch):
     monkeypatch.setattr(drift, "BUCKET", 2)
     f, _ = feed(spark, [], [], [], [], [])
