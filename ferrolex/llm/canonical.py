@@ -2,7 +2,7 @@
 
 A multi-pattern automaton over names and aliases finds the mentions embedded in a value, the longest non-overlapping
 match wins. A value that a mention explains up to words without weight is decided; what remains goes to the
-similarity of token sets, where tokens match up to typing errors. Names of things that are not on the list compete
+similarity of token sets, where tokens match up to typing errors, and where that finds nothing, to the longest mention. Names of things that are not on the list compete
 as strangers; a value nearest to a stranger, or near to nothing, is reported with term 0.
 
 Defined results: null values give no rows; a blank value names nothing (0); of equally near names the entry of the
@@ -28,7 +28,7 @@ from ferrolex.sources.tables import small_rows
 MAX_TERMS = 50_000
 #: Least similarity of token sets, and the least likeness of two tokens that may stand for each other.
 LEAST_SIMILARITY, LEAST_TOKEN = 0.64, 0.5
-#: Values with more words than this are decided by their embedded mentions alone.
+#: Values with more words than this are compared by windows as wide as a name.
 MOST_WORDS = 40
 #: Entries remembered by each Python worker.
 MEMORY = 100_000
@@ -117,19 +117,56 @@ class FieldMatcher:
             if all(w in covered or w in self.noise for w in words):
                 named = [m for m in mentions if not set(text[m[0] : m[1]].split()) <= self.noise] or mentions
                 return max(named, key=lambda m: (m[1] - m[0], -m[0]))[2]
-        if len(words) <= MOST_WORDS:
+        named = [m for m in mentions if not set(text[m[0] : m[1]].split()) <= self.noise]
+        long = [m for m in named if m[1] - m[0] >= 5 and m[2] != 0] if len(words) > 6 else []
+        if len(words) > MOST_WORDS:
+            if not long and (best := self.nearest_window(words)) is not None:
+                return best
+        else:
             for tokens in ([core, words] if core and core != words else [words]):
                 best = self.nearest(tokens)
                 if best is not None:
                     return best
-        long = [m for m in mentions if m[1] - m[0] >= 5 and m[2] != 0]
-        return max(long, key=lambda m: (m[1] - m[0], -m[0]))[2] if long and len(words) > 6 else 0
+        found = long or named
+        return max(found, key=lambda m: (m[1] - m[0], -m[0]))[2] if found else 0
+
+    def nearest_window(self, words: list[str]) -> int | None:
+        """The term of the name most similar to any run of as many words as a name has, None if none is similar enough."""
+        near = [bool(self.similar_words(w)) for w in words]
+        seen: set[tuple[str, ...]] = set()
+        best, term = 0.0, None
+        for width in sorted({len(name) for name, _, _, _ in self.names}):
+            for k in range(len(words) - width + 1):
+                window = tuple(words[k : k + width])
+                if window in seen or not any(near[k : k + width]):
+                    continue
+                seen.add(window)
+                score, t = self.most_similar(list(window))
+                if t is not None and (score > best or (score == best and term == 0 and t != 0)):
+                    best, term = score, t
+        return term
 
     def nearest(self, words: list[str]) -> int | None:
         """The term of the most similar name, None if none is similar enough."""
+        best, term = self.most_similar(words)
+        joined = "".join(words)
+        if best < 0.85 and len(words) <= 6:
+            own = letters(joined)
+            for k, (_, _, name, t) in enumerate(self.names):
+                longest = max(len(name), len(joined))
+                limit = int(longest * (1 - best))
+                if longest < 4 or abs(len(name) - len(joined)) > limit or (own ^ self.letters[k]).bit_count() > 2 * limit:
+                    continue
+                d = typing_distance(joined, name, limit)
+                if d <= limit and 1 - d / longest > best:
+                    best, term = 1 - d / longest, t
+        return term
+
+    def most_similar(self, words: list[str]) -> tuple[float, int | None]:
+        """Similarity and term of the name with the most similar tokens, None if none is similar enough."""
         likes = [dict(self.similar_words(w)) for w in words]
         candidates = {k for like in likes for w in like for k in self.by_word[w]}
-        size, joined = sum(map(len, words)), "".join(words)
+        size = sum(map(len, words))
         best, term = LEAST_SIMILARITY, None
         for k in sorted(candidates):
             name, name_size, _, t = self.names[k]
@@ -143,17 +180,7 @@ class FieldMatcher:
             score = total / (size + name_size)
             if score > best or (score == best and term == 0 and t != 0):
                 best, term = score, t
-        if best < 0.85 and len(words) <= 6:
-            own = letters(joined)
-            for k, (_, _, name, t) in enumerate(self.names):
-                longest = max(len(name), len(joined))
-                limit = int(longest * (1 - best))
-                if longest < 4 or abs(len(name) - len(joined)) > limit or (own ^ self.letters[k]).bit_count() > 2 * limit:
-                    continue
-                d = typing_distance(joined, name, limit)
-                if d <= limit and 1 - d / longest > best:
-                    best, term = 1 - d / longest, t
-        return term
+        return best, term
 
 
 #: Matchers of this Python process; Spark uses a worker process for many tasks. What they were asked is not kept.

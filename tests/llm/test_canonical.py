@@ -43,6 +43,14 @@ def test_long_texts_and_empty_lists():
     assert FieldMatcher("some_other_field", [(7, "abc def", None)]).term("abc dfe") == 7
 
 
+def test_embedded_mentions_decide_where_nothing_is_similar():
+    m = matcher("deformation_process")
+    assert m.term("ECAP route Bc") == 110 and m.term("billets went through ECAP before they were cut up") == 110
+    assert matcher("dopant_or_alloying_element").term("ingots that carry traces of Re beside what was charged") == 2
+    filler = "zzz qqq " * 30
+    assert m.term(f"{filler} cold rolilng {filler}") == 101 and m.term(filler) == 0
+
+
 def test_distance():
     assert typing_distance("potassium", "ptosassium", 3) == 2 and typing_distance("ab", "ba", 2) == 1 and typing_distance("a", "abcd", 2) == 3
 
