@@ -58,11 +58,12 @@ TRADE_PHRASE = re.compile(
 )
 HASHTAG = re.compile(r"#\w+")
 SHOP = re.compile(r"add to (?:cart|basket)|\bSKU\b|\bin stock\b|^tags:|^item \d|\b(?:EUR|USD|\$|€) ?\d|in den warenkorb|ajouter au panier|^partner:|^see also:|^more .{1,200} at ", re.I | re.M)
-LINK_HINTS = ("://", "<a ", ".com", ".net", ".org", ".info", ".example", ".invalid", ".test", ".biz", ".shop", ".de", ".fr")
+LINK_HINTS = ("://", "<a", ".com", ".net", ".org", ".info", ".example", ".invalid", ".test", ".biz", ".shop", ".de", ".fr")
 TRADE_HINTS = (
-    "add to ", "sku", "in stock", "tags:", "item ", "eur ", "usd", "$", "€", "eur1", "warenkorb", "au panier", "partner:", "see also", "near me", "buy online",
-    "best quality", "for sale", "free shipping", "en ligne", "pas cher", "en stock", "à vendre", "auf lager", " at\n",
+    "add to ", "sku", "in stock", "tags:", "item ", "eur ", *(f"eur{k}" for k in range(10)), "usd", "$", "€", "warenkorb", "au panier", "partner:", "see also", "near me", "buy online",
+    "best quality", "for sale", "free shipping", "en ligne", "pas cher", "en stock", "à vendre", "auf lager", "\nmore ",
 )
+AT_LINE_END = re.compile(r" at\s*$", re.M)
 REFERENCE_HINTS = ("et al", "doi", "vol.", "(19", "(20", ", 19", ", 20")
 DIGIT = re.compile(r"\d")
 REFERENCE = re.compile(r"\bet al\b|\bdoi\b|\bvol\. ?\d|\((?:19|20)\d\d\)|, (?:19|20)\d\d\b")
@@ -78,9 +79,9 @@ FEATURES = (
 
 def hinted(text: str) -> tuple[bool, bool]:
     """Whether the text can hold links, and whether it can hold marks or phrases of trade; cheap tests that miss none."""
-    low = text.lower()
-    links = any(h in low for h in LINK_HINTS)
-    return links, any(h in low for h in TRADE_HINTS) or (links and "more " in low)
+    low = text.lower().replace("i\u0307", "i").replace("ı", "i").replace("ſ", "s")  # as the patterns ignore case
+    trade = any(h in low for h in TRADE_HINTS) or low.startswith("more ") or (" at" in low and AT_LINE_END.search(low) is not None)
+    return any(h in low for h in LINK_HINTS), trade
 
 
 def bare(text: str) -> str:

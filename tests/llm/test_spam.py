@@ -1,6 +1,6 @@
 import numpy as np
 
-from ferrolex.llm.spam import blocks, features, score, weak_label
+from ferrolex.llm.spam import FEATURES, LINK, SHOP, TRADE_PHRASE, blocks, features, hinted, score, weak_label
 from ferrolex.llm.trees import BaggedTrees
 
 PROSE = "The specimens were annealed in hydrogen and the hardness was measured after each step. We found that it falls when the grains grow."
@@ -33,6 +33,18 @@ def test_blocks_cover_the_text_and_labels_are_sure():
     assert blocks("") == [] and blocks(" \n \n") == []
 
 
+def test_hints_miss_nothing_that_the_patterns_find():
+    lines = [f"rod EUR{k}" for k in range(10)] + ["rod eur 7", "USD5", "x€ 3", "x$9", "More rods at Hartwig", "more tungsten at a-b", "all rods at", "all rods at \t", "x at\r\ny"]
+    lines += ["<a\nhref='x'>y</a>", "<a\thref='x'>y</a>", "[x](ftp://y)", "see x.de", "\u0131tem 4", "\u0130tem 4", "\u017fku", "Tags: a", "Partner: b", "in den Warenkorb", "Ajouter au panier", "À vendre"]
+    for x in lines:
+        for text in (x, f"prose\n{x}\nprose"):
+            links, trade = hinted(text)
+            assert links or not LINK.search(text), text
+            assert trade or not (SHOP.search(text) or TRADE_PHRASE.search(text)), text
+            assert LINK.search(text) or SHOP.search(text) or TRADE_PHRASE.search(text), text
+    assert features("rod EUR7 sheet EUR5")[FEATURES.index("shop_marks")] > 0
+
+
 def test_pages(spark):
     pages = [PROSE * 3, f"{PROSE}\n\n{TABLE}", f"{PROSE}\n\nReferences\n{REFERENCES}", TRADE * 2, PILE * 3, LINKS, TAGS, f"{PROSE}\n\n{PILE * 4}", f"{PROSE * 4}\n\n{PILE}", None, "", "  "]
     rows = [(i, t, ("h1", "h2", None)[i % 3], 0.5, True) for i, t in enumerate(pages * 6)]
