@@ -1,20 +1,28 @@
 """Quantities recorded in different units, brought to ppm of their basis (problem 3).
 
-The unit of a value is what its unit column states, else what the material name or the notes state about it; an
-impurity entry states its unit itself or in the notes, else it is in ppm by mass. Spellings are reduced to one key,
-keys are joined with the composed conversions of the unit graph.
-
-Null values give no rows. A value whose unit is unknown has a null unit and null ppm, unless it is an impurity entry.
-A blank text states nothing. Repeated rows are converted each under its own key; ties cannot arise, the first
-statement about a value counts. Further columns of the input are not read; an empty table gives an empty table.
+The unit of a value is what its unit column states, else what the material name or the notes state about it. In an
+impurity entry each number has the unit behind it, else the first unit in the entry, else that of the notes, else ppm
+by mass. Spellings are reduced to one key and read as a unit; units are joined with the composed conversions of the
+unit graph, whose edges are the factors of the table of units and the known relations between scales. Cycles of edges
+are checked, so a table that contradicts the scales raises.
+
+A note speaks about a dopant if its subject is the dopant as written, or, where the dopant is no formula, any formula
+that is not the second dopant's nor the base's, or the word addition.
+
+Null values give no rows. A value whose unit is unknown has a null unit and null ppm. A blank text states nothing.
+Repeated rows are converted each under its own key; ties cannot arise, the first statement about a value counts.
+Further columns of the input are not read; an empty table gives an empty table.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ferrolex.functions.unit_graph import UnitGraph
+from ferrolex.functions.elements import ATOMIC_WEIGHT
+from ferrolex.functions.unit_graph import Affine, UnitGraph
 from ferrolex.sources.tables import small_rows
 
 FIELDS = ("dopant_concentration", "second_dopant_concentration", "impurity_concentration")
@@ -47,6 +55,19 @@ UNIT = (
 NUMBER = r"[0-9]+(?:[.,][0-9]+)?(?:[eE][-+]?[0-9]+)?"
 
 
+# Known relations between the scales of one basis: a value in the first unit times the factor is in the second.
+SCALES = (
+    ("wt_pct", "mass_fraction", 0.01), ("wt_ppb", "wt_ppm", 1e-3), ("g_per_kg", "wt_pct", 0.1), ("mass_fraction", "g_per_kg", 1e3), ("wt_pct", "wt_ppm", 1e4),
+    ("at_pct", "atom_fraction", 0.01), ("at_ppb", "at_ppm", 1e-3), ("at_per_mille", "at_pct", 0.1), ("at_pct", "at_ppm", 1e4),
+    ("vol_pct", "vol_fraction", 0.01), ("vol_ppb", "vol_ppm", 1e-3), ("vol_per_mille", "vol_pct", 0.1), ("vol_pct", "vol_ppm", 1e4),
+)
+#: A subject that is a chemical formula: symbols of elements with whole numbers.
+FORMULA = rf"(?:(?:{'|'.join(sorted(ATOMIC_WEIGHT, key=len, reverse=True))})[0-9]*)+"
+#: Words of a note between its subject and the unit.
+GAP = r"(?::|,)?(?: [a-z]+:?){0,6} "
+BASE = "W"
+
+
 def unit_key(text: Column) -> Column:
     """A spelling reduced to its key: lower case, micro signs made u, blanks, dots, hyphens and underscores dropped."""
     return F.regexp_replace(F.translate(F.lower(text), "µμ", "uu"), r"[\s.\-_]", "")
@@ -80,37 +101,41 @@ def spellings() -> list[tuple[str, str]]:
     return out
 
 
-def conversions(units: DataFrame) -> DataFrame:
-    """The composed conversions: unit_key, unit_id, basis, per_million, factor, offset; one row per known spelling.
+def conversions(units: DataFrame, target: str = "ppm") -> DataFrame:
+    """The composed conversions: unit, target, unit_id, basis, factor, offset; one row per unit of the table.
 
-    A unit without a factor keeps its row with null factor. Size: the number of spellings, a few hundred.
+    A unit that no path of the graph leads from to its target keeps its row with null factor.
     """
-    rows = small_rows(units.select("unit_id", "unit_label", "basis", "per_million"), MAX_UNITS, "the table of units")
-    named = {r.unit_label: r for r in rows if r.unit_label is not None}
+    named = _named(units)
     graph = UnitGraph()
     for r in named.values():
         if r.per_million is not None and r.per_million != 0 and r.basis is not None:
-            graph.add(f"unit {r.unit_label}", f"ppm of {r.basis}", _scale(r.per_million))
-    known = spellings() + [("".join(c for c in label.lower() if c not in " .-_"), label) for label in named]
-    chosen: dict[str, str] = {}
-    for key, label in known:
-        if label in named and key not in chosen:
-            chosen[key] = label
-            graph.add(f"key {key}", f"unit {label}", _scale(1.0))
-    paths = {f"ppm of {b}": graph.paths(f"ppm of {b}") for b in {r.basis for r in named.values() if r.basis is not None}}
+            graph.add(r.unit_label, f"ppm of {r.basis}", Affine(float(r.per_million)))
+            graph.add(f"fraction of {r.basis}", f"ppm of {r.basis}", Affine(1e6))
+    for a, b, factor in SCALES:
+        if a in graph.edges and b in graph.edges:
+            graph.add(a, b, Affine(factor))
+    paths = {b: graph.paths(f"{target} of {b}") for b in {r.basis for r in named.values() if r.basis is not None}}
     out = []
-    for key, label in chosen.items():
-        r = named[label]
-        step = paths.get(f"ppm of {r.basis}", {}).get(f"key {key}")
-        out.append((key, r.unit_id, r.basis, r.per_million, step and step.factor, step and step.offset))
-    schema = "unit_key string, unit_id int, basis string, per_million double, factor double, offset double"
-    return units.sparkSession.createDataFrame(out, schema)
+    for label, r in named.items():
+        step = paths.get(r.basis, {}).get(label)
+        out.append((label, target, r.unit_id, r.basis, step and step.factor, step and step.offset))
+    return units.sparkSession.createDataFrame(out, "unit string, target string, unit_id int, basis string, factor double, offset double")
 
 
-def _scale(factor: float):
-    from ferrolex.functions.unit_graph import Affine
+def _named(units: DataFrame) -> dict:
+    rows = small_rows(units.select("unit_id", "unit_label", "basis", "per_million"), MAX_UNITS, "the table of units")
+    return {r.unit_label: r for r in rows if r.unit_label is not None}
+
 
-    return Affine(float(factor))
+def known_spellings(units: DataFrame) -> Column:
+    """Map literal of key to unit label; keys of units that are not in the table are left out."""
+    named = _named(units)
+    chosen: dict[str, str] = {}
+    for key, label in spellings() + [("".join(c for c in label.lower() if c not in " .-_"), label) for label in named]:
+        if label in named:
+            chosen.setdefault(key, label)
+    return F.from_json(F.lit(json.dumps(chosen)), "map<string,string>")
 
 
 def found_in(text: Column, pattern: str = UNIT) -> Column:
@@ -121,12 +146,12 @@ def found_in(text: Column, pattern: str = UNIT) -> Column:
 def stated_units() -> dict[str, Column]:
     """The unit key of each field, from the columns and texts of a record."""
     notes, name = F.coalesce("notes", F.lit("")), F.coalesce("material_name", F.lit(""))
-    verbs = r"(?: content in | level is given as | amount stated in | quoted in |: value in | content: | given in | in )"
-    about = rf"\b([A-Z][A-Za-z0-9]*|addition){verbs}({UNIT})"
+    about = rf"\b({FORMULA}|addition)\b{GAP}({UNIT})"
     claims = F.arrays_zip(
         F.regexp_extract_all(notes, F.lit(about), F.lit(1)).alias("who"), F.regexp_extract_all(notes, F.lit(about), F.lit(2)).alias("unit")
     )
-    claims = F.filter(claims, lambda c: ~F.lower(c["who"]).rlike("^(impurit|contents$)"))
+    claims = F.filter(claims, lambda c: c["who"] != BASE)
+    first = F.trim(F.coalesce("dopant_or_alloying_element", F.lit("")))
     second = F.trim(F.coalesce("second_dopant_element", F.lit("")))
 
     def claimed(keep) -> Column:
@@ -134,29 +159,55 @@ def stated_units() -> dict[str, Column]:
         return F.when(F.size(hits) > 0, F.nullif(unit_key(F.element_at(hits, 1)["unit"]), F.lit("")))
 
     impurity_notes = F.nullif(unit_key(F.regexp_extract(notes, rf"(?i:impurit(?:y|ies)[^.\[\]]*?[ :])({UNIT})", 1)), F.lit(""))
+    dopant = claimed(lambda c: (c["who"] == first) | (c["who"] == "addition") | (~first.rlike(f"^{FORMULA}$") & (c["who"] != second)))
     return {
-        "dopant_concentration": F.coalesce(found_in(F.col("dopant_concentration_unit")), found_in(name), claimed(lambda c: c["who"] != second)),
+        "dopant_concentration": F.coalesce(found_in(F.col("dopant_concentration_unit")), found_in(name), dopant),
         "second_dopant_concentration": F.coalesce(found_in(F.col("second_dopant_concentration_unit")), claimed(lambda c: (c["who"] == second) & (second != ""))),
         "impurity_concentration": F.coalesce(found_in(F.col("impurity_concentration")), impurity_notes, F.lit("ppm")),
     }
 
 
-def to_ppm(records: DataFrame, units: DataFrame, key: str = "rec_key") -> DataFrame:
-    """Every value with its unit and its size in ppm of its basis.
+def stated_values(records: DataFrame, units: DataFrame, key: str = "rec_key") -> DataFrame:
+    """key, field_name, raw and values: array<struct<pos, number, unit_key, unit>> of each non-null entry, within the row.
 
-    Columns: key, field_name, raw, unit_key, unit_id, basis, per_million, ppm (array<double>: one number per value of
-    an impurity entry, the two ends for a range). One narrow pass and one broadcast join with the conversions.
+    pos is from 1; an entry without a number has one value whose number is null.
     """
     keys = stated_units()
-    decimal = F.regexp_replace("raw", r"([0-9]),([0-9])", "$1.$2")
-    spread = F.explode(F.array(*[F.struct(F.lit(f).alias("field_name"), F.col(f).cast("string").alias("raw"), keys[f].alias("unit_key")) for f in FIELDS]))
+    known = known_spellings(units)
+    spread = F.explode(F.array(*[F.struct(F.lit(f).alias("field_name"), F.col(f).cast("string").alias("raw"), keys[f].alias("stated")) for f in FIELDS]))
     long = records.select(F.col(key), spread.alias("v")).select(key, "v.*").where(F.col("raw").isNotNull())
-    joined = long.join(F.broadcast(conversions(units)), "unit_key", "left")
-    numbers = F.transform(
-        F.regexp_extract_all(decimal, F.lit(rf"(?<![A-Za-z0-9.])({NUMBER})"), F.lit(1)), lambda x: x.try_cast("double")
+    decimal = F.regexp_replace("raw", r"([0-9]),([0-9])", "$1.$2")
+    one = rf"(?<![A-Za-z0-9.])({NUMBER})(?:\s*[(\[]?\s*({UNIT}))?"
+    found = F.arrays_zip(F.regexp_extract_all(decimal, F.lit(one), F.lit(1)).alias("n"), F.regexp_extract_all(decimal, F.lit(one), F.lit(2)).alias("u"))
+    in_text = F.transform(found, lambda x: F.struct(x["n"].try_cast("double").alias("number"), F.coalesce(F.nullif(unit_key(x["u"]), F.lit("")), F.col("stated")).alias("unit_key")))
+    alone = F.array(F.struct(F.when(F.col("field_name") != "impurity_concentration", F.col("raw").try_cast("double")).alias("number"), F.col("stated").alias("unit_key")))
+    pairs = F.when((F.col("field_name") == "impurity_concentration") & (F.size(in_text) > 0), in_text).otherwise(alone)
+    values = F.transform(
+        pairs, lambda x, i: F.struct((i + 1).alias("pos"), x["number"].alias("number"), x["unit_key"].alias("unit_key"), F.try_element_at(known, x["unit_key"]).alias("unit"))
     )
-    numbers = F.when(F.col("field_name") == "impurity_concentration", numbers).otherwise(F.array(F.col("raw").try_cast("double")))
+    return long.select(key, "field_name", "raw", F.explode(F.array(values)).alias("values"))
+
+
+def to_ppm(records: DataFrame, units: DataFrame, key: str = "rec_key") -> DataFrame:
+    """Every value with its unit and its size in ppm of its basis: one row per value.
+
+    Columns: key, field_name, value_pos, raw, unit_key, unit_id, basis, factor, offset, ppm. One narrow pass and one
+    broadcast join with the conversions, one row per unit.
+    """
+    rows = stated_values(records, units, key).select(key, "field_name", "raw", F.explode("values").alias("v"))
+    rows = rows.select(key, "field_name", F.col("v.pos").alias("value_pos"), "raw", F.col("v.number").alias("number"), F.col("v.unit_key").alias("unit_key"), F.col("v.unit").alias("unit"))
+    joined = rows.join(F.broadcast(conversions(units)), "unit", "left")
     return joined.select(
-        key, "field_name", "raw", "unit_key", "unit_id", "basis", "per_million",
-        F.when(F.col("factor").isNotNull(), F.transform(numbers, lambda x: x * F.col("factor") + F.col("offset"))).alias("ppm"),
+        key, "field_name", "value_pos", "raw", "unit_key", "unit_id", "basis", "factor", "offset", (F.col("number") * F.col("factor") + F.col("offset")).alias("ppm"),
     )
+
+
+def converted(records: DataFrame, units: DataFrame, key: str = "rec_key") -> DataFrame:
+    """key, field_name, unit_id: each unit of an entry whose composed conversion to ppm changes the value.
+
+    The units of an entry are made distinct within the row, before the join; nothing is shuffled.
+    """
+    entries = stated_values(records, units, key)
+    each = entries.select(key, "field_name", F.explode(F.array_distinct(F.transform("values", lambda v: v["unit"]))).alias("unit"))
+    joined = each.join(F.broadcast(conversions(units)), "unit")
+    return joined.where((F.abs(F.col("factor") - 1) > 1e-12) | (F.col("offset") != 0)).select(key, "field_name", "unit_id")

@@ -23,8 +23,7 @@ def p2_unified(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
-    ppm = units.to_ppm(table(spark, d, "w_dbtt"), table(spark, d, "ref_unit"))
-    return ppm.where("per_million is not null and per_million <> 1").select("rec_key", "field_name", "unit_id")
+    return units.converted(table(spark, d, "w_dbtt"), table(spark, d, "ref_unit"))
 
 
 def p3_ppm(spark: SparkSession, d: str) -> DataFrame:

@@ -1,7 +1,7 @@
 import pytest
 
 from ferrolex.functions.unit_graph import Affine, UnitGraph
-from ferrolex.operators.units import to_ppm
+from ferrolex.operators.units import conversions, converted, to_ppm
 from ferrolex.sources.tables import table
 
 UNITS = [
@@ -13,7 +13,11 @@ COLUMNS = "rec_key bigint, dopant_concentration double, dopant_concentration_uni
 
 def convert(spark, *rows):
     units = spark.createDataFrame(UNITS, "unit_id int, unit_label string, basis string, per_million double")
-    return {(r.rec_key, r.field_name): r for r in to_ppm(spark.createDataFrame(list(rows), COLUMNS), units).collect()}
+    out = {}
+    df = spark.createDataFrame(list(rows), COLUMNS).selectExpr("*", "cast(null as string) as dopant_or_alloying_element")
+    for r in to_ppm(df, units).orderBy("value_pos").collect():
+        out.setdefault((r.rec_key, r.field_name), []).append(r)
+    return out
 
 
 def test_graph_composes_and_checks_cycles():
@@ -36,14 +40,39 @@ def test_where_units_are_stated(spark):
         (3, 1.0, "see notes", "Ni", 0.1, "vol%", "12 | 13", "W", "[methodology] K content in ‰ (w/w). Furnace gas held below 5 ppm O2.", None),
         (4, 1.0, None, None, None, None, None, None, None, None),
     )
-    assert (got[1, "dopant_concentration"].unit_id, got[1, "dopant_concentration"].ppm) == (2, [35000.0])
-    assert (got[1, "impurity_concentration"].unit_id, [round(x, 6) for x in got[1, "impurity_concentration"].ppm]) == (5, [254.0])
-    assert got[2, "dopant_concentration"].unit_id == 1 and got[2, "second_dopant_concentration"].unit_id == 7
-    assert got[2, "impurity_concentration"].unit_id == 6
-    assert got[3, "dopant_concentration"].unit_id == 5
-    assert got[3, "second_dopant_concentration"].unit_id == 9 and got[3, "second_dopant_concentration"].ppm is None
-    assert got[3, "impurity_concentration"].ppm == [12.0, 13.0]
-    assert got[4, "dopant_concentration"].unit_id is None and (4, "impurity_concentration") not in got
+    ppm = lambda *at: [None if r.ppm is None else round(r.ppm, 6) for r in got[at]]
+    unit = lambda *at: {r.unit_id for r in got[at]}
+    assert unit(1, "dopant_concentration") == {2} and ppm(1, "dopant_concentration") == [35000.0]
+    assert unit(1, "impurity_concentration") == {5} and ppm(1, "impurity_concentration") == [254.0]
+    assert unit(2, "dopant_concentration") == {1} and unit(2, "second_dopant_concentration") == {7} and unit(2, "impurity_concentration") == {6}
+    assert unit(3, "dopant_concentration") == {5}
+    assert unit(3, "second_dopant_concentration") == {9} and ppm(3, "second_dopant_concentration") == [None]
+    assert ppm(3, "impurity_concentration") == [12.0, 13.0]
+    assert unit(4, "dopant_concentration") == {None} and (4, "impurity_concentration") not in got
+
+
+def test_each_value_of_an_entry_has_its_own_unit(spark):
+    row = (1, 2.0, None, None, None, None, "C 20 wt.ppm; O 0.003 wt%", "W", "Grain content in wt%. C content in wt%.", None)
+    other = (2, 2.0, None, None, None, None, "10-14 at%", "W", "Amount of Re quoted in wt%.", None)
+    got = convert(spark, row, other)
+    assert [(r.value_pos, round(r.ppm, 6)) for r in got[1, "impurity_concentration"]] == [(1, 20.0), (2, 30.0)]
+    assert [round(r.ppm) for r in got[2, "impurity_concentration"]] == [100_000, 140_000]
+    units = spark.createDataFrame(UNITS, "unit_id int, unit_label string, basis string, per_million double")
+    named = "rec_key bigint, dopant_or_alloying_element string, dopant_concentration double, dopant_concentration_unit string, second_dopant_element string, second_dopant_concentration double, second_dopant_concentration_unit string, impurity_concentration string, material_name string, notes string"
+    rows = [
+        (1, "Re", 2.0, None, "K", 1.0, None, "C 20 wt.ppm; O 0.003 wt%", "W", "Grain content in wt%. K content in ppb."),
+        (2, "Re", 2.0, None, "K", 1.0, "at%", None, "W", "Re measured and reported as wt%"),
+        (3, "rhenum", 2.0, None, None, None, None, None, "W", "Amount of addition quoted in mass fraction."),
+        (4, None, 2.0, None, None, None, None, None, "W", "W powder of 3 wt% binder"),
+    ]
+    found = {tuple(r) for r in converted(spark.createDataFrame(rows, named), units).collect()}
+    assert found == {(1, "impurity_concentration", 2), (1, "second_dopant_concentration", 3), (2, "dopant_concentration", 2), (2, "second_dopant_concentration", 7), (3, "dopant_concentration", 4)}
+
+
+def test_the_table_of_units_is_checked_against_the_scales(spark):
+    wrong = [(i, u, b, 5e3 if u == "wt_pct" else f) for i, u, b, f in UNITS]
+    with pytest.raises(ValueError):
+        conversions(spark.createDataFrame(wrong, "unit_id int, unit_label string, basis string, per_million double"))
 
 
 def test_edges(spark):
