@@ -38,6 +38,42 @@ UNION ALL
 SELECT load_id, column_name, 'shape' FROM m WHERE n_texts >= 20 AND shape IS NOT NULL AND n_odd / n_texts > 0.05
 """
 
+_TIMED = _CELLS.replace("load_id, '", "load_id, loaded_at, '")
+P4_METRICS_OF = f"""
+cells AS ({_TIMED}),
+tops AS (
+  SELECT load_id, column_name, max(n) AS n_top
+  FROM (SELECT load_id, column_name, x, count(*) AS n FROM cells WHERE x IS NOT NULL GROUP BY ALL)
+  GROUP BY load_id, column_name
+),
+m AS (
+  SELECT c.load_id, c.column_name, c.column_name NOT IN ('record_id', 'source_doi') AS is_number, min(loaded_at) AS first_at, count(*) AS n_rows,
+    count(x) + count(t) AS n_values, count(DISTINCT x) + count(DISTINCT t) AS n_distinct, min(x) AS low, max(x) AS high,
+    count(*) FILTER (WHERE x < p.low_value OR x > p.high_value) AS n_out, count(*) FILTER (WHERE x <= p.mid_value) AS n_low,
+    count(*) FILTER (WHERE NOT regexp_matches(t, p.shape)) AS n_odd
+  FROM cells c JOIN column_profile p USING (column_name) GROUP BY c.load_id, c.column_name
+),
+metrics AS (
+  SELECT m.load_id, m.column_name, is_number, first_at, n_rows, n_values, n_distinct, low, high, (n_rows - n_values) / n_rows AS null_share,
+    n_out / nullif(n_values, 0) AS out_share, n_low / nullif(n_values, 0) AS low_share, n_odd / nullif(n_values, 0) AS odd_share,
+    CASE WHEN n_top / n_values > 0.3 THEN n_top / n_values END AS top_share
+  FROM m LEFT JOIN tops USING (load_id, column_name)
+)"""
+P4_METRICS = f"WITH {P4_METRICS_OF} SELECT * FROM metrics"
+P4_ANOMALIES = f"""
+WITH {P4_METRICS_OF},
+long AS (
+  SELECT load_id, first_at, column_name, metric, x FROM metrics
+  UNPIVOT (x FOR metric IN (null_share, out_share, low_share, odd_share))
+),
+h AS (
+  SELECT *, count(x) OVER w AS n, avg(x) OVER w AS mean, stddev_samp(x) OVER w AS dev FROM long
+  WINDOW w AS (PARTITION BY column_name, metric ORDER BY first_at, load_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+)
+SELECT load_id, column_name, metric, round(x, 6) AS value, round(mean, 6) AS expected, round(dev, 6) AS deviation
+FROM h WHERE n >= 8 AND abs(x - mean) > 3 * dev + 1e-9
+"""
+
 _DOCS = """
 WITH v AS (SELECT cache_id, CAST(payload AS JSON) AS j FROM mp_cache WHERE json_valid(payload)),
 b AS (

@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ferrolex.operators import drift, nested, packed_fields, quality, units
 from ferrolex.plans import sql_training
+from ferrolex.session import cut
 from ferrolex.sources.tables import table
 
 ROOTS = ("symmetry", "bulk_modulus", "shear_modulus", "origins")
@@ -35,11 +37,13 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p4_metrics(spark: SparkSession, d: str) -> DataFrame:
-    return quality.load_metrics(quality.load_states(table(spark, d, "w_dbtt"), table(spark, d, "column_profile")))
+    return quality.metrics(table(spark, d, "w_dbtt"), table(spark, d, "column_profile"))
 
 
 def p4_anomalies(spark: SparkSession, d: str) -> DataFrame:
-    return quality.control_limits(p4_metrics(spark, d))
+    states = quality.load_states(table(spark, d, "w_dbtt"), table(spark, d, "column_profile"))
+    found = quality.control_limits(cut(quality.load_metrics(states)))
+    return found.withColumns({c: F.round(c, 6) for c in ("value", "expected", "deviation")})
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
@@ -63,4 +67,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p4_found": sql_training.P4_FOUND, "p5_found": sql_training.P5_FOUND, "p5_origins": sql_training.P5_ORIGINS}
+    return {"p4_found": sql_training.P4_FOUND, "p4_metrics": sql_training.P4_METRICS, "p4_anomalies": sql_training.P4_ANOMALIES, "p5_found": sql_training.P5_FOUND, "p5_origins": sql_training.P5_ORIGINS}
