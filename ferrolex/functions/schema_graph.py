@@ -58,9 +58,26 @@ def _name(text: str) -> tuple[str, str]:
     return text[:end].strip(), text[end:]
 
 
+def united(nodes: list[Node]) -> Node:
+    """One definition for several occurrences of an element: fields side by side, scalars of different types mixed."""
+    if len(nodes) == 1:
+        return nodes[0]
+    fields: dict[str, list[Node]] = {}
+    for n in nodes:
+        for key, child in n.fields.items():
+            fields.setdefault(key, []).append(child)
+    items = [n.item for n in nodes if n.item]
+    kinds = {(n.kind, n.type) for n in nodes if (n.kind, n.type) != ("scalar", "VOID")} or {(nodes[0].kind, nodes[0].type)}
+    kind, type_ = kinds.pop() if len(kinds) == 1 else ("mixed", "VARIANT")
+    return Node(kind, type_, {k: united(v) for k, v in fields.items()}, united(items) if items else None)
+
+
 @dataclass
 class Table:
-    """A flat table: where its elements lie below the parent's element, its inlined leaves and its child tables."""
+    """One occurrence of a flat table: where its elements lie below the parent's element, and its child tables.
+
+    Occurrences of a shared or recursive element have the same `name`: their rows form one table.
+    """
 
     name: str
     path: tuple[str, ...]
@@ -72,37 +89,67 @@ class Table:
         return [self, *(t for c in self.children for t in c.every())]
 
 
+def columns_of(root: Table) -> dict[str, list[tuple[tuple[str, ...], Node]]]:
+    """The inlined leaves of each table, those of all its occurrences united."""
+    found: dict[str, dict[tuple[str, ...], list[Node]]] = {}
+    for t in root.every():
+        own = found.setdefault(t.name, {})
+        for path, node in t.leaves:
+            own.setdefault(path, []).append(node)
+    return {name: [(path, united(nodes)) for path, nodes in own.items()] for name, own in found.items()}
+
+
 def inline(root: Node, name: str) -> Table:
-    """Shared inlining: singleton descendants are inlined into the table of their ancestor; repeated elements, elements
-    reached from several parents and elements that lie below one of the same name get tables of their own."""
+    """Shared inlining: singleton descendants are inlined into the table of their ancestor; repeated elements get tables
+    of their own; an element that is reached from several parents, or that lies below one of the same name, has one
+    table for all its occurrences. An element is known by its member name."""
     parents: Counter[str] = Counter()
 
-    def visit(node: Node) -> None:
+    def element(node: Node) -> Node | None:
+        return node if node.fields else element(node.item) if node.item else None
+
+    def visit(node: Node, above: tuple[str, ...]) -> None:
         for key, child in node.fields.items():
-            if child.fields:
-                parents[key] += 1
-            visit(child)
+            if element(child):
+                parents[key] += 2 if key in above else 1
+            visit(child, (*above, key))
         if node.item:
-            visit(node.item)
-
-    visit(root)
+            visit(node.item, above)
+
+    visit(root, (name,))
+    shared = {key for key, n in parents.items() if n > 1}
+    taken = {name}
+    titles: dict[str, str] = {}
+    for key in sorted(shared):
+        titles[key] = key if key not in taken else f"{key}_element"
+        taken.add(titles[key])
     table = Table(name, (), False)
-    _fill(table, root, (), parents, (name,))
+    _fill(table, root, (), titles, taken)
     return table
 
 
-def _fill(table: Table, node: Node, path: tuple[str, ...], parents: Counter, above: tuple[str, ...]) -> None:
+def _fill(table: Table, node: Node, path: tuple[str, ...], titles: dict[str, str], taken: set[str]) -> None:
     if node.kind in ("scalar", "mixed") or not (node.fields or node.item):
         table.leaves.append((path, node))
     if node.item:
-        own = Table(f"{table.name}_{'_'.join(path) or 'item'}", path, True)
+        own = Table(titles.get(path[-1], "") if path and node.item.fields else "", path, True)
+        own.name = own.name or _free(f"{table.name}_{'_'.join(path) or 'item'}", taken)
         table.children.append(own)
-        _fill(own, node.item, (), parents, above)
+        _fill(own, node.item, (), titles, taken)
     for key, child in node.fields.items():
         at = (*path, key)
-        if child.fields and (parents[key] > 1 or key in above):
-            own = Table(f"{table.name}_{'_'.join(at)}", at, False)
+        if child.fields and key in titles:
+            own = Table(titles[key], at, False)
             table.children.append(own)
-            _fill(own, child, (), parents, (*above, key))
+            if child.kind == "mixed" or child.item:  # its scalars stay with the parent, its arrays are occurrences beside its objects
+                _fill(table, Node(child.kind, child.type, item=child.item), at, titles, taken)
+            _fill(own, Node("object", "", child.fields), (), titles, taken)
         else:
-            _fill(table, child, at, parents, (*above, key))
+            _fill(table, child, at, titles, taken)
+
+
+def _free(title: str, taken: set[str]) -> str:
+    while title in taken:
+        title += "_2"
+    taken.add(title)
+    return title

@@ -1,10 +1,13 @@
 """Nested JSON answers turned into related flat tables by shared inlining (problem 5).
 
-An answer is a list of documents, an object that wraps such a list, or one document. Null, blank, cut-off and failed
-answers are kept in the table of answers and give no documents; a document keeps its position in the answer, also
-when others around it are null. Repeated answers are kept under their own keys. Everything runs on VARIANT values
-inside the JVM; the schema graph comes from one mergeable aggregate over the data, and one more for each member that is
-of several kinds, or from a schema passed in.
+An answer is a list of documents, an object that holds such a list somewhere in its first two levels, or one document.
+Null, blank, cut-off and failed answers are kept in the table of answers and give no documents; a document keeps its
+position in the answer, also when others around it are null. Repeated answers are kept under their own keys. Everything
+runs on VARIANT values inside the JVM; the schema graph comes from one mergeable aggregate over the data, and one more
+for each member that is of several kinds, or from a schema passed in.
+
+Keys: a row of a table is the element at `node` of document doc_pos of an answer, `node` being its path with positions,
+empty for the document itself; parent_table and parent_node name the row it belongs to, pos its place in its list.
 """
 
 from __future__ import annotations
@@ -12,12 +15,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ferrolex.functions.schema_graph import Node, Table, inline, parse_schema
+from ferrolex.functions.schema_graph import Node, Table, columns_of, inline, parse_schema
 
-#: Where wrapped answers keep their documents, in order of preference.
-WRAPPERS = ("$.data", "$.docs", "$.documents", "$.results", "$.items", "$.response.docs", "$.response.data")
-#: An object with one of these members is a document itself.
+#: An object with one of these members is a document. Wrappers are known by their form alone.
 DOCUMENT_MARKS = ("material_id", "symmetry", "bulk_modulus", "shear_modulus", "origins", "formula_pretty", "energy_above_hull")
+#: A wrapper with one of these members that holds no documents is a failed answer, not an empty one.
+FAILURE_MARKS = ("error", "errors", "message", "detail", "status_code")
 SCALARS = {"BIGINT": "bigint", "BOOLEAN": "boolean", "DOUBLE": "double", "STRING": "string", "FLOAT": "double"}
 
 
@@ -31,6 +34,47 @@ def once(value: Column) -> Column:
     return F.explode(F.array(value))
 
 
+def _list(v: Column) -> Column:
+    return F.when(F.schema_of_variant(v).startswith("ARRAY"), F.try_variant_get(v, "$", "array<variant>"))
+
+
+def _values(v: Column) -> Column:
+    """The values of the members of an object, empty for anything else."""
+    inner = F.map_values(F.try_variant_get(v, "$", "map<string,variant>"))
+    return F.coalesce(F.when(F.schema_of_variant(v).startswith("OBJECT"), inner), F.array().cast("array<variant>"))
+
+
+def _marked(v: Column) -> Column:
+    has = [F.try_variant_get(v, step((m,)), "variant").isNotNull() for m in DOCUMENT_MARKS]
+    found = has[0]
+    for h in has[1:]:
+        found = found | h
+    return F.schema_of_variant(v).startswith("OBJECT") & found
+
+
+def wrapped_documents(v: Column) -> Column:
+    """array<variant>: the documents within a wrapper, null where there are none and it is no empty answer.
+
+    Of the members and their members: a list with documents or a document itself; else a list of objects among the
+    members; else an empty list, unless a member tells of a failure. Of several, the longest, then the first by name.
+    """
+    keys = F.map_keys(F.try_variant_get(v, "$", "map<string,variant>"))
+    failed = F.arrays_overlap(F.transform(keys, F.lower), F.array(*map(F.lit, FAILURE_MARKS)))
+    first = _values(v)
+    both = F.concat(first, F.flatten(F.transform(first, _values)))
+    as_list = lambda x: F.coalesce(_list(x), F.when(_marked(x), F.array(x)))
+    lists = F.filter(F.transform(both, as_list), lambda d: d.isNotNull())
+    own = F.filter(F.transform(first, _list), lambda d: d.isNotNull())
+    tiers = F.array(
+        F.filter(lists, lambda d: F.exists(d, _marked)),
+        F.filter(own, lambda d: F.exists(d, lambda x: F.schema_of_variant(x).startswith("OBJECT"))),
+        F.when(~failed, F.filter(lists, lambda d: F.size(d) == 0)).otherwise(F.array().cast("array<array<variant>>")),
+    )
+    best = F.try_element_at(F.filter(tiers, lambda t: F.size(t) > 0), F.lit(1))
+    longest = F.array_max(F.transform(best, F.size))
+    return F.try_element_at(F.filter(best, lambda d: F.size(d) == longest), F.lit(1))
+
+
 def parsed(answers: DataFrame, payload: str = "payload") -> DataFrame:
     """Adds outer_form and docs (array<variant>): the documents of each answer."""
     text = F.col(payload)
@@ -44,14 +88,13 @@ def parsed(answers: DataFrame, payload: str = "payload") -> DataFrame:
         .when(is_doc, "document")
         .otherwise("wrapped")
     )
-    df = df.withColumn("_form", form)
-    inner = F.coalesce(*[F.try_variant_get("_v", p, "variant") for p in WRAPPERS])
-    body = F.when(F.col("_form").isin("list", "document"), F.col("_v")).when(F.col("_form") == "wrapped", inner)
-    df = df.select("*", once(body).alias("_b"))
-    is_object = F.schema_of_variant("_b").startswith("OBJECT")
-    df = df.withColumn("docs", F.when(is_object, F.array("_b")).otherwise(F.try_variant_get("_b", "$", "array<variant>")))
-    df = df.withColumn("outer_form", F.when((F.col("_form") == "wrapped") & F.col("docs").isNull(), "failed").otherwise(F.col("_form")))
-    return df.drop("_v", "_b", "_form")
+    df = df.select("*", once(F.struct(form.alias("form"))).alias("_f"))
+    form = F.col("_f.form")
+    docs = F.when(form == "list", _list(F.col("_v"))).when(form == "document", F.array("_v")).when(form == "wrapped", wrapped_documents(F.col("_v")))
+    df = df.select("*", once(F.struct(docs.alias("docs"))).alias("_d"))
+    found = F.when((form == "wrapped") & F.col("_d.docs").isNull(), "failed").otherwise(form)
+    rest = [F.col(f"`{c}`") for c in answers.columns if c not in ("outer_form", "docs")]
+    return df.select(*rest, found.alias("outer_form"), F.col("_d.docs").alias("docs"))
 
 
 def documents(answers: DataFrame, key: str = "cache_id", payload: str = "payload") -> DataFrame:
@@ -62,15 +105,17 @@ def documents(answers: DataFrame, key: str = "cache_id", payload: str = "payload
 def schema_plan(docs: DataFrame, schema: str | None = None, roots: tuple[str, ...] | None = None) -> Table:
     """The tables by shared inlining. `schema` is a merged VARIANT schema; without it aggregates find it.
 
-    With `roots` members of several kinds are looked into below these members only.
+    With `roots` the tables hold these members of the documents only.
     """
     if schema is not None:
-        return inline(parse_schema(schema if schema not in ("", "VOID", "VARIANT") else "OBJECT<>"), "document")
-    objects = docs.where(F.schema_of_variant("doc").startswith("OBJECT")).select(F.col("doc").alias("_e"))
-    root = merged(objects)
-    for name, child in root.fields.items():
-        if roots is None or name in roots:
-            root.fields[name] = told_apart(objects, child, (name,))
+        root = parse_schema(schema if schema not in ("", "VOID", "VARIANT") else "OBJECT<>")
+    else:
+        objects = docs.where(F.schema_of_variant("doc").startswith("OBJECT")).select(F.col("doc").alias("_e"))
+        root = merged(objects)
+    if roots is not None:
+        root.fields = {k: v for k, v in root.fields.items() if k in roots}
+    if schema is None:
+        root.fields = {k: told_apart(objects, child, (k,)) for k, child in root.fields.items()}
     return inline(root, "document")
 
 
@@ -107,10 +152,6 @@ def told_apart(elements: DataFrame, node: Node, path: tuple[str, ...] = ()) -> N
     return node
 
 
-def scalar_in(inner: Column) -> Column:
-    return ~F.schema_of_variant(inner).rlike("^(OBJECT|ARRAY|VOID)")
-
-
 def value_of(v: Column, path: tuple[str, ...], node: Node) -> Column:
     """The leaf as a typed column; mixed, nested and void leaves as JSON text, a JSON null as null.
 
@@ -126,76 +167,78 @@ def value_of(v: Column, path: tuple[str, ...], node: Node) -> Column:
     return F.when(~F.schema_of_variant(inner).rlike(f"^({'|'.join(apart)})"), text) if apart else text
 
 
-def flat_tables(answers: DataFrame, key: str = "cache_id", payload: str = "payload", schema: str | None = None) -> dict[str, DataFrame]:
-    """The related tables by name: `answer`, `document` and one per child table of the plan.
+def flat_tables(
+    answers: DataFrame, key: str = "cache_id", payload: str = "payload", schema: str | None = None, roots: tuple[str, ...] | None = None
+) -> dict[str, DataFrame]:
+    """The related tables by name: `answer`, `document` and the other tables of the plan.
 
-    Each row carries the key columns of its parent: the answer's key, doc_pos, and one position per level below.
+    Each row of the others carries the answer's key, doc_pos, node, parent_table, parent_node and pos, then its leaves.
     """
     docs = documents(answers, key, payload)
-    plan = schema_plan(docs, schema)
+    plan = schema_plan(docs, schema, roots)
     rest = [c for c in answers.columns if c not in (payload, "outer_form", "docs")]
     out = {"answer": parsed(answers, payload).select(*[F.col(f"`{c}`") for c in rest], "outer_form", F.coalesce(F.size("docs"), F.lit(0)).alias("n_documents"))}
-    _emit(docs.withColumnRenamed("doc", "_e"), plan, [key, "doc_pos"], out)
+    for name, (df, columns) in _tables(docs, plan, key).items():
+        out[name if name != "answer" else "answer_element"] = df.select(*_keys(key), *[value_of(F.col("_e"), p, n).alias(c) for p, n, c in columns])
     return out
 
 
-def _emit(df: DataFrame, table: Table, keys: list[str], out: dict[str, DataFrame]) -> None:
-    names: dict[str, int] = {k.lower(): 1 for k in keys}
-    columns = []
-    for path, node in table.leaves:
-        name = "_".join(path) or "value"
-        seen = names[name.lower()] = names.get(name.lower(), 0) + 1
-        columns.append(value_of(F.col("_e"), path, node).alias(name if seen == 1 else f"{name}_{seen}"))
-    title = table.name
-    while title in out:
-        title += "_2"
-    out[title] = df.select(*keys, *columns)
-    for child in table.children:
-        if child.repeated:
-            pos = f"{'_'.join(child.path) or 'item'}_pos"
-            while pos in keys:
-                pos += "_2"
-            items = F.try_variant_get("_e", step(child.path), "array<variant>")
-            _emit(df.select(*keys, F.posexplode(items).alias(pos, "_e")), child, [*keys, pos], out)
-        else:
-            inner = F.try_variant_get("_e", step(child.path), "variant")
-            _emit(df.select(*keys, inner.alias("_e")).where("_e is not null"), child, keys, out)
-
-
-def leaves(table: Table, v: Column, prefix: Column, roots: tuple[str, ...] | None) -> Column:
-    """array<string> of the paths of all non-null scalars of the table's element and of its child tables.
-
-    With `roots` only of those below these members, not of the members themselves.
-    """
-    parts = []
-    for path, node in table.leaves:
-        if roots is not None and (len(path) < 2 or path[0] not in roots):
-            continue
-        full = F.concat(prefix, F.lit((("." if path else "") + ".".join(path))))
-        if node.kind == "scalar":
-            scalar = F.try_variant_get(v, step(path), "string").isNotNull()
-        else:
-            scalar = scalar_in(F.try_variant_get(v, step(path), "variant"))
-        parts.append(F.array_compact(F.array(F.when(scalar, full))))
-    for child in table.children:
-        if roots is not None and (not child.path or child.path[0] not in roots):
-            continue
-        at = F.concat(prefix, F.lit("".join("." + p for p in child.path)))
-        if child.repeated:
-            items = F.try_variant_get(v, step(child.path), "array<variant>")
-            parts.append(F.coalesce(F.flatten(F.transform(items, _inside(child, at))), F.array().cast("array<string>")))
-        else:
-            parts.append(leaves(child, F.try_variant_get(v, step(child.path), "variant"), at, None))
-    return F.concat(*parts) if parts else F.array().cast("array<string>")
-
-
-def _inside(child: Table, at: Column):
-    return lambda x, i: leaves(child, x, F.concat(at, F.lit("["), i.cast("string"), F.lit("]")), None)
+def _keys(key: str) -> list[str]:
+    return [key, "doc_pos", "node", "parent_table", "parent_node", "pos"]
+
+
+def _tables(docs: DataFrame, plan: Table, key: str) -> dict[str, tuple[DataFrame, list[tuple[tuple[str, ...], Node, str]]]]:
+    """By table the rows of all its occurrences (keys and the element `_e`), and path, node and column name of its leaves."""
+    none = F.lit(None)
+    rows: dict[str, list[DataFrame]] = {}
+
+    def walk(df: DataFrame, table: Table) -> None:
+        rows.setdefault(table.name, []).append(df)
+        for child in table.children:
+            below = F.concat(F.col("node"), F.when(F.col("node") != "", ".").otherwise("") if child.path else F.lit(""), F.lit(".".join(child.path)))
+            at = F.try_variant_get("_e", step(child.path), "variant")
+            if child.repeated:
+                items = df.select(key, "doc_pos", F.col("node").alias("parent_node"), below.alias("_at"), F.posexplode(_list(at)).alias("pos", "_e"))
+                inner = items.withColumn("node", F.concat("_at", F.lit("["), F.col("pos").cast("string"), F.lit("]")))
+            else:
+                inner = df.select(key, "doc_pos", F.col("node").alias("parent_node"), below.alias("node"), none.cast("int").alias("pos"), at.alias("_e"))
+                inner = inner.where(F.schema_of_variant("_e").startswith("OBJECT"))
+            walk(inner.withColumn("parent_table", F.lit(table.name)).select(*_keys(key), "_e"), child)
+
+    start = docs.select(key, "doc_pos", F.lit("").alias("node"), F.lit("answer").alias("parent_table"), none.cast("string").alias("parent_node"), none.cast("int").alias("pos"), F.col("doc").alias("_e"))
+    walk(start, plan)
+    out = {}
+    for name, leaves in columns_of(plan).items():
+        seen: dict[str, int] = {k.lower(): 1 for k in _keys(key)}
+        columns = []
+        for path, node in leaves:
+            column = "_".join(path) or "value"
+            n = seen[column.lower()] = seen.get(column.lower(), 0) + 1
+            columns.append((path, node, column if n == 1 else f"{column}_{n}"))
+        every = rows[name][0]
+        for more in rows[name][1:]:
+            every = every.unionByName(more)
+        out[name] = (every, columns)
+    return out
 
 
 def leaf_paths(answers: DataFrame, roots: tuple[str, ...], key: str = "cache_id", payload: str = "payload", schema: str | None = None) -> DataFrame:
-    """key, doc_pos, leaf_path of each non-null scalar below `roots` in each document, through the plan of the tables."""
+    """key, doc_pos, leaf_path of each non-null scalar below `roots` in each document: the filled leaves of the flat tables.
+
+    The path of a leaf is its row's node and the leaf's place within it.
+    """
     docs = documents(answers, key, payload)
-    plan = schema_plan(docs, schema, roots)
-    found = leaves(plan, F.col("doc"), F.lit(""), roots)
-    return docs.select(key, "doc_pos", F.explode(found).alias("p")).select(key, "doc_pos", F.expr("substring(p, 2)").alias("leaf_path"))
+    out = docs.select(key, "doc_pos", F.lit(None).cast("string").alias("leaf_path")).limit(0)
+    for name, (df, columns) in _tables(docs, schema_plan(docs, schema, roots), key).items():
+        below = [(p, n, c) for p, n, c in columns if name != "document" or len(p) > 1]
+        if not below:
+            continue
+        flat = df.select(key, "doc_pos", "node", *[value_of(F.col("_e"), p, n).alias(f"c{i}") for i, (p, n, _) in enumerate(below)])
+        paths = []
+        for i, (p, n, _) in enumerate(below):
+            value = F.col(f"c{i}")
+            filled = value.isNotNull() if n.kind == "scalar" and n.type != "VOID" else value.isNotNull() & ~value.rlike(r"^[\[{]")
+            dot = F.when(F.col("node") != "", ".").otherwise("") if p else F.lit("")
+            paths.append(F.when(filled, F.concat("node", dot, F.lit(".".join(p)))))
+        out = out.unionByName(flat.select(key, "doc_pos", F.explode(F.array_compact(F.array(*paths))).alias("leaf_path")))
+    return out

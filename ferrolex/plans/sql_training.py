@@ -100,7 +100,22 @@ WHERE t.atom IS NOT NULL AND t.type NOT IN ('NULL', 'OBJECT', 'ARRAY')
 P5_ORIGINS = (
     _DOCS
     + """
-SELECT cache_id, doc_pos, CAST(o.key AS INTEGER) AS origins_pos, o.value->>'$.name' AS name, o.value->>'$.task_id' AS task_id
+SELECT cache_id, doc_pos, 'origins[' || o.key || ']' AS node, 'document' AS parent_table, '' AS parent_node, CAST(o.key AS INTEGER) AS pos,
+  o.value->>'$.name' AS name, o.value->>'$.task_id' AS task_id
 FROM doc, json_each(doc.d, '$.origins') o
 """
 )
+
+P5_ANSWERS = """
+WITH v AS (SELECT *, CASE WHEN json_valid(payload) THEN CAST(payload AS JSON) END AS j FROM mp_cache),
+b AS (
+  SELECT *, json_type(j) AS jt, CASE WHEN json_type(j) = 'ARRAY' THEN j WHEN json_type(j) = 'OBJECT' AND json_exists(j, '$.material_id') THEN json_array(j)
+    WHEN json_type(j) = 'OBJECT' THEN json_extract(j, '$.data') END AS docs
+  FROM v
+)
+SELECT cache_id, cache_key, written_at,
+  CASE WHEN trim(coalesce(payload, '')) = '' THEN 'empty' WHEN j IS NULL THEN 'broken' WHEN jt = 'ARRAY' THEN 'list' WHEN jt <> 'OBJECT' THEN 'scalar'
+    WHEN json_exists(j, '$.material_id') THEN 'document' WHEN docs IS NULL OR json_type(docs) <> 'ARRAY' THEN 'failed' ELSE 'wrapped' END AS outer_form,
+  CAST(CASE WHEN json_type(docs) = 'ARRAY' THEN json_array_length(docs) ELSE 0 END AS INTEGER) AS n_documents
+FROM b
+"""
