@@ -29,7 +29,7 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p3_ppm(spark: SparkSession, d: str) -> DataFrame:
-    return units.to_ppm(table(spark, d, "w_dbtt"), table(spark, d, "ref_unit"))
+    return units.to_ppm(table(spark, d, "w_dbtt"), table(spark, d, "ref_unit")).drop("raw", "offset")
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
@@ -67,4 +67,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p4_found": sql_training.P4_FOUND, "p4_metrics": sql_training.P4_METRICS, "p4_anomalies": sql_training.P4_ANOMALIES, "p5_found": sql_training.P5_FOUND, "p5_origins": sql_training.P5_ORIGINS}
+    return {
+        "p3_found": sql_training.P3_FOUND, "p3_ppm": sql_training.P3_PPM, "p4_found": sql_training.P4_FOUND, "p4_metrics": sql_training.P4_METRICS,
+        "p4_anomalies": sql_training.P4_ANOMALIES, "p5_found": sql_training.P5_FOUND, "p5_answers": sql_training.P5_ANSWERS,
+        "p5_documents": sql_training.P5_DOCUMENTS, "p5_origins": sql_training.P5_ORIGINS,
+    }
