@@ -1,20 +1,24 @@
 """Schemas that drift between the files of a feed: a report of changes and one table with fixed columns (problem 2).
 
-Each file is profiled per key: the JSON types of its values and a sketch of (record, value) hashes over a coordinated
-sample of records, the same records in both files of a pair. Keys of a file and of the file before it are matched by
-bipartite matching on the overlap of sketches, with name and type similarity as lesser weights; unmatched keys were
-added or removed. Lineages of keys over renames then name one fixed column each.
+Each file is profiled per key in one aggregate of fixed size: JSON types, numbers of values and a sketch of the values
+(min-hashes, moments of numbers and of lengths). Records that two consecutive files have in common tell how often two
+keys hold the same content; all of them count, their counts are added up before the shuffle. Keys of a file and of the
+file before it are matched by bipartite matching on this agreement, with name and type similarity as lesser weights;
+keys without common records are compared by their sketches. Unmatched keys were added or removed. Lineages of keys
+over renames, found by pointer doubling, then name one fixed column each.
 
 Defined results: records that are not JSON objects count for nothing; a file without readable records has no keys;
 files without feed or order number are compared with nothing; of files with one order number the lower file_id comes
-first; a type changes only where both files have non-null values. Repeated records count once in the sketches. Of the record
-ids common to the two files of a pair the sketch keeps all up to SAMPLE and about SAMPLE of more; keys and types use all rows.
+first; a type changes only where both files have non-null values. Of a record repeated within a file one version counts
+for agreement, the smallest; keys and types use all rows. A file without the record key is keyed by its string member
+with the most different values, if no other member has many more.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from difflib import SequenceMatcher
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -22,16 +26,22 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ferrolex.functions.matching import best_matching
+from ferrolex.session import cut
 
-#: Expected common records of two files in their sketch; the sampling error of an overlap is below 1 / sqrt(SAMPLE).
-SAMPLE = 4096
 #: Least share of agreement for content to count as going on, of the common records in which the rarer of two keys has a
 #: value; least number of agreeing records where they are under this share of all; the bonus of an unchanged name.
 LEAST_COUNT = 2
 LEAST_OVERLAP, SAME_NAME, NAME_WEIGHT, TYPE_WEIGHT = 0.3, 0.5, 0.1, 0.05
-#: Least likeness of names where two keys have no comparable values at all.
-NAME_ALONE = 0.8
+#: Without common values: least likeness of names alone, and least likeness of the value sketches (of keys with at least
+#: LEAST_VALUES values) with that of the names beside it.
+NAME_ALONE, SKETCH_ALONE, SKETCH_NAME, LEAST_VALUES = 0.8, 0.5, 0.3, 5
+#: Min-hashes of a value sketch.
+MINHASHES = 12
+#: A member stands in for the record key if it has at least this share of the different values of any member.
+NEARLY_ALL = 0.9
 BUCKET = 1024
+# JSON types by their code.
+KINDS = ("string", "number", "boolean", "object", "array")
 
 # The columns of the unified table and their types, under their declared names.
 UNIFIED = {
@@ -58,24 +68,30 @@ def previous_files(files: DataFrame) -> DataFrame:
     )
 
 
-def members(records: DataFrame, record_key: str = "record_id") -> DataFrame:
-    """file_id, rec and one row per member of each record: key, json type, mark.
+def cells(records: DataFrame) -> DataFrame:
+    """file_id and m: array<struct<key, kind, mark, number, size>> of the members of each readable record, parsed once.
 
-    `mark` is the fingerprint of the value, `rec` that of the record's own identifier; both null where there is none.
+    kind is the place in KINDS, null for a JSON null; `mark` is the fingerprint of the content, `number` its value where it
+    is one, `size` the length of its text.
     """
     entries = F.map_entries(F.try_variant_get(F.try_parse_json("payload"), "$", "map<string,variant>"))
-    rows = records.select("file_id", entries.alias("m")).where("m is not null")
-    rows = rows.select("file_id", F.transform("m", lambda e: F.struct(e["key"].alias("key_name"), F.schema_of_variant(e["value"]).alias("s"), F.to_json(e["value"]).alias("j"))).alias("m"))
-    own = lambda e: F.regexp_replace(F.lower(e["key_name"]), "_", "") == record_key.replace("_", "").lower()
-    rec = F.try_element_at(F.filter("m", lambda e: own(e) & (e["s"] != "VOID")), F.lit(1))["j"]
-    rows = rows.select("file_id", F.xxhash64(rec).alias("rec"), rec.isNotNull().alias("has_rec"), F.explode("m").alias("e"))
-    s = F.col("e.s")
-    kind = (
-        F.when(s == "VOID", None).when(s.startswith("OBJECT"), "object").when(s.startswith("ARRAY"), "array")
-        .when(s == "STRING", "string").when(s == "BOOLEAN", "boolean").otherwise("number")
-    )
-    mark = F.when(s != "VOID", fingerprint(plain_text(F.col("e.j"))))
-    return rows.select("file_id", F.when(F.col("has_rec"), F.col("rec")).alias("rec"), F.col("e.key_name").alias("key_name"), kind.alias("json_type"), mark.alias("mark"))
+    rows = records.select("file_id", F.explode(F.array(F.struct(entries.alias("m")))).alias("p")).where("p.m is not null")
+
+    def of(e: Column) -> Column:
+        v = e["value"]
+        kind = F.schema_of_variant(v)
+        code = (
+            F.when(kind == "STRING", 0).when(kind == "BOOLEAN", 2).when(kind.startswith("OBJECT"), 3).when(kind.startswith("ARRAY"), 4)
+            .when(kind != "VOID", 1)
+        )
+        number = F.when((code == 1) | (code == 0), F.try_variant_get(v, "$", "double"))
+        text = F.when(code <= 2, F.try_variant_get(v, "$", "string")).when(code >= 3, plain_text(F.to_json(v)))
+        return F.struct(e["key"].alias("key"), code.cast("tinyint").alias("kind"), number.alias("number"), text.alias("text"))
+
+    rows = rows.select("file_id", F.transform("p.m", of).alias("m"))
+    size = lambda e: F.length(e["text"])
+    mark = lambda e: F.when(e["kind"].isNotNull(), F.when(e["number"].isNotNull(), F.xxhash64(e["number"].cast("string"))).otherwise(fingerprint(e["text"])))
+    return rows.select("file_id", F.transform("m", lambda e: F.struct(e["key"].alias("key"), e["kind"].alias("kind"), mark(e).alias("mark"), e["number"].alias("number"), size(e).alias("size"))).alias("m"))
 
 
 def plain_text(j: Column) -> Column:
@@ -92,74 +108,147 @@ def fingerprint(text: Column) -> Column:
     return F.xxhash64(F.coalesce(number.cast("string"), parts))
 
 
-def key_profiles(cells: DataFrame) -> DataFrame:
-    """file_id, key_name, types, n_values: over all rows, with states that merge."""
-    return cells.groupBy("file_id", "key_name").agg(F.array_sort(F.collect_set("json_type")).alias("types"), F.count("json_type").alias("n_values"))
+def key_profiles(rows: DataFrame) -> DataFrame:
+    """file_id, key_name, key_hash, types (bits), n_values, n_distinct and the value sketch; over all rows, states merge."""
+    c = rows.select("file_id", F.explode("m").alias("e")).select("file_id", F.col("e.key").alias("key_name"), "e.kind", "e.mark", "e.number", "e.size")
+    moments = {"n_numbers": F.count("number"), "mean": F.avg("number"), "spread": F.stddev_pop("number"), "size": F.avg("size"), "size_spread": F.stddev_pop("size")}
+    return c.groupBy("file_id", "key_name").agg(
+        F.coalesce(F.bit_or(F.expr("shiftleft(1, kind)")), F.lit(0)).alias("types"), F.count("kind").alias("n_values"),
+        F.approx_count_distinct("mark", 0.02).alias("n_distinct"), *[v.alias(k) for k, v in moments.items()],
+        F.array(*[F.min(F.when(F.col("mark").isNotNull(), F.xxhash64("mark", F.lit(j)))) for j in range(MINHASHES)]).alias("hashes"),
+    ).withColumn("key_hash", F.xxhash64("key_name"))
 
 
-def overlaps(cells: DataFrame, links: DataFrame) -> DataFrame:
-    """file_id, prev_key, key_name, n_same: records of the sketch in which the two keys hold the same content.
+def record_keys(profiles: DataFrame, record_key: str) -> DataFrame:
+    """file_id, id_hash: the member that tells a file's records apart."""
+    named = F.regexp_replace(F.lower("key_name"), "_", "") == record_key.replace("_", "").lower()
+    fit = F.when(named | (F.col("types") == 1), F.struct(named.alias("named"), F.col("n_distinct"), F.col("key_hash")))
+    best = profiles.groupBy("file_id").agg(F.max(fit).alias("best"), F.max("n_distinct").alias("most"))
+    return best.where(F.col("best.named") | (F.col("best.n_distinct") >= NEARLY_ALL * F.col("most"))).select("file_id", F.col("best.key_hash").alias("id_hash"))
 
-    A row with only one of the keys counts the values of this key in the sketch, in the file or the one before it.
-    """
-    marked = cells.where("mark is not null and rec is not null").select("file_id", "rec", "key_name", "mark").distinct()
-    own = marked.groupBy("file_id", "rec").agg(F.lit(1).alias("one")).select("file_id", "rec")
-    pairs = links.where("prev_id is not null").select("file_id", "prev_id")
-    common = own.join(pairs, "file_id").join(own.withColumnRenamed("file_id", "prev_id"), ["prev_id", "rec"])
-    sizes = common.groupBy("file_id").agg(F.count("*").alias("n_common"))
-    sketch = common.join(sizes, "file_id").where(
-        (F.col("n_common") <= SAMPLE) | (F.pmod("rec", F.lit(1 << 20)) < F.lit(SAMPLE << 20) / F.col("n_common"))
-    )
-    now = marked.join(sketch.select("file_id", "rec"), ["file_id", "rec"])
-    then = marked.withColumnsRenamed({"file_id": "prev_id", "key_name": "prev_key"}).join(sketch.select("file_id", "prev_id", "rec"), ["prev_id", "rec"]).drop("prev_id")
-    nothing, count = F.lit(None).cast("string"), F.count("*").alias("n_same")
-    same = now.join(then, ["file_id", "rec", "mark"]).groupBy("file_id", "prev_key", "key_name").agg(count)
-    of_new = now.groupBy("file_id", "key_name").agg(count).select("file_id", nothing.alias("prev_key"), "key_name", "n_same")
-    of_old = then.groupBy("file_id", "prev_key").agg(count).select("file_id", "prev_key", nothing.alias("key_name"), "n_same")
-    return same.unionByName(of_new).unionByName(of_old)
 
+def overlaps(rows: DataFrame, links: DataFrame, keys: DataFrame) -> DataFrame:
+    """file_id, prev_hash, key_hash, n_same: common records of a file and the one before in which two keys hold the same.
 
+    A row with only one of the keys counts the values of this key in the common records, in the file or the one before.
+    Each record goes once to its own file and once to the next; counts are added up within the tasks before they move.
+    """
+    after = links.where("prev_id is not null").select(F.col("prev_id").alias("file_id"), F.col("file_id").alias("next_id"))
+    of_file = links.select("file_id", F.col("prev_id").isNotNull().alias("has_prev")).join(after, "file_id", "left").join(keys, "file_id")
+    full = F.filter("m", lambda e: e["mark"].isNotNull())
+    r = rows.join(of_file, "file_id").select("file_id", "has_prev", "next_id", "id_hash", full.alias("m"))
+    r = r.select("file_id", "has_prev", "next_id", "id_hash", F.transform("m", lambda e: F.xxhash64(e["key"])).alias("k"), F.transform("m", lambda e: e["mark"]).alias("v"))
+    rec = F.try_element_at("v", F.nullif(F.array_position("k", F.col("id_hash")).cast("int"), F.lit(0)))
+    sides = F.array(F.struct(F.when(F.col("has_prev"), F.col("file_id")).alias("file_id"), F.lit(True).alias("now")), F.struct(F.col("next_id").alias("file_id"), F.lit(False).alias("now")))
+    r = r.select(rec.alias("rec"), "k", "v", F.explode(sides).alias("s")).where("rec is not null and s.file_id is not null")
+    r = r.select("s.file_id", "rec", "s.now", F.struct("k", "v").alias("x"))
+    side = lambda now: F.min(F.when(F.col("now") == now, F.col("x")))
+    both = r.groupBy("file_id", "rec").agg(side(True).alias("n"), side(False).alias("t")).where("n is not null and t is not null")
+    pair = lambda a, b: F.struct(a.alias("prev_hash"), b.alias("key_hash"))
+    none = F.lit(None).cast("bigint")
+    then = F.arrays_zip(F.col("t.k").alias("k"), F.col("t.v").alias("v"))
+    same = F.flatten(F.transform(F.col("n.v"), lambda v, i: F.transform(F.filter(then, lambda p: p["v"] == v), lambda p: pair(p["k"], F.get(F.col("n.k"), i)))))
+    alone = F.concat(F.transform(F.col("t.k"), lambda k: pair(k, none)), F.transform(F.col("n.k"), lambda k: pair(none, k)))
+    each = both.select("file_id", F.explode(F.concat(same, alone)).alias("p"))
+    return each.groupBy("file_id", "p.prev_hash", "p.key_hash").agg(F.count("*").alias("n_same"))
+
+
+@lru_cache(maxsize=100_000)
 def likeness(a: str, b: str) -> float:
     x, y = (k.replace("_", "").lower() for k in (a, b))
     return 1.0 if x == y else SequenceMatcher(None, x, y).ratio()
 
 
+def closeness(m: float | None, s: float | None, n: float | None, t: float | None) -> float:
+    """Likeness of two distributions from mean and spread: 1 where they agree, towards 0 as the means part or spreads differ."""
+    if m is None or n is None:
+        return 1.0 if m is None and n is None else 0.0
+    s, t = s or 0.0, t or 0.0
+    wide = max(s, t, 1e-9 * max(abs(m), abs(n)), 1e-12)
+    return max(0.0, 1 - abs(m - n) / (2 * wide)) * (min(s, t) + 1e-12) / (max(s, t) + 1e-12)
+
+
+def sketch_likeness(a: dict, b: dict) -> float:
+    """How alike the values of two keys are by their sketches: shared values, or else distributions of one kind."""
+    if min(a["n_values"], b["n_values"]) < LEAST_VALUES:
+        return 0.0
+    shared = sum(x == y for x, y in zip(a["hashes"], b["hashes"]) if x is not None) / MINHASHES
+    sizes = closeness(a["size"], a["size_spread"], b["size"], b["size_spread"])
+    numbers = min(a["n_numbers"] / a["n_values"], b["n_numbers"] / b["n_values"])
+    alike = closeness(a["mean"], a["spread"], b["mean"], b["spread"]) if numbers > 0.5 else 0.5 * sizes
+    return max(shared, alike)
+
+
 def match_keys(file_id: int, rows: list[dict]) -> list[tuple]:
-    """Changes of one file, from rows of side p (previous key), n (new key) and s (overlap of two keys, or values of one)."""
-    then = {r["prev_key"]: r for r in rows if r["side"] == "p"}
+    """Changes of one file, from rows of side p (previous key), n (new key) and s (agreement of two keys, or values of one)."""
+    then = {r["key_name"]: r for r in rows if r["side"] == "p"}
     now = {r["key_name"]: r for r in rows if r["side"] == "n"}
-    same = {(r["prev_key"], r["key_name"]): r["n_same"] for r in rows if r["side"] == "s"}
+    same = {(r["prev_hash"], r["key_hash"]): r["n_same"] for r in rows if r["side"] == "s"}
     common = max([0, *(n for (a, b), n in same.items() if a is not None and b is not None)])
     old, new = sorted(then), sorted(now)
 
     def weight(a: str, b: str) -> float:
-        agree = same.get((a, b), 0)
-        filled = same.get((a, None), 0), same.get((None, b), 0)
+        x, y = then[a], now[b]
+        agree = same.get((x["key_hash"], y["key_hash"]), 0)
+        filled = same.get((x["key_hash"], None), 0), same.get((None, y["key_hash"]), 0)
         rarer = min(filled)
         share = agree / max(filled) if agree else 0.0
-        enough = agree and agree >= LEAST_OVERLAP * rarer and (agree >= LEAST_COUNT or agree >= LEAST_OVERLAP * common)
-        comparable = rarer and not 0 < agree < LEAST_COUNT
         if a == b:
             return SAME_NAME + share
+        enough = agree and agree >= LEAST_OVERLAP * rarer and (agree >= LEAST_COUNT or agree >= LEAST_OVERLAP * common)
+        comparable = rarer and not 0 < agree < LEAST_COUNT
+        gone = a not in now and b not in then
+        if not enough and (comparable or not gone):
+            return 0.0
         alike = likeness(a, b)
-        typed = float(set(then[a]["types"]) == set(now[b]["types"]))
+        rest = NAME_WEIGHT * alike + TYPE_WEIGHT * float(x["types"] == y["types"])
         if enough:
-            return share + NAME_WEIGHT * alike + TYPE_WEIGHT * typed
-        if not comparable and a not in now and b not in then and alike >= NAME_ALONE:
-            return NAME_WEIGHT * alike + TYPE_WEIGHT * typed
-        return 0.0
+            return share + rest
+        if alike >= NAME_ALONE:
+            return rest
+        looks = sketch_likeness(x, y) if alike >= SKETCH_NAME and not rarer else 0.0
+        return 0.1 * looks + 0.1 * rest if looks >= SKETCH_ALONE else 0.0
 
-    pairs = best_matching([[weight(a, b) for b in new] for a in old])
+    pairs = matched(old, new, weight)
     out = []
-    for i, j in pairs:
-        a, b = old[i], new[j]
+    for a, b in pairs:
         if a != b:
             out.append((file_id, a, b, "renamed"))
-        x, y = set(then[a]["types"]), set(now[b]["types"])
+        x, y = then[a]["types"], now[b]["types"]
         if x and y and x != y:
             out.append((file_id, a, b, "retyped"))
-    out += [(file_id, old[i], old[i], "removed") for i in range(len(old)) if i not in {p[0] for p in pairs}]
-    out += [(file_id, new[j], new[j], "added") for j in range(len(new)) if j not in {p[1] for p in pairs}]
+    left, right = {a for a, _ in pairs}, {b for _, b in pairs}
+    out += [(file_id, a, a, "removed") for a in old if a not in left]
+    out += [(file_id, b, b, "added") for b in new if b not in right]
+    return out
+
+
+def matched(old: list[str], new: list[str], weight) -> list[tuple[str, str]]:
+    """The matching of largest weight, solved apart for each connected part of the graph of pairs with a weight."""
+    edges = {(a, b): w for a in old for b in new if (w := weight(a, b)) > 0}
+    of_old: dict[str, list[str]] = {}
+    of_new: dict[str, list[str]] = {}
+    for a, b in edges:
+        of_old.setdefault(a, []).append(b)
+        of_new.setdefault(b, []).append(a)
+    out, seen = [], set()
+    for start in old:
+        if start in seen or start not in of_old:
+            continue
+        left, right, todo = {start}, set(), [start]
+        while todo:
+            for b in of_old[todo.pop()]:
+                if b not in right:
+                    right.add(b)
+                    fresh = [a for a in of_new[b] if a not in left]
+                    left.update(fresh)
+                    todo += fresh
+        seen |= left
+        rows, columns = sorted(left), sorted(right)
+        if len(rows) == len(columns) == 1:
+            out.append((rows[0], columns[0]))
+        else:
+            out += [(rows[i], columns[j]) for i, j in best_matching([[edges.get((a, b), 0.0) for b in columns] for a in rows])]
     return out
 
 
@@ -169,53 +258,53 @@ def _match(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(out, columns=["file_id", "prev_key", "key_name", "change_kind"])
 
 
-def changes(files: DataFrame, records: DataFrame) -> DataFrame:
+SKETCH = ("types", "n_values", "n_numbers", "mean", "spread", "size", "size_spread", "hashes")
+
+
+def changes(files: DataFrame, records: DataFrame, record_key: str = "record_id", profiles: DataFrame | None = None) -> DataFrame:
     """file_id, prev_key, key_name, change_kind of each file against the one before it.
 
     What is gathered per file are its keys and those of the file before, never rows.
     """
+    rows = cut(cells(records))
     links = previous_files(files)
-    cells = members(records)
-    profiles = key_profiles(cells)
-    empty = F.lit(None)
-    new = profiles.join(links.where("prev_id is not null"), "file_id").select(
-        "file_id", F.lit("n").alias("side"), empty.cast("string").alias("prev_key"), "key_name", "types", "n_values", F.lit(0).cast("bigint").alias("n_same")
-    )
-    old = profiles.withColumnRenamed("file_id", "prev_id").join(links.select("file_id", "prev_id"), "prev_id").select(
-        "file_id", F.lit("p").alias("side"), F.col("key_name").alias("prev_key"), empty.cast("string").alias("key_name"), "types", "n_values", F.lit(0).cast("bigint").alias("n_same")
-    )
-    same = overlaps(cells, links).select(
-        "file_id", F.lit("s").alias("side"), "prev_key", "key_name", F.array().cast("array<string>").alias("types"), F.lit(0).cast("bigint").alias("n_values"), "n_same"
+    profiles = cut(key_profiles(rows)) if profiles is None else profiles
+    nothing, no_hash = F.lit(None), F.lit(None).cast("bigint")
+    part = ["file_id", "side", "key_name", "prev_hash", "key_hash", "n_same", *SKETCH]
+    with_side = lambda df, side: df.select("file_id", F.lit(side).alias("side"), "key_name", no_hash.alias("prev_hash"), "key_hash", F.lit(0).cast("bigint").alias("n_same"), *SKETCH)
+    new = with_side(profiles.join(links.where("prev_id is not null").select("file_id"), "file_id"), "n")
+    old = with_side(profiles.withColumnRenamed("file_id", "prev_id").join(links.select("file_id", "prev_id"), "prev_id"), "p")
+    types = dict(profiles.dtypes)
+    same = overlaps(rows, links, record_keys(profiles, record_key)).select(
+        "file_id", F.lit("s").alias("side"), nothing.cast("string").alias("key_name"), "prev_hash", "key_hash", "n_same", *[nothing.cast(types[c]).alias(c) for c in SKETCH]
     )
     every = new.unionByName(old).unionByName(same)
-    gathered = every.groupBy("file_id").agg(F.collect_list(F.struct("side", "prev_key", "key_name", "types", "n_values", "n_same")).alias("rows"))
+    gathered = every.groupBy("file_id").agg(F.collect_list(F.struct(*part[1:])).alias("rows"))
     return gathered.mapInPandas(_match, "file_id bigint, prev_key string, key_name string, change_kind string")
 
 
 def lineages(files: DataFrame, found: DataFrame) -> DataFrame:
     """feed_name, key_name, from_seq, to_seq, root: during which files a renamed key carries the content of `root`.
 
-    Follows the renames of a feed; only these events are grouped, not files or records.
+    Each rename points at the rename before it of the same content; pointers are doubled until all point at a first one,
+    in as many rounds as the logarithm of the longest chain. Only rename events are handled, never files or records.
     """
     events = found.where("change_kind = 'renamed'").join(files.select("file_id", "feed_name", "seq_no"), "file_id")
-    schema = "feed_name string, key_name string, from_seq int, to_seq int, root string"
-    return events.select("feed_name", "seq_no", "prev_key", "key_name").groupBy("feed_name").applyInPandas(follow, schema)
-
-
-def follow(events: pd.DataFrame) -> pd.DataFrame:
-    feed = events["feed_name"].iloc[0]
-    open_keys: dict[str, tuple[int, str]] = {}
-    rows = []
-    for seq, step in events.sort_values(["seq_no", "prev_key"]).groupby("seq_no"):
-        moved = [(r.prev_key, r.key_name, open_keys.get(r.prev_key, (None, r.prev_key))[1]) for r in step.itertuples()]
-        for before, _, _ in moved:
-            if before in open_keys:
-                start, root = open_keys.pop(before)
-                rows.append((feed, before, start, int(seq) - 1, root))
-        for _, after, root in moved:
-            open_keys[after] = (int(seq), root)
-    rows += [(feed, k, start, 2**31 - 1, root) for k, (start, root) in open_keys.items()]
-    return pd.DataFrame(rows, columns=["feed_name", "key_name", "from_seq", "to_seq", "root"])
+    event = lambda key: F.xxhash64("file_id", key)
+    made = events.select("feed_name", F.col("key_name").alias("k"), "seq_no", F.lit(1).alias("made"), event("key_name").alias("id"), F.lit(None).cast("string").alias("root"))
+    used = events.select("feed_name", F.col("prev_key").alias("k"), "seq_no", F.lit(0).alias("made"), event("key_name").alias("id"), F.col("prev_key").alias("root"))
+    order = W.partitionBy("feed_name", "k").orderBy("seq_no", "made")
+    both = made.unionByName(used).withColumns({
+        "parent": F.last(F.when(F.col("made") == 1, F.col("id")), True).over(order.rowsBetween(W.unboundedPreceding, -1)),
+        "end": F.first(F.when(F.col("made") == 0, F.col("seq_no")), True).over(order.rowsBetween(1, W.unboundedFollowing)),
+    })
+    both = cut(both)
+    spans = both.where("made = 1").select("id", "feed_name", F.col("k").alias("key_name"), F.col("seq_no").alias("from_seq"), F.coalesce(F.col("end") - 1, F.lit(2**31 - 1)).alias("to_seq"))
+    points = both.where("made = 0").select("id", "parent", "root")
+    while not points.where("parent is not null").isEmpty():
+        up = points.select(F.col("id").alias("parent"), F.col("parent").alias("above"), F.col("root").alias("root_above"))
+        points = cut(points.join(up, "parent", "left").select("id", F.col("above").alias("parent"), F.coalesce("root_above", "root").alias("root")))
+    return spans.join(points, "id").select("feed_name", "key_name", "from_seq", "to_seq", "root")
 
 
 def unified(files: DataFrame, records: DataFrame, found: DataFrame | None = None) -> DataFrame:
@@ -224,12 +313,13 @@ def unified(files: DataFrame, records: DataFrame, found: DataFrame | None = None
     A key's content goes to the column its lineage began under, compared without case and underscores; a value that
     does not fit the column's type is null there.
     """
-    found = changes(files, records) if found is None else found
+    profiles = cut(key_profiles(cells(records)))
+    found = cut(changes(files, records, profiles=profiles)) if found is None else found
     spans = lineages(files, found)
     of_file = files.select("file_id", "feed_name", "seq_no")
     # Fields per key and file: few rows beside the records, joined on the file.
     keys = (
-        key_profiles(members(records)).join(of_file, "file_id").alias("k")
+        profiles.join(of_file, "file_id").alias("k")
         .join(spans.alias("s"), (F.col("k.feed_name") == F.col("s.feed_name")) & (F.col("k.key_name") == F.col("s.key_name")) & F.col("k.seq_no").between(F.col("s.from_seq"), F.col("s.to_seq")), "left")
         .select("k.file_id", "k.key_name", F.coalesce("s.root", "k.key_name").alias("field"))
     )

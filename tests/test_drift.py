@@ -52,23 +52,57 @@ def test_unified_follows_lineages(spark):
     assert all(r.composition_string == f"W0.{r.record_id[2:]}1" for r in rows)
 
 
-def test_large_files_use_a_sample(spark, monkeypatch):
-    monkeypatch.setattr(drift, "SAMPLE", 40)
-    a = [rec(i, VEC=i * 1.01, s=i * 7) for i in range(400)]
-    b = [rec(i, vec_mean=i * 1.01, s=i * 7) for i in range(100, 500)]
-    assert changes(spark, a, b) == {(2, "VEC", "vec_mean", "renamed")}
-
-
-def test_small_files_beside_a_large_one_are_compared_in_full(spark, monkeypatch):
-    monkeypatch.setattr(drift, "SAMPLE", 4)
-    wide = [rec(i, VEC=i * 1.01) for i in range(1000, 3000)]
+def test_wide_and_narrow_files_of_one_feed_are_compared_in_full(spark):
+    wide = [rec(i, VEC=i * 1.01, s=i * 7) for i in range(1000, 5000)]
+    wide_on = [rec(i, vec_mean=i * 1.01, s=i * 7) for i in range(2000, 6000)]
     a = [rec(i, VEC=i * 1.01, composition_string=f"W0.{i}1") for i in range(10, 23)]
     b = [rec(i, electrons_per_atom=i * 1.01, alloy_formula=f"W0.{i}1") for i in range(19, 32)]
-    assert {c for c in changes(spark, wide, a, b) if c[0] == 3} == {
-        (3, "VEC", "electrons_per_atom", "renamed"), (3, "composition_string", "alloy_formula", "renamed"),
+    got = changes(spark, wide, wide_on, a, b)
+    assert {c for c in got if c[0] == 2} == {(2, "VEC", "vec_mean", "renamed")}
+    assert {c for c in got if c[0] == 4} == {(4, "VEC", "electrons_per_atom", "renamed"), (4, "composition_string", "alloy_formula", "renamed")}
+
+
+def test_many_small_feeds_beside_a_wide_file_keep_all_renames(spark):
+    """All of 20 renames are found; a common rate of sampling would lose most of them."""
+    f, r = [], []
+    for feed_no in range(20):
+        for seq in (1, 2, 3):
+            file_id = feed_no * 3 + seq
+            f.append((file_id, f"feed {feed_no}", seq, "f", 0))
+            span = range(0, 30) if seq == 1 else range(20, 50) if seq == 2 else range(40, 240)
+            name = "VEC" if seq == 1 else "electrons"
+            r += [(file_id * 1000 + i, file_id, i, json.dumps(rec(i, **{name: i * 1.01}))) for i in span]
+    files = spark.createDataFrame(f, "file_id bigint, feed_name string, seq_no int, file_name string, n_records int")
+    records = spark.createDataFrame(r, "raw_id bigint, file_id bigint, line_no int, payload string")
+    got = [tuple(x) for x in drift.changes(files, records).collect()]
+    assert sorted(got) == [(3 * k + 2, "VEC", "electrons", "renamed") for k in range(20)]
+
+
+def test_files_without_common_records_are_matched_by_their_value_sketches(spark):
+    a = [rec(i, vec=6 + i % 10 / 10, melting=3000 + 40 * (i % 20), form=("rod", "sheet", "wire")[i % 3]) for i in range(40)]
+    b = [rec(i, vec_mean=6.05 + i % 10 / 10, hardness=300 + 4 * (i % 20), form_kind=("rod", "sheet", "wire")[i % 3]) for i in range(100, 140)]
+    assert changes(spark, a, b) == {
+        (2, "vec", "vec_mean", "renamed"), (2, "form", "form_kind", "renamed"), (2, "melting", "melting", "removed"), (2, "hardness", "hardness", "added"),
     }
 
 
+def test_another_record_key_and_repeated_records(spark):
+    a = [{"sample": f"S-{i}", "x": i * 3, "k": 1} for i in range(30)]
+    b = [{"sample_no": f"S-{i}", "y": i * 3, "k": 1} for i in range(20, 50)] * 3
+    assert changes(spark, a, b) == {(2, "sample", "sample_no", "renamed"), (2, "x", "y", "renamed")}
+    same = [rec(1, x=i) for i in range(50)]
+    assert changes(spark, same, [rec(1, y=i) for i in range(50)] * 20) <= {(2, "x", "y", "renamed"), (2, "x", "x", "removed"), (2, "y", "y", "added")}
+
+
+def test_long_chains_of_renames_and_swaps(spark):
+    files = [[rec(i, **{f"name_{k}_{'abcdefghijk'[k] * 9}": i * 1.5}) for i in range(6)] for k in range(11)]
+    f, r = feed(spark, *files)
+    got = drift.lineages(f, drift.changes(f, r)).collect()
+    assert len(got) == 10 and {x.root for x in got} == {"name_0_aaaaaaaaa"} and all(x.to_seq == x.from_seq or x.from_seq == 11 for x in got)
+    rows = drift.unified(*feed(spark, *[[rec(i, VEC=i * 1.5, hardness_HV=i * 7 + 0.5) for i in range(6)], [rec(i, hardness_HV=i * 1.5, VEC=i * 7 + 0.5) for i in range(6)]])).collect()
+    assert all(r.vec == int(r.record_id[2:]) * 1.5 and r.hardness_hv == int(r.record_id[2:]) * 7 + 0.5 for r in rows) and len(rows) == 12
+
+
 def test_rarely_filled_keys_are_renamed_and_swapped(spark):
     full = [{"VEC": i * 1.01} | ({"dopant": f"D{i}", "p": i * 7, "q": f"Q{i}"} if i % 10 == 0 else {}) for i in range(100)]
     a = [rec(i, **m) for i, m in enumerate(full)]
@@ -92,5 +126,20 @@ def test_order_in_buckets(spark, monkeypatch):
 
 
 def test_whole_table(spark, sf):
-    found = drift.changes(table(spark, sf, "raw_file"), table(spark, sf, "raw_record"))
-    assert {r.change_kind for r in found.collect()} <= {"renamed", "retyped", "added", "removed"}
+    """Agreement of the record key with itself is the number of records in common, counted plainly."""
+    files, records = table(spark, sf, "raw_file"), table(spark, sf, "raw_record")
+    found = drift.changes(files, records).collect()
+    assert {"renamed"} <= {r.change_kind for r in found} <= {"renamed", "retyped", "added", "removed"}
+    ids: dict[int, set] = {}
+    for r in records.collect():
+        try:
+            ids.setdefault(r.file_id, set()).add(json.loads(r.payload)["record_id"])
+        except (ValueError, KeyError, TypeError):
+            pass
+    links = drift.previous_files(files)
+    rows = drift.cells(records)
+    profiles = drift.key_profiles(rows)
+    key = profiles.where("key_name = 'record_id'").first().key_hash
+    got = drift.overlaps(rows, links, drift.record_keys(profiles, "record_id")).where(f"prev_hash = {key} and key_hash = {key}")
+    want = {r.file_id: len((ids.get(r.file_id, set()) & ids.get(r.prev_id, set())) - {None}) for r in links.collect()}
+    assert {r.file_id: r.n_same for r in got.collect()} == {k: n for k, n in want.items() if n}
