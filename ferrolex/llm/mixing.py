@@ -1,9 +1,11 @@
 """Sources mixed to target weights, with capped repeats (problem 8).
 
 The texts of each listed source are laid end to end in a fixed order and cut into blocks of a fixed number of tokens.
-For each output shard source counts are drawn from a multinomial over what each source still has to give, so that the
-totals come out as planned; slot i of a source is block p(i) of its current pass, where p is a pseudorandom
-permutation of the block numbers, and slots are joined with blocks on that number.
+For each output shard source counts are drawn from a multinomial, conditioned on the planned totals; slot i of a source
+is block p(i) of its current pass, where p is a pseudorandom permutation of the block numbers, and slots are joined
+with blocks on that number. The draw splits: the slots of a run of shards are divided between its halves by a
+multivariate hypergeometric draw seeded by the run, which is that conditioned multinomial, so each task draws the counts
+and first slots of its own shards from the seed and nothing is drawn on the driver.
 
 The size of the mix is the largest at which the sources together miss at most `tolerance` of it: a source that is too
 small gives all its passes and holds a lower share, an absent one gives nothing; the shares of the others stay in
@@ -32,8 +34,10 @@ from ferrolex.sources.tables import small_rows
 
 BLOCK = 512
 #: Share of the mix by which small sources may fall short together; texts per bucket when offsets are summed up;
-#: slots of a shard at least, and shards at most (larger shards beyond).
-TOLERANCE, BUCKET, LEAST_SLOTS, MOST_SHARDS = 0.01, 20_000, 256, 100_000
+#: slots of a shard, and shards that a task draws.
+TOLERANCE, BUCKET, SHARD_SLOTS, TASK_SHARDS = 0.01, 20_000, 256, 2_000
+#: Above this many slots a split is drawn from the normal distribution with the same mean and variance.
+EXACT_SLOTS = 500_000_000
 #: How much larger, per share left out of the reckoning of the size, the mix must become by it.
 GAIN = 50
 #: More sources than this are refused.
@@ -76,24 +80,45 @@ def size_of_mix(sources: list[tuple[float, float]], tolerance: float) -> float:
     return size
 
 
-def draw(counts: dict[str, int], seed: int = SEED) -> pd.DataFrame:
-    """shard, source, n, start: multinomial counts per shard over the slots that each source still has to fill."""
-    names = sorted(counts)
-    left = np.array([counts[n] for n in names], dtype=np.int64)
-    slots = max(LEAST_SLOTS, -(-int(left.sum()) // MOST_SHARDS))
-    rng = np.random.default_rng(seed)
-    start, rows, shard = np.zeros_like(left), [], 0
-    while (rest := int(left.sum())) > 0:
-        want = min(slots, rest)
-        n = np.minimum(rng.multinomial(want, left / rest), left)
-        while (short := want - int(n.sum())) > 0:  # slots drawn for a source that has no more go to the others
-            room = left - n
-            n = n + np.minimum(rng.multinomial(short, room / room.sum()), room)
-        rows += [(shard, names[k], int(n[k]), int(start[k])) for k in range(len(names)) if n[k]]
-        start += n
-        left -= n
-        shard += 1
-    return pd.DataFrame(rows, columns=["shard", "source", "n", "start"])
+def split(counts: np.ndarray, take: int, rng: np.random.Generator) -> np.ndarray:
+    """How many of `take` slots drawn from counts belong to each source: one draw without replacement."""
+    out = np.zeros_like(counts)
+    left, rest = int(counts.sum()), int(take)
+    for k, own in enumerate(counts.tolist()):
+        if rest == 0:
+            break
+        others = left - own
+        if left <= EXACT_SLOTS:
+            n = int(rng.hypergeometric(own, others, rest)) if own and others else min(own, rest)
+        else:
+            mean = rest * (own / left)
+            spread = max(0.0, mean * (1 - own / left) * (1 - rest / left))
+            n = round(mean + spread**0.5 * rng.standard_normal())
+        n = min(max(n, rest - others, 0), own, rest)
+        out[k] = n
+        left, rest = others, rest - n
+    return out
+
+
+def draw(counts: np.ndarray, slots: int, first: int, last: int, seed: int = SEED) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """shard, counts per source and first slot per source of the shards first to last - 1.
+
+    A run of shards is halved until it is one shard; only the runs that hold wanted shards are visited.
+    """
+    total = int(counts.sum())
+    shards = -(-total // slots)
+    todo = [(0, shards, counts.astype(np.int64), np.zeros(len(counts), dtype=np.int64))]
+    while todo:
+        low, high, own, start = todo.pop()
+        if low >= high or high <= first or low >= last:
+            continue
+        if high - low == 1:
+            yield low, own, start
+            continue
+        middle = (low + high) // 2
+        left = split(own, min(middle * slots, total) - low * slots, np.random.default_rng([seed, low, high]))
+        todo.append((middle, high, own - left, start + left))
+        todo.append((low, middle, left, start))
 
 
 def mixed_bits(x: np.ndarray) -> np.ndarray:
@@ -121,15 +146,27 @@ def permuted(index: np.ndarray, size: np.ndarray, key: np.ndarray) -> np.ndarray
     return x.astype(np.int64)
 
 
-def _slots(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for b in batches:
-        if len(b) == 0:
-            continue
-        blocks = b["n_blocks"].to_numpy()
-        i = b["i"].to_numpy()
-        turn = i // blocks
-        key = (b["source_key"].to_numpy().astype(np.uint64) + turn.astype(np.uint64) * np.uint64(1_000_003))
-        yield pd.DataFrame({"shard": b["shard"], "source": b["source"], "pass_no": (turn + 1).astype("int32"), "block": permuted(i % blocks, blocks, key)})
+def slots_of(names: list[str], counts: np.ndarray, blocks: np.ndarray, keys: np.ndarray, seed: int):
+    """The function for mapInPandas over runs of shards (first, last): shard, source, pass_no, block of every slot."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for first, last in zip(batch["first"], batch["last"]):
+                shard, source, index = [], [], []
+                for number, n, start in draw(counts, SHARD_SLOTS, int(first), int(last), seed):
+                    held = np.flatnonzero(n)
+                    shard.append(np.full(int(n.sum()), number))
+                    source.append(np.repeat(held, n[held]))
+                    index.append(np.concatenate([np.arange(start[k], start[k] + n[k]) for k in held]))
+                if not shard:
+                    continue
+                s, i = np.concatenate(source), np.concatenate(index)
+                turn, of = i // blocks[s], blocks[s]
+                with np.errstate(over="ignore"):
+                    key = keys[s].astype(np.uint64) + turn.astype(np.uint64) * np.uint64(1_000_003)
+                yield pd.DataFrame({"shard": np.concatenate(shard), "source": np.array(names, dtype=object)[s], "pass_no": (turn + 1).astype("int32"), "block": permuted(i % of, of, key)})
+
+    return run
 
 
 def source_texts(docs: DataFrame, sources: list[str], folder: str, vocabulary: str) -> DataFrame:
@@ -179,24 +216,18 @@ def mix(docs: DataFrame, targets: DataFrame, block: int = BLOCK, folder: str = T
     given = plan(tokens, wanted, tolerance, total)
     n_blocks = {s: -(-tokens[s] // block) for s in given}
     counts = {s: min(round(given[s] / (tokens[s] / n_blocks[s])), n_blocks[s] * wanted[s][1]) for s in given}
-    drawn = draw({s: n for s, n in counts.items() if n > 0}, seed)
-    drawn["n_blocks"] = drawn["source"].map(n_blocks).astype("int64")
+    named = sorted(s for s, n in counts.items() if n > 0)
     keys = {s: int(np.random.default_rng([seed, k]).integers(1 << 62)) for k, s in enumerate(sorted(wanted))}
-    drawn["source_key"] = drawn["source"].map(keys).astype("int64")
-    slots = _frame(spark, drawn).select("shard", "source", "n_blocks", "source_key", F.explode(F.sequence("start", F.expr("start + n - 1"))).alias("i"))
-    slots = slots.mapInPandas(_slots, "shard bigint, source string, pass_no int, block bigint")
+    column = lambda of: np.array([of[s] for s in named], dtype=np.int64)
+    shards = -(-sum(counts[s] for s in named) // SHARD_SLOTS)
+    tasks = -(-shards // TASK_SHARDS)
+    runs = spark.range(0, tasks, 1, max(1, tasks)).select((F.col("id") * TASK_SHARDS).alias("first"), F.least((F.col("id") + 1) * TASK_SHARDS, F.lit(shards)).alias("last"))
+    slots = runs.mapInPandas(slots_of(named, column(counts), column(n_blocks), column(keys), seed), "shard bigint, source string, pass_no int, block bigint")
     pieces = block_pieces(texts, block, sum(n for n, _ in sums.values()) or 1)
     selection = slots.join(pieces, ["source", "block"]).select("shard", "source", "pass_no", "block", "doc_id", "first_token", "n_tokens")
     return selection, _shares(spark, selection, wanted, tokens)
 
 
-def _frame(spark: SparkSession, drawn: pd.DataFrame) -> DataFrame:
-    schema = "shard bigint, source string, n bigint, start bigint, n_blocks bigint, source_key bigint"
-    if drawn.empty:
-        return spark.createDataFrame([], schema)
-    return spark.createDataFrame(list(drawn[["shard", "source", "n", "start", "n_blocks", "source_key"]].itertuples(index=False, name=None)), schema)
-
-
 def _shares(spark: SparkSession, selection: DataFrame, wanted: dict[str, tuple[float, int]], tokens: dict[str, int]) -> DataFrame:
     uses = selection.groupBy("source", "doc_id", "first_token").agg(F.count("*").alias("u"), F.sum("n_tokens").alias("t"))
     taken = uses.groupBy("source").agg(F.sum("t").alias("tokens_taken"), F.max("u").alias("most_uses"))

@@ -3,11 +3,13 @@
 Items are spread over packing groups of a bounded size by a hash. Each group is packed by best fit decreasing; lower
 bounds from dual-feasible functions certify its number of bins. Groups with a gap between bins and bound give up the
 documents of their emptiest bins, which are exchanged: regrouped with those of other groups and packed again, and the
-exchange is kept only where it saves bins. A last small group takes what is left over.
+exchange is kept only where it saves bins; rounds go on while they do. The certificates of all groups of a round are
+kept (`certificates`), and `report` certifies the whole by dual-feasible bounds over all sizes.
 
 A text longer than the capacity is cut into full containers and a rest that is packed like a text; no other text is
 split. Defined results: a null text has no tokens and no container; an empty text takes none either (container null,
-0 tokens); ties in size are ordered by id; repeated rows are packed each; further columns are not read.
+0 tokens); ties in size are ordered by row; repeated rows, and rows with one or no id, are packed each, as containers
+and groups are told apart by a number of the row; further columns are not read.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from bisect import bisect_left
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ferrolex.llm.tokens import TOKENIZERS, VOCABULARY, token_count
@@ -26,9 +28,11 @@ from ferrolex.session import cut
 CAPACITY = 4096
 #: Tokens in a packing group, in containers: a group holds about this many full containers, whatever the data's size.
 GROUP_CONTAINERS = 512
-#: Rounds of exchange, and below which fill the documents of a bin are exchanged: in groups whose number of bins meets
-#: the bound, and in groups with a gap.
-ROUNDS, EXCHANGED, EXCHANGED_OF_GAPS = 2, 0.6, 0.95
+#: Rounds of exchange at most, and below which fill the documents of a bin are exchanged: in groups whose number of bins
+#: meets the bound, and in groups with a gap.
+ROUNDS, EXCHANGED, EXCHANGED_OF_GAPS = 4, 0.6, 0.95
+#: Staircases, and thresholds over half of the capacity, of the bound over all sizes.
+STAIRS, THRESHOLDS = 20, 32
 
 
 def best_fit_decreasing(sizes: list[int], capacity: int) -> list[int]:
@@ -105,9 +109,9 @@ PACKED = "grp string, doc_id bigint, item bigint, part int, size bigint, bin int
 
 
 def pieces(docs: DataFrame, capacity: int, folder: str, vocabulary: str) -> DataFrame:
-    """doc_id, n_tokens, part, size: one row per text, or per full container and rest of a text over the capacity."""
+    """doc_id, item (number of the row), n_tokens, part, size: one row per text, or per full container and rest of a text over the capacity."""
     sized = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(token_count(F.col("text"), folder, vocabulary), F.lit(0)).alias("n_tokens"))
-    sized = sized.withColumn("item", F.coalesce("doc_id", F.monotonically_increasing_id()))
+    sized = sized.withColumn("item", F.monotonically_increasing_id())  # fixed by the checkpoint that follows
     full = F.floor((F.col("n_tokens") - 1) / capacity).cast("int")
     parts = F.when(F.col("n_tokens") > capacity, F.sequence(F.lit(0), full)).otherwise(F.array(F.lit(0)))
     rows = sized.select("doc_id", "item", "n_tokens", F.explode(parts).alias("part"))
@@ -116,7 +120,14 @@ def pieces(docs: DataFrame, capacity: int, folder: str, vocabulary: str) -> Data
 
 
 def pack(docs: DataFrame, capacity: int = CAPACITY, folder: str = TOKENIZERS, vocabulary: str = VOCABULARY, rounds: int = ROUNDS, group_containers: int = GROUP_CONTAINERS) -> DataFrame:
-    """doc_id, part, n_tokens (of the part), container, position of the part's first token in its text.
+    """doc_id, part, n_tokens (of the part), container, position of the part's first token in its text."""
+    return certified(docs, capacity, folder, vocabulary, rounds, group_containers)[0]
+
+
+def certified(
+    docs: DataFrame, capacity: int = CAPACITY, folder: str = TOKENIZERS, vocabulary: str = VOCABULARY, rounds: int = ROUNDS, group_containers: int = GROUP_CONTAINERS
+) -> tuple[DataFrame, DataFrame]:
+    """The packing, and the certificate of each group packed: round_no, grp, n_bins, bound; n_bins = bound is optimal.
 
     Shuffles sizes only, never texts: one exchange for the first packing and one, of the emptiest bins, per round.
     """
@@ -131,6 +142,8 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, folder: str = TOKENIZERS, vo
     loose = items.where((F.col("size") > 0) & (F.col("size") < capacity))
     spread = lambda df, n, r: df.withColumn("grp", F.concat(F.lit(f"r{r}-"), F.pmod(F.xxhash64("item", "part", F.lit(r)), F.lit(n)).cast("string")))
     packed = cut(spread(loose, groups, 0).select("grp", "doc_id", "item", "part", "size").groupBy("grp").applyInPandas(pack_group(capacity), PACKED))
+    proof = lambda df, r: df.groupBy("grp").agg(F.first("n_bins").alias("n_bins"), F.first("bound").alias("bound")).select(F.lit(r).alias("round_no"), "grp", "n_bins", "bound")
+    proofs = proof(packed, 0)
     settled = []
     for r in range(1, rounds + 1):
         # Well-filled bins are settled; a certified group gives up only what its last bin holds.
@@ -149,20 +162,46 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, folder: str = TOKENIZERS, vo
             break
         settled.append(packed.join(open_bins, ["grp", "bin"], "left_anti").select("grp", "doc_id", "part", "size", "bin"))
         packed = again
+        proofs = proofs.unionByName(proof(packed, r))
     settled.append(packed.select("grp", "doc_id", "part", "size", "bin"))
     out = whole
     for part in settled:
         out = out.unionByName(part)
     packed_rows = out.select("doc_id", "part", F.col("size").alias("n_tokens"), F.concat("grp", F.lit("-"), F.col("bin")).alias("container"))
     empty = items.where(F.coalesce("size", F.lit(0)) <= 0).select("doc_id", "part", F.coalesce("size", F.lit(0)).cast("bigint").alias("n_tokens"), F.lit(None).cast("string").alias("container"))
-    return packed_rows.unionByName(empty).withColumn("first_token", F.col("part").cast("bigint") * capacity)
-
-
-def report(packed: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """One row: texts, tokens, containers, the bound by tokens, and the share of space left over."""
-    bins = packed.where("container is not null").groupBy("container").agg(F.sum("n_tokens").alias("fill"))
-    return bins.agg(
-        F.count("*").alias("n_containers"), F.coalesce(F.sum("fill"), F.lit(0)).alias("n_tokens"),
-        F.ceil(F.coalesce(F.sum("fill"), F.lit(0)) / capacity).cast("bigint").alias("bound"), F.max("fill").alias("largest_fill"),
+    return packed_rows.unionByName(empty).withColumn("first_token", F.col("part").cast("bigint") * capacity), proofs
+
+
+def dual_feasible_bounds(capacity: int) -> list[Column]:
+    """The bounds of `lower_bound` as aggregates over a column n_tokens of sizes, so that they hold for any number of items."""
+    size = F.col("n_tokens")
+    whole = lambda x: F.ceil(x).cast("bigint")
+    out = [whole(F.sum(size) / capacity)]
+    for j in range(1, THRESHOLDS + 1):
+        e = capacity * j // (2 * THRESHOLDS)
+        kept = F.coalesce(F.sum(F.when((size >= e) & (size <= capacity - e), size)), F.lit(0))
+        out.append(F.count(F.when(size > capacity - e, 1)) + whole(kept / capacity))
+    for k in range(1, STAIRS + 1):
+        steps, left = F.floor(size * (k + 1) / capacity), (size * (k + 1)) % capacity
+        out.append(whole(F.sum(steps * F.when(left > 0, k + 1).otherwise(k)) / (k * (k + 1))))
+    return out
+
+
+def report(packed: DataFrame, capacity: int = CAPACITY, certificates: DataFrame | None = None) -> DataFrame:
+    """One row: containers, tokens, the bound over all sizes and the gap to it, the largest fill, the share of space left
+    over, and of the first packing the groups, those certified, their bins and the sum of their bounds."""
+    held = packed.where("container is not null")
+    bins = held.groupBy("container").agg(F.sum("n_tokens").alias("fill"))
+    sums = bins.agg(
+        F.count("*").alias("n_containers"), F.coalesce(F.sum("fill"), F.lit(0)).alias("n_tokens"), F.max("fill").alias("largest_fill"),
         F.when(F.count("*") > 0, 1 - F.sum("fill") / (F.count("*") * capacity)).alias("space_left"),
     )
+    bound = held.agg(F.coalesce(F.greatest(*dual_feasible_bounds(capacity)), F.lit(0)).cast("bigint").alias("bound"))
+    out = sums.crossJoin(bound).withColumn("gap", F.col("n_containers") - F.col("bound"))  # one row each
+    if certificates is not None:
+        first = certificates.where("round_no = 0").agg(
+            F.count("*").alias("n_groups"), F.count(F.when(F.col("n_bins") == F.col("bound"), 1)).alias("n_certified_groups"),
+            F.coalesce(F.sum("n_bins"), F.lit(0)).alias("group_bins"), F.coalesce(F.sum("bound"), F.lit(0)).alias("group_bounds"),
+        )
+        out = out.crossJoin(first)
+    return out

@@ -31,7 +31,8 @@ def p7_packed(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p7_report(spark: SparkSession, d: str) -> DataFrame:
-    return packing.report(p7_packed(spark, d))
+    packed, certificates = packing.certified(table(spark, d, "documents"))
+    return packing.report(packed, certificates=certificates)
 
 
 def p8_selection(spark: SparkSession, d: str) -> DataFrame:

@@ -1,6 +1,6 @@
 import numpy as np
 
-from ferrolex.llm.mixing import draw, mix, permuted, plan, size_of_mix
+from ferrolex.llm.mixing import draw, mix, permuted, plan, size_of_mix, split
 from ferrolex.llm.tokens import encode
 
 
@@ -12,15 +12,37 @@ def test_permutation():
     assert list(permuted(np.arange(50), np.full(50, 50), np.full(50, 1))) != list(permuted(np.arange(50), np.full(50, 50), np.full(50, 2)))
 
 
-def test_plan_and_draw():
+def test_plan():
     given = plan({"a": 1000, "b": 100, "c": 1000}, {"a": (0.5, 1), "b": (0.3, 2), "c": (0.2, 1), "d": (0.1, 9)}, tolerance=0.0)
     assert abs(given["b"] - 200) < 1 and abs(given["a"] / given["c"] - 2.5) < 0.01
     assert plan({}, {"a": (1.0, 1)}) == {} and plan({"a": 5}, {"a": (0.0, 1)}) == {}
-    counts = {"a": 700, "b": 30, "c": 1}
-    d = draw(counts)
-    assert d.groupby("source")["n"].sum().to_dict() == counts and (d.groupby("shard")["n"].sum().iloc[:-1] == 256).all()
-    for s, g in d.groupby("source"):
-        assert (g["start"].to_numpy() == np.concatenate([[0], np.cumsum(g["n"])[:-1]])).all()
+
+
+def test_the_draw_splits_and_keeps_the_totals():
+    counts = np.array([7000, 300, 1, 0])
+    every = list(draw(counts, 256, 0, 10**9))
+    assert [k for k, _, _ in every] == list(range(29)) and sum(n for _, n, _ in every).tolist() == counts.tolist()
+    assert all(n.sum() == 256 for _, n, _ in every[:-1])
+    at = np.zeros(4, dtype=int)
+    for _, n, start in every:
+        assert start.tolist() == at.tolist()
+        at += n
+    for first, last in ((0, 5), (13, 14), (20, 40)):  # a task that draws some shards gets the same as one that draws all
+        assert [(k, n.tolist(), s.tolist()) for k, n, s in draw(counts, 256, first, last)] == [(k, n.tolist(), s.tolist()) for k, n, s in every[first:last]]
+    assert 3 < np.std([n[1] for _, n, _ in every[:-1]]) < 5 and list(draw(np.array([], dtype=int), 256, 0, 9)) == []
+
+
+def test_splits_of_any_size(monkeypatch):
+    rng = np.random.default_rng(0)
+    for exact in (500_000_000, 10):
+        monkeypatch.setattr("ferrolex.llm.mixing.EXACT_SLOTS", exact)
+        for _ in range(200):
+            counts = rng.integers(0, 50, 6)
+            take = int(rng.integers(0, counts.sum() + 1))
+            n = split(counts, take, rng)
+            assert n.sum() == take and (n >= 0).all() and (n <= counts).all()
+    big = split(np.array([6 * 10**10, 3 * 10**10, 10**10]), 5 * 10**10, rng)
+    assert big.sum() == 5 * 10**10 and abs(big[0] / 3e10 - 1) < 1e-4
 
 
 def test_a_nearly_empty_source_is_sized_like_an_absent_one():

@@ -4,7 +4,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from ferrolex.llm.packing import best_fit_decreasing, lower_bound, pack, report
+from ferrolex.llm.packing import best_fit_decreasing, certified, lower_bound, pack, report
 from ferrolex.llm.tokens import encode
 
 
@@ -62,7 +62,25 @@ def test_every_text_comes_out(spark, group):
     sizes = [r.n_tokens for r in got if r.container]
     together = len(set(best_fit_decreasing(sizes, 100)))  # as if one group held everything
     assert lower_bound(sizes, 100) <= len(fill) <= together * (1.0 if group == 512 else 1.1)
-    assert report(pack(df, 100, group_containers=group), 100).first().n_tokens == sum(fill.values())
+    packed, certificates = certified(df, 100, group_containers=group)
+    r = report(packed, 100, certificates).first()
+    assert r.n_tokens == sum(fill.values()) and r.largest_fill <= 100 and r.gap == r.n_containers - r.bound
+    assert -(-r.n_tokens // 100) <= r.bound <= lower_bound(sizes, 100) and r.n_certified_groups <= r.n_groups and r.group_bounds <= r.group_bins
+
+
+def test_repeated_long_rows_and_rows_without_id_get_containers_of_their_own(spark):
+    long = "word " * 2050
+    df = spark.createDataFrame([(1, long), (1, long), (None, long), (None, long), (0, long), (8589934592, long)], "doc_id bigint, text string").repartition(3)
+    fill = {}
+    for r in pack(df, capacity=500).collect():
+        fill[r.container] = fill.get(r.container, 0) + r.n_tokens
+    assert max(fill.values()) == 500 and len(fill) == 6 * 4 + 1
+
+
+def test_one_id_for_all_rows_still_spreads_over_groups(spark):
+    df = spark.createDataFrame([(7, "word " * (20 + k % 60)) for k in range(400)], "doc_id bigint, text string")
+    _, certificates = certified(df, capacity=100, group_containers=20)
+    assert certificates.where("round_no = 0").count() > 5
 
 
 def test_empty_table(spark):
