@@ -36,9 +36,9 @@ LEAST_OVERLAP, SAME_NAME, NAME_WEIGHT, TYPE_WEIGHT = 0.3, 0.5, 0.1, 0.05
 #: LEAST_VALUES values) with that of the names beside it.
 NAME_ALONE, SKETCH_ALONE, SKETCH_NAME, LEAST_VALUES = 0.8, 0.5, 0.3, 5
 #: Min-hashes of a value sketch.
-MINHASHES = 12
+MINHASHES = 8
 #: A member stands in for the record key if it has at least this share of the different values of any member.
-NEARLY_ALL = 0.9
+NEARLY_ALL = 0.8
 BUCKET = 1024
 # JSON types by their code.
 KINDS = ("string", "number", "boolean", "object", "array")
@@ -114,8 +114,8 @@ def key_profiles(rows: DataFrame) -> DataFrame:
     moments = {"n_numbers": F.count("number"), "mean": F.avg("number"), "spread": F.stddev_pop("number"), "size": F.avg("size"), "size_spread": F.stddev_pop("size")}
     return c.groupBy("file_id", "key_name").agg(
         F.coalesce(F.bit_or(F.expr("shiftleft(1, kind)")), F.lit(0)).alias("types"), F.count("kind").alias("n_values"),
-        F.approx_count_distinct("mark", 0.02).alias("n_distinct"), *[v.alias(k) for k, v in moments.items()],
-        F.array(*[F.min(F.when(F.col("mark").isNotNull(), F.xxhash64("mark", F.lit(j)))) for j in range(MINHASHES)]).alias("hashes"),
+        F.approx_count_distinct("mark", 0.08).alias("n_distinct"), *[v.alias(k) for k, v in moments.items()],
+        F.array(*[F.min(F.when(F.col("mark").isNotNull(), F.hash("mark", F.lit(j)))) for j in range(MINHASHES)]).alias("hashes"),
     ).withColumn("key_hash", F.xxhash64("key_name"))
 
 
