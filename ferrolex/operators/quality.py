@@ -30,6 +30,8 @@ RANGE_SHARE, SHAPE_SHARE, REPEAT_SHARE, SHIFT_LOW, SHIFT_HIGH, LEAST_VALUES = 0.
 MAX_COLUMNS = 2000
 #: Hash buckets of the values of a numeric column, and the size (log2 of its registers) of the sketch of different values.
 BUCKETS, SKETCH = 16, 12
+#: Buckets in doubt are broadcast up to this many rows (of some 40 bytes), beyond they are joined by a shuffle.
+MAX_DOUBT = 100_000
 #: Ranges of load order in which the history of a metric is summed up.
 SPANS = 4096
 
@@ -146,13 +148,13 @@ def load_metrics(states: DataFrame, tops: DataFrame | None = None) -> DataFrame:
 def frequent_values(records: DataFrame, profile: DataFrame, states: DataFrame, load: str = "load_id") -> DataFrame:
     """load_id, column_name, n_top: the exact count of the most frequent number wherever one may exceed REPEAT_SHARE.
 
-    Only values of buckets that large are counted; the others cannot hold such a value.
+    Only values of buckets that large are counted; the others cannot hold such a value. `states` is a table already written.
     """
     values = F.col("n") - F.col("n_null")
     large = F.filter(F.array(*[F.struct(F.lit(k).alias("bucket"), F.col(f"b{k}").alias("size")) for k in range(BUCKETS)]), lambda b: b["size"] > REPEAT_SHARE * values)
     doubt = states.where("is_number").select("load_id", "column_name", F.explode(large).alias("b")).select("load_id", "column_name", "b.bucket")
     cells = _cells(records, profile, load, None).where("number is not null").select("load_id", "column_name", "number", _bucket().cast("int").alias("bucket"))
-    c, d = cells.alias("c"), doubt.alias("d")
+    c, d = cells.alias("c"), (F.broadcast(doubt) if doubt.count() <= MAX_DOUBT else doubt).alias("d")
     same = F.col("c.load_id").eqNullSafe(F.col("d.load_id")) & (F.col("c.column_name") == F.col("d.column_name")) & (F.col("c.bucket") == F.col("d.bucket"))
     counts = c.join(d, same, "left_semi").groupBy("load_id", "column_name", "number").agg(F.count("*").alias("k"))
     return counts.groupBy("load_id", "column_name").agg(F.max("k").alias("n_top"))

@@ -61,3 +61,10 @@ def test_control_limits_look_back_only(spark, monkeypatch):
     assert {(r.load_id, r.metric) for r in found if r.column_name == "x" and r.metric == "null_share"} == {(99, "null_share")}
     first = [(99, None if i % 2 else 1.0, "a", None, 1) for i in range(50)]
     assert control_limits(load_metrics(load_states(*tables(spark, first)))).count() == 0
+
+
+def test_many_buckets_in_doubt_are_joined_by_a_shuffle(spark, monkeypatch):
+    rows = [(load, 4.0 if i < 40 else float(i), "a", None, 1) for load in range(5) for i in range(100)]
+    few = {tuple(r) for r in findings(*tables(spark, rows)).collect()}
+    monkeypatch.setattr(quality, "MAX_DOUBT", 0)
+    assert few == {tuple(r) for r in findings(*tables(spark, rows)).collect()} and {(k, "x", "repeat") for k in range(5)} <= few
