@@ -1,6 +1,11 @@
+import math
+import time
+
 import numpy as np
+import pandas as pd
 
-from ferrolex.llm.spam import FEATURES, LINK, SHOP, TRADE_PHRASE, blocks, features, hinted, score, weak_label
+from ferrolex.llm import spam
+from ferrolex.llm.spam import FEATURES, SHOP, TRADE_PHRASE, URL, block_lines, blocks, features, hinted, link_spans, page_odds, score, weak_label
 from ferrolex.llm.trees import BaggedTrees
 
 PROSE = "The specimens were annealed in hydrogen and the hardness was measured after each step. We found that it falls when the grains grow."
@@ -26,10 +31,12 @@ def test_trees_learn_and_stay_the_same():
 def test_blocks_cover_the_text_and_labels_are_sure():
     text = f"{PROSE}\n\n{TABLE}\n{PROSE}\n{PILE}"
     assert "".join("".join(blocks(text)).split()) == "".join(text.split())
-    for b in (PROSE, TRADE, REFERENCES):
-        assert weak_label(b, features(b)) == 0
+    label = lambda b: [weak_label("".join(x.text for x in run), features(run)) for run in block_lines(b)]
+    for b in (PROSE, REFERENCES, TABLE):
+        assert label(b) == [0]
     for b in (PILE, LINKS, TAGS):
-        assert weak_label(b, features(b)) == 1
+        assert label(b) == [1]
+    assert label(TRADE) == [-1] or label(TRADE) == [0]
     assert blocks("") == [] and blocks(" \n \n") == []
 
 
@@ -39,10 +46,57 @@ def test_hints_miss_nothing_that_the_patterns_find():
     for x in lines:
         for text in (x, f"prose\n{x}\nprose"):
             links, trade = hinted(text)
-            assert links or not LINK.search(text), text
+            assert links or not link_spans(text), text
             assert trade or not (SHOP.search(text) or TRADE_PHRASE.search(text)), text
-            assert LINK.search(text) or SHOP.search(text) or TRADE_PHRASE.search(text), text
-    assert features("rod EUR7 sheet EUR5")[FEATURES.index("shop_marks")] > 0
+            assert link_spans(text) or SHOP.search(text) or TRADE_PHRASE.search(text), text
+    assert features(block_lines("rod EUR7 sheet EUR5")[0])[FEATURES.index("shop_marks")] > 0
+
+
+def test_links_of_any_length_are_found_in_one_pass():
+    long = f'<a href="http://a.test/{"x" * 5000}">{"rod " * 1000}</a> and [{"w" * 900}](http://b.test/{"y" * 900}) and verylongscheme://x'
+    assert [long[a:b][:3] for a, b in link_spans(long)] == ["<a ", "[ww", "ver"] and sum(b - a for a, b in link_spans(long)) == len(long) - len(" and " * 2)
+    assert link_spans("see [1] (p. 3), a<b and c>d, no link") == [] and URL.search("x.de/a")
+    began = time.time()
+    for hard in ("<a " * 60_000, "[" * 60_000 + "](", "<a >" * 60_000, "](" * 60_000, "a-" * 60_000, "<a " * 30_000 + ">" + "<" * 30_000):
+        link_spans(hard)
+    assert time.time() - began < 20
+
+
+def test_pages_are_judged_by_the_probability_of_a_spam_majority():
+    assert page_odds(np.array([]), np.array([])) == (-spam.SUREST, 0.0)
+    assert page_odds(np.array([10.0, 30.0]), np.array([0.0, 1.0])) == (spam.SUREST, 0.75)
+    rng = np.random.default_rng(0)
+    sizes, p = np.arange(1.0, 60), np.linspace(0.2, 0.72, 59)
+    drawn = ((rng.random((20_000, 59)) < p) * sizes).sum(axis=1) > sizes.sum() / 2
+    odds = page_odds(sizes, p)[0]
+    assert abs(1 / (1 + math.exp(-odds)) - drawn.mean()) < 0.02
+
+
+def piles(k, words):
+    """Search terms without a word of trade: no rule is sure of a short list of them."""
+    return ", ".join(f"{words[(k + i) % 7]} {words[(k * 3 + i * 2) % 5]} tungsten" for i in range(10))
+
+
+def test_trees_find_pages_that_the_rules_leave_open(spark):
+    words = "ductile brittle fracture toughness hardness table grain".split()
+    pages = [(k, (PROSE, piles(k, words), TABLE, LINKS, PILE, TAGS)[k % 6], "h") for k in range(240)]
+    df = spark.createDataFrame(pages, "doc_id bigint, text string, source string")
+    got = {r.doc_id: r.is_spam for r in score(df).collect()}
+    assert all(got[k] == (k % 6 in (1, 3, 4, 5)) for k in got)
+    assert {weak_label(t, features(block_lines(t)[0])) for _, t, _ in pages[1::6]} == {-1}
+
+
+def test_host_rates_decide_uncertain_pages_and_their_weight_is_fitted(spark):
+    unsure = "tungsten wire 3 mm, tungsten wire 5 mm, grain of the wire, hardness, rod, the disc"
+    rows = [(k, LINKS if k % 2 else PILE, "bad") for k in range(100)] + [(100 + k, PROSE, "good") for k in range(100)] + [(300, unsure, "bad"), (301, unsure, "good")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    even = {r.doc_id: r for r in score(df, weight=0.0).collect()}
+    fitted = {r.doc_id: r for r in score(df).collect()}
+    assert even[300].smoothed == even[301].smoothed and fitted[300].smoothed > fitted[301].smoothed
+    assert {k: r.is_spam for k, r in fitted.items() if k < 300} == {k: k < 100 for k in range(200)}
+    sample = pd.DataFrame({"sizes": [[10]] * 40, "labels": [[k % 2] for k in range(40)], "f": [list(np.full(len(FEATURES), 0.5))] * 40})
+    x = np.array([1.0 if k % 2 else -1.0 for k in range(40)])
+    assert spam.fitted_weight(sample, x) == spam.MOST_WEIGHT and spam.fitted_weight(sample, -x) == 0.0 and spam.fitted_weight(sample.iloc[:0], x[:0]) == 0.0
 
 
 def test_pages(spark):
