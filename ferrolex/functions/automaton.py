@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterable
 
 import ahocorasick
@@ -20,6 +21,7 @@ class PhraseAutomaton:
         for phrase, payload in phrases:
             if phrase:
                 self.payload.setdefault(phrase, payload)
+        self.longest_phrase = max(map(len, self.payload), default=0)
         self.machine = ahocorasick.Automaton()
         for phrase, payload in self.payload.items():
             self.machine.add_word(phrase, (len(phrase), payload))
@@ -44,8 +46,11 @@ class PhraseAutomaton:
 
     def longest(self, text: str) -> list[tuple[int, int, object]]:
         """Non-overlapping matches: the longest wins, of equal lengths the first; in text order."""
+        starts: list[int] = []
         taken: list[tuple[int, int, object]] = []
-        for start, end, payload in sorted(self.every(text), key=lambda m: (m[0] - m[1], m[0])):
-            if all(end <= a or start >= b for a, b, _ in taken):
-                taken.append((start, end, payload))
-        return sorted(taken)
+        for match in sorted(self.every(text), key=lambda m: (m[0] - m[1], m[0])):
+            k = bisect_left(starts, match[0])
+            if (k == len(taken) or match[1] <= taken[k][0]) and (k == 0 or taken[k - 1][1] <= match[0]):
+                starts.insert(k, match[0])
+                taken.insert(k, match)
+        return taken

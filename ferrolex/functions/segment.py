@@ -48,10 +48,11 @@ STEPS = (
 ).split()
 PHRASES = ("furnace cooled", "by weight", "by atoms", "per pass", "per kg", "(w/w)", "(wt)", "(at.)", "so-called", "annealed at")
 
-#: What a single value may consist of: kinds in order. L label, N number, U unit, Q qualifier, S step, B label or unit.
-ONE_VALUE = re.compile(r"^(?:Q*[LB]Q*|Q*[LB]?Q*N[UB]*Q*|Q+|U+|S(?:N[UB]*)?|N[UB]*S)$")
-#: A known value is at most this long; longer stretches are never taken for one value.
-LONGEST_VALUE = 96
+#: What a single value may consist of: kinds in order. L label, N number, U unit, Q qualifier, S step, B label or unit,
+#: which is a unit only right behind a number.
+ONE_VALUE = re.compile(r"^(?:Q*[LB]Q*|Q*[LB]?Q*NB?U*Q*|Q+|U+|S(?:NB?U*)?|NB?U*S)$")
+#: Kinds of which one value holds one at most.
+AT_MOST_ONE = "LNS"
 
 
 @lru_cache(maxsize=1)
@@ -121,21 +122,45 @@ def bracket_partners(text: str) -> dict[int, int]:
     return partners
 
 
-def one_known_value(piece: str) -> bool:
-    """Whether the piece as a whole is one known value."""
+def known_value(piece: str) -> tuple[bool, bool]:
+    """As `judged`; short pieces are remembered."""
+    return _remembered(piece) if len(piece) < 100 else judged(piece)
+
+
+def judged(piece: str) -> tuple[bool, bool]:
+    """Whether the piece as a whole is one known value, and whether no longer piece that ends with it can be one.
+
+    The latter holds where text that no phrase reaches from the left is unknown, or holds two parts of a kind of which a
+    value has one.
+    """
     text = piece.strip()
-    if not text or len(text) > LONGEST_VALUE:
-        return False
+    if not text:
+        return False, False
     folded = NUMBER_LIKE.sub("#", re.sub(r"\((?!w/w\)|wt\)|at\.\))[^()]*\)", " ", text))
-    kinds, at = [], 0
-    for start, end, kind in known_values().longest(folded):
-        if folded[at:start].strip(" <>≤≥~≈=:_- "):
-            return False
+    automaton = known_values()
+    reach = automaton.longest_phrase
+    kinds, inner, at = [], [], 0
+    known, hopeless = True, False
+    for start, end, kind in automaton.longest(folded):
+        if folded[at:start].strip(" <>≤≥~≈=:_-\u00a0"):
+            known = False
+            hopeless = hopeless or bool(folded[max(at, reach) : start].strip(" <>≤≥~≈=:_-\u00a0"))
         kinds.append(kind)
+        if start >= reach:
+            inner.append(kind)
         at = end
-    if folded[at:].strip(" =:. "):
-        return False
-    return bool(kinds) and ONE_VALUE.match("".join(kinds)) is not None
+    if folded[at:].strip(" =:.\u00a0"):
+        known = False
+        hopeless = hopeless or bool(folded[max(at, reach) :].strip(" =:.\u00a0"))
+    hopeless = hopeless or any(inner.count(k) > 1 for k in AT_MOST_ONE)
+    return known and bool(kinds) and ONE_VALUE.match("".join(kinds)) is not None, hopeless
+
+
+_remembered = lru_cache(maxsize=50_000)(judged)
+
+
+def one_known_value(piece: str) -> bool:
+    return known_value(piece)[0]
 
 
 def best_cover(text: str, start: int, end: int, cuts: list[tuple[int, int, bool]]) -> list[tuple[int, int]]:
@@ -153,9 +178,7 @@ def best_cover(text: str, start: int, end: int, cuts: list[tuple[int, int, bool]
             piece = text[stops[i][1] : stops[j][0]]
             if i < j - 1:
                 over_plain = over_plain or not stops[i + 1][2]
-                if len(piece.strip()) > LONGEST_VALUE:
-                    break
-            known = one_known_value(piece)
+            known, hopeless = known_value(piece)
             score = (len(piece.strip()) if known else 0) - 0.5
             if not known and over_plain:
                 score -= 1e6
@@ -163,6 +186,8 @@ def best_cover(text: str, start: int, end: int, cuts: list[tuple[int, int, bool]
                 score -= 1e6
             if best[i][0] + score > choice[0]:
                 choice = (best[i][0] + score, i)
+            if hopeless and i < j - 1:
+                break
         best.append(choice)
     pieces, j = [], len(stops) - 1
     while j > 0:

@@ -61,3 +61,21 @@ def test_operator_edges(spark):
     got = sorted(split_fields(spark.createDataFrame(rows, schema)).collect(), key=str)
     assert len(got) == 8 and {r.rec_key for r in got} == {1, None}
     assert split_fields(spark.createDataFrame([], schema)).count() == 0
+
+
+def test_known_values_of_any_length():
+    digits = "1" * 200
+    assert values(f"0.{digits} g/kg/0.03 g/kg") == [f"0.{digits} g/kg", "0.03 g/kg"]
+    assert values(f"35-{digits}%/pass | Mo") == [f"35-{digits}%/pass", "Mo"]
+    for n in (5, 20, 59, 60, 240):
+        assert values(" ".join(["C 20 ppm"] * n)) == ["C 20 ppm"] * n
+        assert values("/".join(["0.05 g/kg"] * n)) == ["0.05 g/kg"] * n
+
+
+def test_long_entries_take_time_in_proportion():
+    import time
+
+    for text in ("unknown words, and more of them " * 4_000, "C 20 ppm " * 10_000, "ppm " * 3_000, "(a, b) " * 10_000, "x" * 100_000 + ", y"):
+        began = time.time()
+        split_packed(text)
+        assert time.time() - began < 20
