@@ -2,8 +2,13 @@
 
 A multi-pattern automaton over names and aliases finds the mentions embedded in a value, the longest non-overlapping
 match wins. A value that a mention explains up to words without weight is decided; what remains goes to the
-similarity of token sets, where tokens match up to typing errors, and where that finds nothing, to the longest mention. Names of things that are not on the list compete
-as strangers; a value nearest to a stranger, or near to nothing, is reported with term 0.
+similarity of token sets, where tokens match up to typing errors, and where that finds nothing, to the longest mention,
+a listed one of five letters and more before strangers; without any mention, windows as wide as a name are compared.
+Names of things that are not on the list compete as strangers; a value nearest to a stranger, or near to nothing, is
+reported with term 0. The same rules hold for values of any length. Typing errors are looked up in an index of letter
+pairs that loses no word within the errors allowed.
+
+Other names of the entries and strangers are a table (`aliases`); without one those of the vocabulary module count.
 
 Defined results: null values give no rows; a blank value names nothing (0); of equally near names the entry of the
 list wins over a stranger and the first entry over later ones; repeated rows are mapped each under its own key. An
@@ -16,6 +21,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,10 +32,12 @@ from ferrolex.sources.tables import small_rows
 
 #: Larger canonical lists are refused; they would need another vocabulary than the one below.
 MAX_TERMS = 50_000
-#: Least similarity of token sets, and the least likeness of two tokens that may stand for each other.
-LEAST_SIMILARITY, LEAST_TOKEN = 0.64, 0.5
-#: Values with more words than this are compared by windows as wide as a name.
-MOST_WORDS = 40
+#: Least similarity of token sets; one typing error is allowed per this many letters of a word.
+LEAST_SIMILARITY, LETTERS_PER_ERROR = 0.64, 3
+#: Letters of a listed mention that goes before strangers.
+LONG_MENTION = 5
+#: Rows of a table of aliases at most.
+MAX_ALIASES = 500_000
 #: Entries remembered by each Python worker.
 MEMORY = 100_000
 
@@ -51,24 +59,51 @@ def typing_distance(a: str, b: str, limit: int) -> int:
     return now[-1]
 
 
-def token_likeness(a: str, b: str) -> float:
-    """1 for equal words, less by each typing error; 0 below LEAST_TOKEN. Numbers and short words must be equal."""
-    if a == b:
-        return 1.0
+def errors_allowed(a: str, b: str) -> int:
+    """Typing errors that two words may differ by; numbers and words of one or two letters must be equal."""
     size = max(len(a), len(b))
-    if size <= 2 or a.isdigit() or b.isdigit():
-        return 0.0
-    limit = int(size * (1 - LEAST_TOKEN))
-    d = typing_distance(a, b, limit)
-    return 0.0 if d > limit else 1 - d / size
+    return 0 if size <= 2 or a.isdigit() or b.isdigit() else size // LETTERS_PER_ERROR
+
+
+def letter_pairs(word: str) -> set[str]:
+    padded = f"^{word}$"
+    return {padded[k : k + 2] for k in range(len(padded) - 1)}
 
 
-def letters(text: str) -> int:
-    """The characters of a text as a set of bits; d typing errors change at most 2 * d of them."""
-    bits = 0
-    for c in text:
-        bits |= 1 << (ord(c) & 63)
-    return bits
+class TypoIndex:
+    """Finds the words of a list within the typing errors allowed, by the letter pairs they share.
+
+    An error changes three of a word's letter pairs at most, so a word with d errors keeps all but 3 d of them: only words
+    that share so many are compared, and none within the errors is lost as long as one pair is left.
+    """
+
+    def __init__(self, words: list[str]):
+        self.words = words
+        self.sizes = np.array([len(w) for w in words], dtype=np.int64)
+        places: dict[str, list[int]] = {}
+        for k, w in enumerate(words):
+            for pair in letter_pairs(w):
+                places.setdefault(pair, []).append(k)
+        self.places = {pair: np.array(ks, dtype=np.int64) for pair, ks in places.items()}
+
+    def near(self, word: str) -> list[tuple[int, float]]:
+        """(place, likeness) of the words near a word; likeness is 1 less the share of letters in error."""
+        pairs = letter_pairs(word)
+        lists = [self.places[p] for p in pairs if p in self.places]
+        if not lists:
+            return []
+        found, shared = np.unique(np.concatenate(lists), return_counts=True)
+        sizes = self.sizes[found]
+        allowed = np.maximum(sizes, len(word)) // LETTERS_PER_ERROR
+        keep = (np.abs(sizes - len(word)) <= allowed) & (shared >= np.maximum(1, len(pairs) - 3 * allowed))
+        out = []
+        for k in found[keep]:
+            other = self.words[k]
+            if other == word:
+                out.append((int(k), 1.0))
+            elif (limit := errors_allowed(word, other)) and (d := typing_distance(word, other, limit)) <= limit:
+                out.append((int(k), 1 - d / max(len(word), len(other))))
+        return out
 
 
 class FieldMatcher:
@@ -89,13 +124,15 @@ class FieldMatcher:
         for k, (words, _, _, _) in enumerate(self.names):
             for w in set(words):
                 self.by_word.setdefault(w, []).append(k)
-        self.letters = [letters(name) for _, _, name, _ in self.names]
+        self.widest = max((size for _, size, _, _ in self.names), default=0)
+        self.words = TypoIndex(list(self.by_word))
+        self.joined = TypoIndex([name for _, _, name, _ in self.names])
         self.near: dict[str, list[tuple[str, float]]] = {}
 
     def similar_words(self, word: str) -> list[tuple[str, float]]:
         found = self.near.get(word)
         if found is None:
-            found = [(w, s) for w in self.by_word if (s := token_likeness(word, w)) > 0]
+            found = [(self.words.words[k], s) for k, s in self.words.near(word)]
             if len(self.near) > MEMORY:
                 self.near.clear()
             self.near[word] = found
@@ -117,18 +154,15 @@ class FieldMatcher:
             if all(w in covered or w in self.noise for w in words):
                 named = [m for m in mentions if not set(text[m[0] : m[1]].split()) <= self.noise] or mentions
                 return max(named, key=lambda m: (m[1] - m[0], -m[0]))[2]
-        named = [m for m in mentions if not set(text[m[0] : m[1]].split()) <= self.noise]
-        long = [m for m in named if m[1] - m[0] >= 5 and m[2] != 0] if len(words) > 6 else []
-        if len(words) > MOST_WORDS:
-            if not long and (best := self.nearest_window(words)) is not None:
+        for tokens in ([core, words] if core and core != words else [words]):
+            best = self.nearest(tokens)
+            if best is not None:
                 return best
-        else:
-            for tokens in ([core, words] if core and core != words else [words]):
-                best = self.nearest(tokens)
-                if best is not None:
-                    return best
-        found = long or named
-        return max(found, key=lambda m: (m[1] - m[0], -m[0]))[2] if found else 0
+        named = [m for m in mentions if not set(text[m[0] : m[1]].split()) <= self.noise]
+        found = [m for m in named if m[1] - m[0] >= LONG_MENTION and m[2] != 0] or named
+        if found:
+            return max(found, key=lambda m: (m[1] - m[0], -m[0]))[2]
+        return self.nearest_window(words) or 0
 
     def nearest_window(self, words: list[str]) -> int | None:
         """The term of the name most similar to any run of as many words as a name has, None if none is similar enough."""
@@ -147,29 +181,30 @@ class FieldMatcher:
         return term
 
     def nearest(self, words: list[str]) -> int | None:
-        """The term of the most similar name, None if none is similar enough."""
+        """The term of the most similar name, None if none is similar enough; words run together or split count as typed so."""
         best, term = self.most_similar(words)
-        joined = "".join(words)
-        if best < 0.85 and len(words) <= 6:
-            own = letters(joined)
-            for k, (_, _, name, t) in enumerate(self.names):
-                longest = max(len(name), len(joined))
-                limit = int(longest * (1 - best))
-                if longest < 4 or abs(len(name) - len(joined)) > limit or (own ^ self.letters[k]).bit_count() > 2 * limit:
-                    continue
-                d = typing_distance(joined, name, limit)
-                if d <= limit and 1 - d / longest > best:
-                    best, term = 1 - d / longest, t
+        if best < 0.85:
+            for k, likeness in self.joined.near("".join(words)):
+                if likeness > best and len(self.names[k][2]) > 3:
+                    best, term = likeness, self.names[k][3]
         return term
 
     def most_similar(self, words: list[str]) -> tuple[float, int | None]:
-        """Similarity and term of the name with the most similar tokens, None if none is similar enough."""
+        """Similarity and term of the name with the most similar tokens, None if none is similar enough.
+
+        Twice the letters that tokens share, over the letters of both; names too short for the value to reach
+        LEAST_SIMILARITY are not looked at.
+        """
+        size = sum(map(len, words))
+        if size * LEAST_SIMILARITY > (2 - LEAST_SIMILARITY) * self.widest:
+            return LEAST_SIMILARITY, None
         likes = [dict(self.similar_words(w)) for w in words]
         candidates = {k for like in likes for w in like for k in self.by_word[w]}
-        size = sum(map(len, words))
         best, term = LEAST_SIMILARITY, None
         for k in sorted(candidates):
             name, name_size, _, t = self.names[k]
+            if 2 * min(size, name_size) < best * (size + name_size):
+                continue
             pairs = sorted(((s * (len(words[i]) + len(w)), i, j) for i, like in enumerate(likes) for j, w in enumerate(name) if (s := like.get(w))), reverse=True)
             left, right, total = set(), set(), 0.0
             for s, i, j in pairs:
