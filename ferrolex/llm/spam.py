@@ -65,8 +65,8 @@ HASHTAG = re.compile(r"#\w+")
 SHOP = re.compile(r"add to (?:cart|basket)|\bSKU\b|\bin stock\b|^tags:|^item \d|\b(?:EUR|USD|\$|€) ?\d|in den warenkorb|ajouter au panier|^partner:|^see also:|^more .+ at ", re.I | re.M)
 LINK_HINTS = ("://", "<a", "](", ".com", ".net", ".org", ".info", ".example", ".invalid", ".test", ".biz", ".shop", ".de", ".fr")
 TRADE_HINTS = (
-    "add to ", "sku", "in stock", "tags:", "item ", "eur", "usd", "$", "€", "warenkorb", "au panier", "partner:", "see also", "near me", "buy online",
-    "best quality", "for sale", "free shipping", "en ligne", "pas cher", "en stock", "à vendre", "auf lager", "more ",
+    "add to ", "sku", "in stock", "tags:", "item ", "eur ", *(f"eur{k}" for k in range(10)), "usd", "$", "€", "warenkorb", "au panier", "partner:", "see also", "near me", "buy online",
+    "best quality", "for sale", "free shipping", "en ligne", "pas cher", "en stock", "à vendre", "auf lager", "\nmore ",
 )
 AT_LINE_END = re.compile(r" at\s*$", re.M)
 REFERENCE_HINTS = ("et al", "doi", "vol.", "(19", "(20", ", 19", ", 20")
@@ -84,11 +84,18 @@ FEATURES = (
 AT = {name: k for k, name in enumerate(FEATURES)}
 
 
+def trade_hinted(text: str) -> bool:
+    """Whether a text can hold marks or phrases of trade; misses none."""
+    low = text.lower()
+    if not low.isascii():
+        low = low.replace("i\u0307", "i").replace("ı", "i").replace("ſ", "s")  # as the patterns ignore case
+    return any(h in low for h in TRADE_HINTS) or low.startswith("more ") or (" at" in low and AT_LINE_END.search(low) is not None)
+
+
 def hinted(text: str) -> tuple[bool, bool]:
     """Whether the text can hold links, and whether it can hold marks or phrases of trade; cheap tests that miss none."""
-    low = text.lower().replace("i\u0307", "i").replace("ı", "i").replace("ſ", "s")  # as the patterns ignore case
-    trade = any(h in low for h in TRADE_HINTS) or (" at" in low and AT_LINE_END.search(low) is not None)
-    return any(h in low for h in LINK_HINTS), trade
+    low = text.lower()
+    return any(h in low for h in LINK_HINTS), trade_hinted(text)
 
 
 def link_spans(text: str) -> list[tuple[int, int]]:
@@ -152,7 +159,7 @@ class Line:
     def __init__(self, text: str, plain: str, links: int, trade: bool, tagged: bool):
         self.text, self.links = text, links
         self.phrases = self.shop = 0
-        if trade:
+        if trade and trade_hinted(plain):
             self.phrases = len(TRADE_PHRASE.findall(plain))
             self.shop = len(SHOP.findall(plain))
             if self.phrases or self.shop:
@@ -420,15 +427,21 @@ def fitted_weight(sample: pd.DataFrame, lift: np.ndarray, seed: int = 7) -> floa
     x0, y0 = examples()
     n = len(sample)
     odds, label = np.full(n, np.nan), np.full(n, -1)
+    sizes = [np.asarray(v, dtype=float) for v in sample["sizes"]]
+    for k, labels in enumerate(sample["labels"]):
+        labels = np.asarray(labels)
+        kinds = set(labels[labels >= 0].tolist())
+        if len(kinds) == 1 and (labels >= 0).mean() > 0.5:
+            label[k] = kinds.pop()
     for half in (0, 1):
         own = page % 2 != half
         model = BaggedTrees(seed=seed + half).fit(np.concatenate([x0, x[own]]), np.concatenate([y0, y[own]]))
-        for k in range(half, n, 2):
-            sizes, labels = np.asarray(sample["sizes"].iloc[k], dtype=float), np.asarray(sample["labels"].iloc[k])
-            kinds = set(labels[labels >= 0].tolist())
-            if len(kinds) == 1 and (labels >= 0).mean() > 0.5:
-                label[k] = kinds.pop()
-                odds[k] = page_odds(sizes, model.predict(np.asarray(sample["f"].iloc[k], dtype=float).reshape(-1, len(FEATURES))))[0]
+        judged = [k for k in range(half, n, 2) if label[k] >= 0]
+        if judged:
+            p = model.predict(np.concatenate([np.asarray(sample["f"].iloc[k], dtype=float) for k in judged]).reshape(-1, len(FEATURES)))
+            ends = np.cumsum([len(sizes[k]) for k in judged])
+            for k, part in zip(judged, np.split(p, ends[:-1])):
+                odds[k] = page_odds(sizes[k], part)[0]
     known = label >= 0
     if len(set(label[known].tolist())) < 2:
         return 0.0
