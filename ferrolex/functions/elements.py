@@ -7,6 +7,8 @@ import json
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ferrolex.sources.tables import small_rows
+
 # Standard atomic weights (public, conventional values), atomic numbers 1 to 94 in order.
 ATOMIC_WEIGHT = {
     "H": 1.008, "He": 4.002602, "Li": 6.94, "Be": 9.0121831, "B": 10.81, "C": 12.011, "N": 14.007, "O": 15.999, "F": 18.998403163,
@@ -37,7 +39,7 @@ USFE = {"Li": 71, "Na": 48, "K": 26, "Ti": 190, "V": 713, "Cr": 1549, "Fe": 980,
 
 PROPERTY_COLUMNS = ("metallic_radius", "melting_point", "density", "en_pauling", "lattice_constant")
 # Fixed values (public): metallic radius pm, melting point K, density g/cm3, Pauling electronegativity, lattice constant in
-# angstrom, structure. Further properties come with a dimension table of the caller.
+# angstrom, structure.
 _PROPERTIES = {
     "W": (141, 3695, 19.3, 2.36, 3.16, "BCC"), "Re": (137, 3459, 20.8, 1.9, 2.76, "HEX"), "Mo": (140, 2896, 10.2, 2.16, 3.15, "BCC"),
     "Ta": (147, 3290, 16.4, 1.5, 3.31, "BCC"), "Nb": (147, 2750, 8.57, 1.6, 3.3, "BCC"), "Hf": (160, 2506, 13.3, 1.3, 3.2, "HEX"),
@@ -47,6 +49,15 @@ _PROPERTIES = {
     "Co": (125, 1768, 8.86, 1.88, 2.51, "HEX"), "Cu": (128, 1357.8, 8.96, 1.9, 3.61, "FCC"), "Al": (143, 933.5, 2.7, 1.61, 4.05, "FCC"),
     "Si": (None, 1687, 2.33, 1.9, 5.43, "DIA"), "Mn": (137, 1519, 7.3, 1.55, 8.89, "CUB"), "Ru": (134, 2607, 12.1, 2.2, 2.7, "HEX"),
 }
+FURTHER_COLUMNS = ("atomic_radius", "boiling_point", "fusion_heat", "thermal_conductivity", "en_allen", "electron_affinity")
+# Fixed values (public): atomic radius pm, boiling point K, heat of fusion kJ/mol, thermal conductivity W/(m K), Allen
+# electronegativity (Pauling units), electron affinity eV. What is missing here comes with a dimension table of the caller.
+_FURTHER = {
+    "W": (135, 5828, 35.2, 173, 1.47, 0.816), "Re": (135, 5869, 33.2, 48, 1.6, 0.06), "Mo": (145, 4912, 36, 138, 1.47, 0.747), "Ta": (145, 5731, 36, 57.5, 1.34, 0.329),
+    "Nb": (145, 5017, 26.8, 53.7, 1.41, 0.917), "Ti": (140, 3560, 18.8, 21.9, 1.38, 0.076), "Zr": (155, 4682, 19.2, 22.7, 1.32, 0.433), "V": (135, 3680, 17.5, 30.7, 1.53, 0.525),
+    "Cr": (140, 2944, 21, 93.9, 1.65, 0.666), "K": (220, 1032, 2.33, 102.5, 0.734, 0.501), "Fe": (140, 3134, 13.8, 80.4, 1.8, 0.151), "Ni": (135, 3186, 17.6, 90.9, 1.88, 1.157),
+    "Co": (135, 3200, 15.5, 100, 1.84, 0.662), "Cu": (135, 2835, 13, 401, 1.85, 1.236),
+}
 #: Columns of an element dimension, in order.
 COLUMNS = (
     "symbol string, atomic_number int, lattice_structure string, vec int, atomic_weight double, atomic_radius double, metallic_radius double, "
@@ -64,6 +75,7 @@ def rows() -> list[dict]:
         if symbol in _PROPERTIES:
             *numbers, row["lattice_structure"] = _PROPERTIES[symbol]
             row |= {c: None if v is None else float(v) for c, v in zip(PROPERTY_COLUMNS, numbers)}
+        row |= {c: float(v) for c, v in zip(FURTHER_COLUMNS, _FURTHER.get(symbol, ()))}
         out.append(row)
     return out
 
@@ -75,10 +87,30 @@ def element_table(spark: SparkSession, path: str | None = None) -> DataFrame:
     return spark.createDataFrame(rows(), COLUMNS)
 
 
-def extend_cache(cached: DataFrame, wanted: DataFrame, source: DataFrame) -> DataFrame:
-    """Cached element rows plus those of the wanted symbols that are missing, taken from the source."""
-    missing = wanted.select("symbol").distinct().join(cached, "symbol", "left_anti")
-    return cached.unionByName(source.join(F.broadcast(missing), "symbol", "left_semi"))
+def extend_cache(cached: DataFrame, wanted: DataFrame, source: DataFrame, force_refresh: bool = False) -> DataFrame:
+    """Cached element rows plus those of the wanted symbols that are missing, taken from the source.
+
+    With force_refresh nothing that is cached counts: all wanted rows come from the source.
+    """
+    symbols = wanted.select("symbol").distinct()
+    if force_refresh:
+        return source.join(symbols, "symbol", "left_semi").select(*cached.columns)
+    missing = symbols.join(cached, "symbol", "left_anti")
+    return cached.unionByName(source.join(missing, "symbol", "left_semi").select(*cached.columns))
+
+
+def build_table(spark: SparkSession, path: str, wanted: DataFrame, source: DataFrame, force_refresh: bool = False) -> DataFrame:
+    """The rows of the wanted symbols, through a CSV cache that is extended by what it lacks and written back.
+
+    The new cache is written beside the old one and put in its place when it is whole. A symbol that the source does not
+    have gives no row.
+    """
+    from ferrolex.sources.files import exists, replace_csv
+
+    cached = spark.read.csv(path, schema=COLUMNS, header=True) if exists(path) else source.limit(0)
+    extended = extend_cache(cached, wanted, source, force_refresh).select(*[c.split()[0] for c in COLUMNS.split(", ")])
+    replace_csv(extended, path)
+    return spark.read.csv(path, schema=COLUMNS, header=True).join(wanted.select("symbol").distinct(), "symbol", "left_semi")
 
 
 def element_lookup(elements: DataFrame, symbol: str) -> DataFrame:
@@ -103,16 +135,36 @@ def look(values: Column, key: Column) -> Column:
     return F.try_element_at(values, key)
 
 
-def property_map(name: str) -> Column:
-    """One property of the built-in dimension as a map literal."""
-    return literal({r["symbol"]: r[name] for r in rows()})
+#: A dimension with more rows than this is refused.
+MAX_ELEMENTS = 1000
 
 
-def bcc_lattice_map() -> Column:
-    """Lattice constant of BCC elements, else the equivalent from the metallic radius: (4 / sqrt 3) r / 100."""
-    out = {}
-    for r in rows():
-        native = r["lattice_structure"] == "BCC" and r["lattice_constant"]
-        radius = r["metallic_radius"]
-        out[r["symbol"]] = r["lattice_constant"] if native else radius and 4 / 3**0.5 * radius / 100
-    return literal(out)
+class Elements:
+    """The properties of an element dimension as map literals for use inside expressions."""
+
+    def __init__(self, found: list[dict] | None = None):
+        self.rows = rows() if found is None else found
+
+    @classmethod
+    def of(cls, table: DataFrame | None) -> "Elements":
+        """From a dimension table of the caller (its size is checked), else built in."""
+        if table is None:
+            return cls()
+        return cls([r.asDict() for r in small_rows(table, MAX_ELEMENTS, "the element dimension")])
+
+    def property(self, name: str) -> Column:
+        return literal({r["symbol"]: r.get(name) for r in self.rows})
+
+    def bcc_lattice(self) -> Column:
+        """Lattice constant of BCC elements, else the equivalent from the metallic radius: (4 / sqrt 3) r / 100."""
+        out = {}
+        for r in self.rows:
+            native = r.get("lattice_structure") == "BCC" and r.get("lattice_constant")
+            radius = r.get("metallic_radius")
+            out[r["symbol"]] = r["lattice_constant"] if native else radius and 4 / 3**0.5 * radius / 100
+        return literal(out)
+
+
+def property_map(name: str) -> Column:
+    """One property of the built-in dimension as a map literal."""
+    return Elements().property(name)

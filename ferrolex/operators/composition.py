@@ -6,13 +6,14 @@ costs no shuffle. parts is array<struct<el, f>> in the order in which the elemen
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ferrolex.functions.elements import ATOMIC_WEIGHT, literal, look
 
 TOKEN = "([A-Z][a-z]?)([0-9]*\\.?[0-9]*)"
+#: An innermost pair of brackets: what is in round or square ones, and the amount behind.
+INNERMOST = r"(?:\(([^()\[\]]*)\)|\[([^()\[\]]*)\])([0-9]*\.?[0-9]*)"
 BASE = "W"
 PART = "array<struct<el:string,f:double>>"
 
@@ -41,56 +42,41 @@ def merged(parts: Column) -> Column:
 
 
 def with_formula(df: DataFrame, text: str, out: str) -> DataFrame:
-    """Adds the normalised atomic fractions of a flat formula such as W0.95Ni0.05, null where it cannot be read.
+    """Adds the normalised atomic fractions of a formula such as W0.95Ni0.05 or W0.9(Re2O3)0.1, null where it cannot be read.
 
     The tokens must make up the whole string, symbols must be elements, a missing amount is 1, the amounts must not
-    all be zero. Formulas with brackets are expanded by `expand_brackets` first.
+    all be zero; brackets are expanded.
     """
-    t = F.col(text)
-    x = df.withColumns({"_names": F.regexp_extract_all(t, F.lit(TOKEN), F.lit(1)), "_amounts": F.regexp_extract_all(t, F.lit(TOKEN), F.lit(2))})
+    x = df.withColumn("_flat", expand_brackets(F.col(text)))
+    t = F.col("_flat")
+    x = x.withColumns({"_names": F.regexp_extract_all(t, F.lit(TOKEN), F.lit(1)), "_amounts": F.regexp_extract_all(t, F.lit(TOKEN), F.lit(2))})
     x = x.withColumn("_raw", F.zip_with("_names", "_amounts", lambda n, a: F.struct(n.alias("el"), F.when(a == "", 1.0).otherwise(a.try_cast("double")).alias("f"))))
     x = x.withColumns({"_whole": F.array_join(F.zip_with("_names", "_amounts", lambda n, a: F.concat(n, a)), ""), "_total": F.aggregate("_raw", F.lit(0.0), lambda a, p: a + p["f"])})
     fits = (F.col("_whole") == t) & (F.size("_names") > 0) & F.forall("_raw", lambda p: is_element(p["el"]) & p["f"].isNotNull()) & (F.col("_total") > 0)
     x = x.withColumn("_scaled", F.when(fits, scaled(F.col("_raw"), F.col("_total"))))
     x = x.withColumn(out, merged(F.col("_scaled")).cast(PART))
-    return x.drop("_names", "_amounts", "_raw", "_whole", "_total", "_scaled")
+    return x.drop("_flat", "_names", "_amounts", "_raw", "_whole", "_total", "_scaled")
 
 
 def expand_brackets(text: Column) -> Column:
-    """Formulas with round or square brackets written flat, W0.9(Re2O3)0.1 as W0.9Re0.2O0.3; others as they are."""
-
-    @F.pandas_udf("string")
-    def expand(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: flat_formula(t) if isinstance(t, str) and any(c in t for c in "([") else t)
-
-    return expand(text)
-
-
-def flat_formula(text: str) -> str | None:
-    """A bracketed formula as a flat one, None where brackets do not match or something else is in the way."""
-    import re
-
-    stack: list[dict[str, float]] = [{}]
-    at = 0
-    pattern = re.compile(r"([A-Z][a-z]?)(\d*\.?\d*)|([(\[])|([)\]])(\d*\.?\d*)")
-    while at < len(text):
-        m = pattern.match(text, at)
-        if not m or m.end() == at:
-            return None
-        at = m.end()
-        if m[1]:
-            stack[-1][m[1]] = stack[-1].get(m[1], 0.0) + float(m[2] or 1)
-        elif m[3]:
-            stack.append({})
-        else:
-            if len(stack) < 2:
-                return None
-            inner, times = stack.pop(), float(m[5] or 1)
-            for el, n in inner.items():
-                stack[-1][el] = stack[-1].get(el, 0.0) + n * times
-    if len(stack) != 1:
-        return None
-    return "".join(f"{el}{n:.12g}" for el, n in stack[0].items())
+    """Formulas with round or square brackets written flat, W0.9(Re2O3)0.1 as W0.9Re0.2O0.3; others as they are.
+
+    An innermost pair is expanded per opening bracket, inside the JVM. Where brackets do not match or hold something else
+    than tokens, some remain, and the text cannot be read as a formula.
+    """
+
+    def step(t: Column, _: Column) -> Column:
+        inner = F.concat(F.regexp_extract(t, INNERMOST, 1), F.regexp_extract(t, INNERMOST, 2))
+        whole = F.regexp_extract(t, INNERMOST, 0)
+        times = F.coalesce(F.regexp_extract(t, INNERMOST, 3).try_cast("double"), F.lit(1.0))
+        names, amounts = F.regexp_extract_all(inner, F.lit(TOKEN), F.lit(1)), F.regexp_extract_all(inner, F.lit(TOKEN), F.lit(2))
+        amount = lambda a: F.when(a == "", 1.0).otherwise(a.try_cast("double"))
+        flat = F.array_join(F.zip_with(names, amounts, lambda n, a: F.concat(n, (amount(a) * times).cast("decimal(30,12)").cast("string"))), "")
+        fits = (whole != "") & (F.array_join(F.zip_with(names, amounts, lambda n, a: F.concat(n, a)), "") == inner) & flat.isNotNull()
+        return F.when(fits, F.overlay(t, flat, F.call_function("locate", whole, t), F.length(whole))).otherwise(t)
+
+    pairs = F.sequence(F.lit(1), F.length(F.regexp_replace(text, r"[^(\[]", "")))
+    return F.when(text.rlike(r"[(\[]"), F.aggregate(pairs, text, step)).otherwise(text)
 
 
 def dopant_fraction(amount: Column, unit: Column) -> Column:
@@ -194,5 +180,5 @@ def with_composition(df: DataFrame) -> DataFrame:
 
 
 def formula_string(parts: Column) -> Column:
-    """The inverse of `parse_formula`: symbols with their fractions in order, no blanks."""
+    """The inverse of `with_formula`: symbols with their fractions in order, no blanks."""
     return F.array_join(F.transform(parts, lambda p: F.concat(p["el"], p["f"].cast("string"))), "")

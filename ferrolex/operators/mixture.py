@@ -7,15 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ferrolex.functions.elements import GAS_CONSTANT, PAIR_ENTHALPY, USFE, VEC, bcc_lattice_map, literal, look, property_map
+from ferrolex.functions.elements import GAS_CONSTANT, PAIR_ENTHALPY, USFE, VEC, Elements, literal, look, property_map
 
 #: Output names of the weighted means and the property each is of.
 WEIGHTED = {
-    "mendeleev_atomic_radius_weighted": "atomic_radius", "mendeleev_metallic_radius_weighted": "metallic_radius",
-    "mendeleev_atomic_weight_weighted": "atomic_weight", "mendeleev_melting_point_weighted": "melting_point",
-    "mendeleev_density_weighted": "density", "mendeleev_en_pauling_weighted": "en_pauling", "mean_boiling_point": "boiling_point",
-    "mean_fusion_heat": "fusion_heat", "mean_thermal_conductivity": "thermal_conductivity", "mean_en_allen": "en_allen",
-    "mean_electron_affinity": "electron_affinity",
+    "mendeleev_atomic_radius_pm_weighted": "atomic_radius", "mendeleev_metallic_radius_pm_weighted": "metallic_radius",
+    "mendeleev_atomic_weight_weighted": "atomic_weight", "mendeleev_melting_point_k_weighted": "melting_point",
+    "mendeleev_density_g_cm3_weighted": "density", "mendeleev_electronegativity_weighted": "en_pauling", "mean_boiling_point_k": "boiling_point",
+    "mean_fusion_heat_kj_mol": "fusion_heat", "mean_thermal_conductivity_w_mk": "thermal_conductivity", "mean_en_allen": "en_allen",
+    "mean_electron_affinity_ev": "electron_affinity",
 }
 USFE_GUARD = 0.01
 USFE_NOTE = "linear mixture of element values; interactions are left out"
@@ -82,9 +82,9 @@ def missing_pairs(parts: Column) -> Column:
     return F.transform(F.filter(pairs(parts), lambda q: q["h"].isNull()), lambda q: q["name"])
 
 
-def bcc_lattice(parts: Column) -> Column:
+def bcc_lattice(parts: Column, elements: Elements | None = None) -> Column:
     """Mean lattice constant of the BCC equivalent in angstrom."""
-    return weighted_mean(parts, bcc_lattice_map())
+    return weighted_mean(parts, (elements or Elements()).bcc_lattice())
 
 
 def usfe(parts: Column) -> Column:
@@ -94,12 +94,13 @@ def usfe(parts: Column) -> Column:
     return F.when(parts.isNotNull() & ~guarded, weighted_mean(parts, values))
 
 
-def features(parts: Column) -> dict[str, Column]:
-    """All mixture features by name."""
+def features(parts: Column, elements: Elements | None = None) -> dict[str, Column]:
+    """All mixture features by name, from the element dimension given or the built-in one."""
+    elements = elements or Elements()
     none = lambda a: F.when(F.size(a) > 0, a)
-    out = {name: weighted_mean(parts, property_map(p)) for name, p in WEIGHTED.items()}
-    out["mendeleev_a_bcc_equiv_angstrom"] = bcc_lattice(parts)
-    out["mix_vec"], out["mix_size"] = vec(parts), size_mismatch(parts)
+    out = {name: weighted_mean(parts, elements.property(p)) for name, p in WEIGHTED.items()}
+    out["mendeleev_a_bcc_equiv_angstrom"] = bcc_lattice(parts, elements)
+    out["mix_vec"], out["mix_size"] = vec(parts), size_mismatch(parts, elements.property("metallic_radius"))
     out["mix_entropy"], out["mix_enthalpy"] = mixing_entropy(parts), mixing_enthalpy(parts)
     out["mendeleev_vec_missing_elements"] = none(missing_from(parts, literal(VEC)))
     out["mendeleev_h_mix_missing_pairs"] = none(missing_pairs(parts))

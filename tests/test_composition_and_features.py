@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from ferrolex.functions.elements import attributes, element_lookup, element_table, extend_cache
 from ferrolex.operators import mixture
-from ferrolex.operators.composition import expand_brackets, flat_formula, formula_string, with_composition, with_formula, wt_to_at
+from ferrolex.operators.composition import expand_brackets, formula_string, with_composition, with_formula, wt_to_at
 from ferrolex.operators.enrich import enrich, fraction_columns, log_lines
 from ferrolex.operators.phases import empty_phases, formula_key, select_phase, select_phase_by_window, without_traces
 
@@ -56,12 +56,13 @@ def test_discrete_fields(spark):
 
 
 def test_formula_strings(spark):
-    df = spark.createDataFrame([(t,) for t in ("W0.9Re0.1", "ReW", "W2W2", "W0", "Xx1", "w1", "", None, "W0.9(Re2O3)0.1", "W[Re")], "t string")
+    df = spark.createDataFrame([(t,) for t in ("W0.9Re0.1", "ReW", "W2W2", "W0", "Xx1", "w1", "", None, "W0.9(Re2O3)0.1", "W[Re", "W[Re(Ta2)2]0.5", "W(Re]", "W()", "W(Re)(Ta)0.5", "W(x)")], "t string")
     got = {r.t: r.p and {x.el: round(x.f, 4) for x in r.p} for r in with_formula(df, "t", "p").collect()}
     assert got["W0.9Re0.1"] == {"W": 0.9, "Re": 0.1} and got["ReW"] == {"Re": 0.5, "W": 0.5} and got["W2W2"] == {"W": 1.0}
-    assert all(got[t] is None for t in ("W0", "Xx1", "w1", "", None, "W0.9(Re2O3)0.1", "W[Re"))
-    flat = df.select("t", expand_brackets(F.col("t")).alias("f"))
-    assert {r.t: r.f for r in flat.collect()}["W0.9(Re2O3)0.1"] == "W0.9Re0.2O0.3" and flat_formula("W[Re") is None
+    assert all(got[t] is None for t in ("W0", "Xx1", "w1", "", None, "W[Re", "W(Re]", "W(x)"))
+    assert got["W0.9(Re2O3)0.1"] == {"W": 0.6429, "Re": 0.1429, "O": 0.2143} and got["W[Re(Ta2)2]0.5"] == {"W": 0.2857, "Re": 0.1429, "Ta": 0.5714}
+    assert got["W()"] == {"W": 1.0} and got["W(Re)(Ta)0.5"] == {"W": 0.4, "Re": 0.4, "Ta": 0.2}
+    assert df.where("t = 'W0.9Re0.1'").select(expand_brackets(F.col("t"))).first()[0] == "W0.9Re0.1"
     assert with_formula(df.where("t = 'W0.9Re0.1'"), "t", "p").select(formula_string(F.col("p"))).first()[0] == "W0.9Re0.1"
     weights = with_formula(df.where("t = 'W0.9Re0.1'"), "t", "p")
     assert round(sum(x.f for x in wt_to_at(weights, "p", "a").first().a), 9) == 1
