@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ferrolex.operators.nested import parsed
+from ferrolex.session import cut
 
 # Limits of the selection.
 NEAR_HULL, GROUND_STATE, TRACE, NO_HULL = 0.1, 1e-6, 0.01, 1e6
@@ -14,8 +15,9 @@ NEAR_HULL, GROUND_STATE, TRACE, NO_HULL = 0.1, 1e-6, 0.01, 1e6
 HEAVY = ("Ni", "Co", "Cu")
 HEAVY_FLAG = "W_heavy_alloy_no_DBTT"
 REASONS = {
-    "off": "phase lookup is switched off", "trace": "all elements are below the trace limit", "miss": "no answer in the cache",
-    "empty": "no matching entries", "heavy": "heavy alloy: not looked up",
+    "off": "phase lookup is switched off", "client": "no client for the phase search", "trace": "all elements are below the trace limit",
+    "miss": "no answer in the cache", "failed": "phase search failed: ", "empty": "no matching entries", "unusable": "no usable phase",
+    "heavy": "heavy alloy: not looked up",
 }
 PHASE_COLUMNS = {
     "mp_material_id": "string", "mp_formula": "string", "mp_bulk_modulus_gpa": "double", "mp_shear_modulus_gpa": "double",
@@ -110,27 +112,71 @@ def select_phase_by_window(docs: DataFrame) -> DataFrame:
     )
 
 
-def with_phases(records: DataFrame, answers: DataFrame, parts: str = "parts", phase_source: str = "cache") -> DataFrame:
-    """Adds the phase columns and mp_query_skipped. Heavy alloys are not looked up, nor is a composition of traces.
+def phase_table(answers: DataFrame) -> DataFrame:
+    """cache_key, n_docs and the chosen phase `s` of each key: the choice is made once per key, not once per record.
 
-    The join is on the formula key; both sides are keyed by content, AQE splits keys that are frequent.
+    The number of elements that the choice depends on is that of the symbols in the key.
     """
+    chosen = select_phase(F.col("docs"), F.regexp_count("cache_key", F.lit("[A-Z]")))
+    return phase_docs(answers).select("cache_key", F.size("docs").alias("n_docs"), chosen.alias("s"))
+
+
+def keyed(records: DataFrame, parts: str = "parts", phase_source: str = "cache", client: bool = True) -> DataFrame:
+    """Adds _why (reason not to look up, in this order: no composition, heavy alloy, off, no client, traces only) and _key."""
     p = without_traces(F.col(parts))
-    flagged = heavy_alloy_flag(F.col(parts)).isNotNull()
     reason = (
-        F.when(F.col(parts).isNull(), None).when(flagged, REASONS["heavy"]).when(F.lit(phase_source == "off"), REASONS["off"]).when(F.size(p) == 0, REASONS["trace"])
+        F.when(F.col(parts).isNull(), None).when(heavy_alloy_flag(F.col(parts)).isNotNull(), REASONS["heavy"]).when(F.lit(phase_source == "off"), REASONS["off"])
+        .when(F.lit(not client), REASONS["client"]).when(F.size(p) == 0, REASONS["trace"])
     )
-    keyed = records.withColumns({"_why": reason, "_n": F.size(p), "_key": F.when(F.col(parts).isNotNull() & ~flagged & F.lit(phase_source != "off") & (F.size(p) > 0), formula_key(p))})
-    docs = phase_docs(answers).withColumnRenamed("cache_key", "_key")
-    j = keyed.join(docs, "_key", "left").withColumn("_s", select_phase(F.col("docs"), F.col("_n")))
-    d = F.col("_s.doc")
+    return records.withColumn("_why", reason).withColumn("_key", F.when(F.col(parts).isNotNull() & F.col("_why").isNull(), formula_key(p)))
+
+
+def missing_systems(records: DataFrame, answers: DataFrame, parts: str = "parts") -> DataFrame:
+    """cache_key, chemsys: the keys of records without an answer in the cache, each once, with their chemical system."""
+    asked = keyed(records, parts).where("_key is not null").select(F.col("_key").alias("cache_key"), chemical_system(without_traces(F.col(parts))).alias("chemsys"))
+    return asked.groupBy("cache_key").agg(F.first("chemsys").alias("chemsys")).join(phase_docs(answers).select("cache_key"), "cache_key", "left_anti")
+
+
+def searched(records: DataFrame, answers: DataFrame, transport, url: str, parts: str = "parts") -> DataFrame:
+    """cache_id, cache_key, written_at, payload, error of the phase searches for all missing keys; one request per chemical system.
+
+    Requests are made once and their answers kept; rows without an error can be added to the cache.
+    """
+    from ferrolex.sources.connectors import phase_search
+
+    wanted = cut(missing_systems(records, answers, parts))
+    found = cut(phase_search(wanted.select("chemsys"), transport, url))
+    return wanted.join(found, "chemsys").select(F.lit(None).cast("bigint").alias("cache_id"), "cache_key", F.current_timestamp().alias("written_at"), "payload", "error")
+
+
+def with_phases(records: DataFrame, answers: DataFrame, parts: str = "parts", phase_source: str = "cache", transport=None, url: str = "") -> DataFrame:
+    """Adds the phase columns and mp_query_skipped. Heavy alloys are not looked up, nor is a composition of traces.
+
+    phase_source: off, cache (misses are reported) or live (misses are searched for with the transport; what is found
+    counts like a cached answer, see `searched` for writing it back). One row per key is joined; a frequent key, such as
+    that of the pure metal, meets one row, and AQE splits it where the join shuffles.
+    """
+    if phase_source not in ("off", "cache", "live"):
+        raise ValueError(f"phase_source must be off, cache or live, not {phase_source!r}")
+    live = phase_source == "live" and transport is not None
+    rows = keyed(records, parts, phase_source, client=phase_source != "live" or live)
+    chosen = phase_table(answers).select(F.col("cache_key").alias("_key"), "n_docs", "s", F.lit(None).cast("string").alias("_failed"))
+    if live:
+        new = searched(records, answers, transport, url, parts)
+        more = phase_table(new.where("error is null")).select(F.col("cache_key").alias("_key"), "n_docs", "s", F.lit(None).cast("string").alias("_failed"))
+        failed = new.where("error is not null").select(F.col("cache_key").alias("_key"), F.lit(None).cast("int").alias("n_docs"), F.lit(None).cast(chosen.schema["s"].dataType).alias("s"), F.col("error").alias("_failed"))
+        chosen = chosen.unionByName(more).unionByName(failed)
+    j = rows.join(chosen, "_key", "left")
+    d, empty = F.col("s.doc"), F.col("n_docs") == 0
     values = {
-        "mp_material_id": d["material_id"], "mp_formula": F.coalesce(d["formula"], F.col("_key")), "mp_bulk_modulus_gpa": d["bulk"], "mp_shear_modulus_gpa": d["shear"],
+        "mp_material_id": d["material_id"], "mp_formula": F.when(empty, F.col("_key")).otherwise(d["formula"]), "mp_bulk_modulus_gpa": d["bulk"], "mp_shear_modulus_gpa": d["shear"],
         "mp_formation_energy_ev_atom": d["formation_energy"], "mp_energy_above_hull_ev_atom": d["e_hull"], "mp_crystal_system": d["crystal_system"],
-        "mp_spacegroup_symbol": d["spacegroup"], "mp_is_stable": d["is_stable"], "mp_bcc_assumption_applied": F.col("_s.bcc_assumption"), "mp_all_phases_found": F.col("_s.all_phases_found"),
+        "mp_spacegroup_symbol": d["spacegroup"], "mp_is_stable": d["is_stable"], "mp_bcc_assumption_applied": F.col("s.bcc_assumption"),
+        "mp_all_phases_found": F.when(empty, False).otherwise(F.col("s.all_phases_found")),
     }
-    skipped = F.coalesce("_why", F.when(F.col("_key").isNotNull() & F.col("docs").isNull(), REASONS["miss"]), F.when(F.size("docs") == 0, REASONS["empty"]))
-    return j.withColumns(values | {"mp_query_skipped": skipped}).drop("_why", "_n", "_key", "_s", "docs")
+    missed = F.when(F.col("_key").isNotNull() & F.col("n_docs").isNull(), F.coalesce(F.concat(F.lit(REASONS["failed"]), "_failed"), F.lit(REASONS["miss"])))
+    skipped = F.coalesce("_why", missed, F.when(empty, REASONS["empty"]), F.when(F.col("_key").isNotNull() & F.col("s").isNull(), REASONS["unusable"]))
+    return j.withColumns(values | {"mp_query_skipped": skipped}).drop("_why", "_key", "_failed", "s", "n_docs")
 
 
 def empty_phases(df: DataFrame, reason: str) -> DataFrame:

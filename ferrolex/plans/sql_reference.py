@@ -153,8 +153,8 @@ N_ELEMENTS = "length(regexp_replace(d.cache_key, '[^A-Z]', '', 'g'))"
 SELECT_PHASE = f"""WITH {DOCS}, {chosen("doc d", N_ELEMENTS, "cache_key")}
 SELECT cache_key, material_id, gs OR near AS all_phases_found, NOT gs AND NOT cubic AS bcc_assumption FROM best"""
 PHASE_LOOKUP = f"""{COMP}, {KEY}, {DOCS}, {chosen("keys JOIN doc d ON d.cache_key = keys.formula AND NOT heavy AND keys.n > 0", "keys.n", "rec_key")}
-SELECT keys.rec_key, best.material_id AS mp_material_id, CASE WHEN NOT heavy AND keys.n > 0 THEN coalesce(best.formula, keys.formula) END AS mp_formula,
-  best.crystal_system AS mp_crystal_system, best.is_stable AS mp_is_stable, gs OR near AS mp_all_phases_found,
+SELECT keys.rec_key, best.material_id AS mp_material_id, CASE WHEN best.rec_key IS NULL AND newest.cache_key IS NOT NULL AND keys.n > 0 THEN keys.formula ELSE best.formula END AS mp_formula,
+  best.crystal_system AS mp_crystal_system, best.is_stable AS mp_is_stable, CASE WHEN best.rec_key IS NULL AND newest.cache_key IS NOT NULL AND keys.n > 0 THEN FALSE ELSE gs OR near END AS mp_all_phases_found,
   CASE WHEN heavy THEN 'heavy alloy: not looked up' WHEN keys.n = 0 THEN 'all elements are below the trace limit'
     WHEN newest.cache_key IS NULL THEN 'no answer in the cache' WHEN best.rec_key IS NULL THEN 'no matching entries' END AS mp_query_skipped
 FROM keys LEFT JOIN best USING (rec_key) LEFT JOIN newest ON newest.cache_key = keys.formula AND NOT heavy"""
