@@ -42,21 +42,46 @@ MAX_ALIASES = 500_000
 MEMORY = 100_000
 
 
-def typing_distance(a: str, b: str, limit: int) -> int:
-    """Insertions, deletions, replacements and swaps of neighbours between two words; more than `limit` may be cut."""
+def letter_masks(word: str) -> dict[str, int]:
+    """For each letter the bits of the places where it stands."""
+    masks: dict[str, int] = {}
+    for k, c in enumerate(word):
+        masks[c] = masks.get(c, 0) | 1 << k
+    return masks
+
+
+def typing_distance(a: str, b: str, limit: int, masks: dict[str, int] | None = None) -> int:
+    """Insertions, deletions, replacements and swaps of neighbours between two words; more than `limit` may be cut.
+
+    A column of the table of distances is kept as bits of its differences, so a letter of b costs a few operations.
+    """
     if abs(len(a) - len(b)) > limit:
         return limit + 1
-    before, now = [], list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        older, before, now = before, now, [i]
-        for j, y in enumerate(b, 1):
-            d = min(before[j] + 1, now[j - 1] + 1, before[j - 1] + (x != y))
-            if older and j > 1 and x == b[j - 2] and a[i - 2] == y:
-                d = min(d, older[j - 2] + 1)
-            now.append(d)
-        if min(now) > limit:
+    if not a:
+        return len(b)
+    masks = letter_masks(a) if masks is None else masks
+    full, last = (1 << len(a)) - 1, 1 << (len(a) - 1)
+    up, down, diagonal, before, distance, left = full, 0, 0, 0, len(a), len(b)
+    for c in b:
+        here = masks.get(c, 0)
+        swapped = ((~diagonal & here) << 1) & before
+        diagonal = (((here & up) + up) ^ up) | here | down | swapped
+        more, less = down | (full & ~(diagonal | up)), diagonal & up
+        distance += bool(more & last) - bool(less & last)
+        more, less = more << 1 | 1, less << 1
+        up, down, before = (less | ~(diagonal | more)) & full, more & diagonal & full, here
+        left -= 1
+        if distance - left > limit:
             return limit + 1
-    return now[-1]
+    return distance
+
+
+def letters(word: str) -> int:
+    """The letters of a word as a set of bits; d typing errors change at most 2 d of them."""
+    bits = 0
+    for c in word:
+        bits |= 1 << (ord(c) & 63)
+    return bits
 
 
 def errors_allowed(a: str, b: str) -> int:
@@ -74,12 +99,14 @@ class TypoIndex:
     """Finds the words of a list within the typing errors allowed, by the letter pairs they share.
 
     An error changes three of a word's letter pairs at most, so a word with d errors keeps all but 3 d of them: only words
-    that share so many are compared, and none within the errors is lost as long as one pair is left.
+    that share so many are compared, and none within the errors is lost as long as one pair is left. Of these, words whose
+    sets of letters differ too much are left out before distances are computed.
     """
 
     def __init__(self, words: list[str]):
         self.words = words
         self.sizes = np.array([len(w) for w in words], dtype=np.int64)
+        self.letters = np.array([letters(w) for w in words], dtype=np.uint64)
         places: dict[str, list[int]] = {}
         for k, w in enumerate(words):
             for pair in letter_pairs(w):
@@ -96,24 +123,35 @@ class TypoIndex:
         sizes = self.sizes[found]
         allowed = np.maximum(sizes, len(word)) // LETTERS_PER_ERROR
         keep = (np.abs(sizes - len(word)) <= allowed) & (shared >= np.maximum(1, len(pairs) - 3 * allowed))
+        keep &= np.bitwise_count(self.letters[found] ^ np.uint64(letters(word))) <= 2 * allowed
+        masks = letter_masks(word)
         out = []
         for k in found[keep]:
             other = self.words[k]
             if other == word:
                 out.append((int(k), 1.0))
-            elif (limit := errors_allowed(word, other)) and (d := typing_distance(word, other, limit)) <= limit:
+            elif (limit := errors_allowed(word, other)) and (d := typing_distance(word, other, limit, masks)) <= limit:
                 out.append((int(k), 1 - d / max(len(word), len(other))))
         return out
 
 
+def given_phrases(terms: list[tuple[int, str, str | None]], aliases: list[tuple[str, str | None, bool]]) -> list[tuple[str, int, bool]]:
+    """The labels, then the names of a table of aliases, those of entries before those of strangers."""
+    by_label = {label: i for i, label, _ in terms}
+    own = [(label, i, True) for i, label, _ in terms]
+    named = [(phrase, by_label.get(label, 0), fuzzy) for phrase, label, fuzzy in aliases]
+    return own + sorted(named, key=lambda x: x[1] == 0)
+
+
 class FieldMatcher:
     """Maps the values of one field."""
 
-    def __init__(self, field: str, terms: list[tuple[int, str, str | None]]):
+    def __init__(self, field: str, terms: list[tuple[int, str, str | None]], aliases: list[tuple[str, str | None, bool]] | None = None):
+        """`aliases` are (phrase, label or null for a stranger, whether typing errors are looked for), in place of the vocabulary's."""
         self.noise = frozenset(NOISE.get(field, "").split())
         self.known: dict[str, int] = {}
         loose: dict[str, int] = {}
-        for phrase, term, fuzzy in phrases(field, terms):
+        for phrase, term, fuzzy in phrases(field, terms) if aliases is None else given_phrases(terms, aliases):
             if folded := fold(phrase):
                 self.known.setdefault(folded, term)
                 if fuzzy:
@@ -222,18 +260,19 @@ class FieldMatcher:
 _MATCHERS: dict[tuple, FieldMatcher] = {}
 
 
-def matcher_of(field: str, terms: tuple) -> FieldMatcher:
-    key = (field, terms)
+def matcher_of(field: str, terms: tuple, aliases: tuple | None = None) -> FieldMatcher:
+    key = (field, terms, aliases)
     if key not in _MATCHERS:
         if len(_MATCHERS) >= 16:
             _MATCHERS.clear()
-        _MATCHERS[key] = FieldMatcher(field, list(terms))
+        _MATCHERS[key] = FieldMatcher(field, list(terms), None if aliases is None else list(aliases))
     return _MATCHERS[key]
 
 
-def mapper(terms_by_field: dict[str, list[tuple[int, str, str | None]]]):
+def mapper(terms_by_field: dict[str, list[tuple[int, str, str | None]]], aliases_by_field: dict[str, list] | None = None):
     """The function for mapInPandas; values are remembered within a task."""
     terms = {f: tuple(t) for f, t in terms_by_field.items()}
+    aliases = {f: None if aliases_by_field is None else tuple(aliases_by_field.get(f, ())) for f in terms}
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from ferrolex.llm.canonical import matcher_of  # the module's own matchers, not a copy sent with this function
@@ -246,7 +285,7 @@ def mapper(terms_by_field: dict[str, list[tuple[int, str, str | None]]]):
                 found = memory.get((field, entry))
                 if found is None:
                     if field not in own:
-                        own[field] = matcher_of(field, terms.get(field, ()))
+                        own[field] = matcher_of(field, terms.get(field, ()), aliases.get(field))
                         own[field].near.clear()
                     if len(memory) > MEMORY:
                         memory.clear()
@@ -259,9 +298,10 @@ def mapper(terms_by_field: dict[str, list[tuple[int, str, str | None]]]):
     return run
 
 
-def map_to_terms(tables: list[tuple[DataFrame, str, tuple[str, ...]]], terms: DataFrame, skip_labels: bool = True) -> DataFrame:
+def map_to_terms(tables: list[tuple[DataFrame, str, tuple[str, ...]]], terms: DataFrame, skip_labels: bool = True, aliases: DataFrame | None = None) -> DataFrame:
     """field_name, row_key, entry, term_id for the non-null entries of (table, key column, fields).
 
+    `aliases` (field_name, phrase, label, fuzzy) are the other names of entries, and with a null label those of strangers.
     With `skip_labels` entries written exactly as a label of their field are left out. Narrow: each table is read once
     and no row is shuffled, so frequent values cost nothing extra; the list is a checked dimension.
     """
@@ -270,6 +310,12 @@ def map_to_terms(tables: list[tuple[DataFrame, str, tuple[str, ...]]], terms: Da
     for r in rows:
         if r.field_name is not None and r.label is not None:
             by_field.setdefault(r.field_name, []).append((r.term_id, r.label, r.gloss))
+    named: dict[str, list[tuple[str, str | None, bool]]] | None = None
+    if aliases is not None:
+        named = {}
+        for r in small_rows(aliases.select("field_name", "phrase", "label", "fuzzy").orderBy("field_name", "phrase", "label"), MAX_ALIASES, "the table of aliases"):
+            if r.field_name is not None and r.phrase:
+                named.setdefault(r.field_name, []).append((r.phrase, r.label, bool(r.fuzzy)))
     parts = []
     for df, key, fields in tables:
         cells = F.explode(F.array(*[F.struct(F.lit(f).alias("field_name"), F.col(f"`{f}`").cast("string").alias("entry")) for f in fields]))
@@ -279,7 +325,7 @@ def map_to_terms(tables: list[tuple[DataFrame, str, tuple[str, ...]]], terms: Da
                 labels = [t[1] for t in by_field.get(f, [])]
                 if labels:
                     long = long.where(~((F.col("field_name") == f) & F.col("entry").isin(labels)))
-        parts.append(long.mapInPandas(mapper({f: by_field.get(f, []) for f in fields}), "field_name string, row_key bigint, entry string, term_id bigint"))
+        parts.append(long.mapInPandas(mapper({f: by_field.get(f, []) for f in fields}, named), "field_name string, row_key bigint, entry string, term_id bigint"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -1,4 +1,10 @@
-from ferrolex.llm.canonical import FieldMatcher, map_to_terms, typing_distance
+import random
+import time
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from ferrolex.llm.canonical import FieldMatcher, TypoIndex, errors_allowed, letter_pairs, map_to_terms, typing_distance
 from ferrolex.llm.queries import p1_found
 
 TERMS = [
@@ -51,6 +57,42 @@ def test_embedded_mentions_decide_where_nothing_is_similar():
     assert m.term(f"{filler} cold rolilng {filler}") == 101 and m.term(filler) == 0
 
 
+def plain_distance(a, b):
+    d = {(i, -1): i + 1 for i in range(-1, len(a))} | {(-1, j): j + 1 for j in range(-1, len(b))}
+    for i, x in enumerate(a):
+        for j, y in enumerate(b):
+            d[i, j] = min(d[i - 1, j] + 1, d[i, j - 1] + 1, d[i - 1, j - 1] + (x != y))
+            if i and j and x == b[j - 1] and a[i - 1] == y:
+                d[i, j] = min(d[i, j], d[i - 2, j - 2] + 1)
+    return d[len(a) - 1, len(b) - 1]
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.text(alphabet="abcd", max_size=12), st.text(alphabet="abcd", max_size=12), st.integers(0, 12))
+def test_distances_equal_the_plain_table(a, b, limit):
+    want = plain_distance(a, b)
+    got = typing_distance(a, b, limit)
+    assert got == want if want <= limit else got > limit
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(alphabet="abcde", min_size=1, max_size=12), min_size=1, max_size=30, unique=True), st.text(alphabet="abcde", min_size=3, max_size=12))
+def test_the_index_loses_no_word_that_shares_a_pair_of_letters(words, word):
+    got = {words[k] for k, _ in TypoIndex(words).near(word)}
+    want = {w for w in words if w == word or (errors_allowed(word, w) and plain_distance(word, w) <= errors_allowed(word, w))}
+    assert got <= want and all(not letter_pairs(w) & letter_pairs(word) for w in want - got)
+
+
+def test_long_lists_are_looked_up_by_index():
+    rng = random.Random(1)
+    names = list({"".join(rng.choice("abcdefghijklmnoprstuvw") for _ in range(rng.randint(6, 14))) for _ in range(50_000)})
+    m = FieldMatcher("other_field", [(k + 1, n, None) for k, n in enumerate(names)])
+    tried = rng.sample(range(len(names)), 300)
+    began = time.time()
+    found = [m.term(names[k][:2] + names[k][3] + names[k][2] + names[k][4:]) for k in tried]
+    assert sum(f == k + 1 for f, k in zip(found, tried)) >= 295 and time.time() - began < 15
+
+
 def test_distance():
     assert typing_distance("potassium", "ptosassium", 3) == 2 and typing_distance("ab", "ba", 2) == 1 and typing_distance("a", "abcd", 2) == 3
 
@@ -66,6 +108,14 @@ def test_operator(spark):
     assert {r.term_id for r in map_to_terms([(df, "rec_key", ("deformation_process",))], terms.where("false")).collect()} == {0}
 
 
+def test_aliases_of_another_list_are_a_table(spark):
+    terms = spark.createDataFrame([(1, "city", "Cologne", None), (2, "city", "Munich", None)], "term_id bigint, field_name string, label string, gloss string")
+    aliases = spark.createDataFrame([("city", "Köln", "Cologne", True), ("city", "München", "Munich", True), ("city", "Munchkin", None, False), (None, "x", "y", None)], "field_name string, phrase string, label string, fuzzy boolean")
+    df = spark.createDataFrame([(k, v) for k, v in enumerate(["koeln", "Köln (Deutz)", "muenchen", "Munchkin", "Muncih", "Cologne", "Paris"])], "id bigint, city string")
+    got = {r.entry: r.term_id for r in map_to_terms([(df, "id", ("city",))], terms, aliases=aliases).collect()}
+    assert got == {"koeln": 1, "Köln (Deutz)": 1, "muenchen": 2, "Munchkin": 0, "Muncih": 2, "Paris": 0}
+
+
 def test_whole_tables(spark, sf):
     rows = p1_found(spark, sf).collect()
     assert rows and len({(r.field_name, r.row_key) for r in rows}) == len(rows)
