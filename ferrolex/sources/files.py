@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import posixpath
+from collections.abc import Callable, Iterator
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ferrolex.operators.fetching import slug
+from ferrolex.operators.phases import cache_path
+
 LOG = "doi string, status string, filename string, message string"
 FIGURES = "array<struct<figure_id:string,figure_type:string,description:string,contains_data:boolean>>"
 
@@ -21,7 +27,10 @@ def whole_texts(spark: SparkSession, path: str, pattern: str | None = None) -> D
 
 
 def scan_extractions(spark: SparkSession, folder: str, record: T.StructType) -> DataFrame:
-    """_source_file, pos, doi and the record columns of all *_extraction.json; failed envelopes are left to `failed_extractions`."""
+    """_source_file, pos, _doi and the record columns of all *_extraction.json; failed envelopes are left to `failed_extractions`.
+
+    In the order of file and position where `in_file_order` is applied, as the sinks do.
+    """
     v = whole_texts(spark, folder, "*_extraction.json").withColumn("v", F.try_parse_json("value"))
     items = v.select("file_name", F.try_variant_get("v", "$.doi", "string").alias("doi"), F.posexplode(F.try_variant_get("v", "$.records", "array<variant>")).alias("pos", "r"))
     parsed = items.select("file_name", "doi", "pos", F.from_json(F.to_json("r"), record).alias("rec"))
@@ -57,40 +66,145 @@ def scan_phase_cache(spark: SparkSession, folder: str) -> DataFrame:
     return whole_texts(spark, folder, "*.json").select(F.regexp_replace("file_name", r"\.json$", "").alias("cache_key"), F.col("value").alias("payload"))
 
 
-def sink_envelopes(df: DataFrame, path: str) -> None:
-    """One JSON line per paper; null members are kept out of the text."""
-    df.select(F.to_json(F.struct("*")).alias("value")).write.mode("overwrite").text(path)
+def in_file_order(df: DataFrame) -> DataFrame:
+    """Rows in the order of their file and their place in it, then of their log line if they have one."""
+    order = [c for c in ("_source_file", "pos", "rec_key", "seq") if c in df.columns]
+    return df.orderBy(*order) if order else df
 
 
-def sink_csv(df: DataFrame, path: str) -> None:
-    """CSV with a header; arrays, maps and structs as JSON, nulls empty."""
-    nested = [f.name for f in df.schema if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))]
-    df.withColumns({c: F.to_json(c) for c in nested}).write.mode("overwrite").option("header", True).csv(path)
+# Files are written through Arrow's file systems, so that a folder may lie on a disk shared by all executors, on HDFS or in
+# an object store. Each file is written beside its place and moved there when it is whole; a task that runs again writes
+# the same file again.
 
 
-def sink_text(lines: DataFrame, path: str, order: tuple[str, ...] = ("rec_key", "seq")) -> None:
-    """A text log in order."""
-    lines.orderBy(*order).select(F.concat_ws(" ", *[c for c in lines.columns if c not in order]).alias("value")).write.mode("overwrite").text(path)
+def _place(path: str) -> tuple:
+    from pyarrow import fs
 
+    return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
 
-def sink_fetch_log(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").json(path)
 
+def exists(path: str) -> bool:
+    from pyarrow import fs
 
-def sink_phase_cache(answers: DataFrame, path: str) -> None:
-    answers.write.mode("overwrite").parquet(path)
+    system, at = _place(path)
+    return system.get_file_info(at).type != fs.FileType.NotFound
 
 
-def sink_binary(df: DataFrame, folder: str) -> None:
-    """Write (path, payload) rows as files below a folder that all executors share."""
-    import os
+def _write(path: str, chunks: Iterator[bytes]) -> None:
+    system, at = _place(path)
+    system.create_dir(posixpath.dirname(at), recursive=True)
+    with system.open_output_stream(at + ".part") as out:
+        for chunk in chunks:
+            out.write(chunk)
+    system.move(at + ".part", at)
 
-    def write(rows) -> None:
+
+def write_files(df: DataFrame, folder: str) -> None:
+    """Write (path, payload) rows, text or binary, as files below a folder; rows with a null in either write nothing."""
+
+    def run(rows: Iterator) -> None:
         for r in rows:
-            at = os.path.join(folder, r.path)
-            os.makedirs(os.path.dirname(at), exist_ok=True)
-            with open(at + ".part", "wb") as f:
-                f.write(r.payload)
-            os.replace(at + ".part", at)
+            if r.path is not None and r.payload is not None:
+                _write(f"{folder}/{r.path}", iter([r.payload.encode() if isinstance(r.payload, str) else bytes(r.payload)]))
+
+    df.select("path", "payload").foreachPartition(run)
+
+
+def _one_file(df: DataFrame, path: str, chunks: Callable[[Iterator], Iterator[bytes]]) -> None:
+    """Write rows of text as one file: one task that holds a row at a time, in the order of the frame."""
+
+    def run(rows: Iterator) -> None:
+        _write(path, chunks(r.value for r in rows))
+
+    df.select("value").coalesce(1).foreachPartition(run)
+
+
+def sink_envelopes(df: DataFrame, folder: str) -> None:
+    """One JSON file per paper of rows (doi, ...): {slug}_extraction.json, indented, nulls written, text not escaped."""
+    body = F.to_json(F.struct("*"), {"pretty": "true", "ignoreNullFields": "false"})
+    write_files(df.where("doi is not null").select(F.concat(slug(F.col("doi")), F.lit("_extraction.json")).alias("path"), body.alias("payload")), folder)
+
+
+def list_text(values: Column) -> Column:
+    """A list of texts as it is printed: ['a', 'b'], with double quotes around a text that holds a single one."""
+    def one(x: Column) -> Column:
+        plain = F.replace(F.replace(x, F.lit("\\"), F.lit("\\\\")), F.lit("\n"), F.lit("\\n"))
+        single = F.concat(F.lit("'"), F.replace(plain, F.lit("'"), F.lit("\\'")), F.lit("'"))
+        double = F.concat(F.lit('"'), plain, F.lit('"'))
+        return F.when(x.isNull(), "None").when(x.contains("'") & ~x.contains('"'), double).otherwise(F.when(x.contains("'"), single).otherwise(F.concat(F.lit("'"), plain, F.lit("'"))))
+
+    return F.when(values.isNotNull(), F.concat(F.lit("["), F.array_join(F.transform(values, one), ", "), F.lit("]")))
+
 
-    df.select("path", "payload").foreachPartition(write)
+def csv_ready(df: DataFrame) -> DataFrame:
+    """NaN as null, lists of texts as printed, other nested values as JSON."""
+    out = {}
+    for f in df.schema:
+        if isinstance(f.dataType, T.ArrayType) and isinstance(f.dataType.elementType, T.StringType):
+            out[f.name] = list_text(F.col(f"`{f.name}`"))
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            out[f.name] = F.to_json(f"`{f.name}`")
+        elif isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+            out[f.name] = F.nanvl(F.col(f"`{f.name}`"), F.lit(None).cast("double"))
+    return df.withColumns(out) if out else df
+
+
+def sink_csv(df: DataFrame, path: str, single: bool = False) -> None:
+    """CSV with a header, nulls empty: a folder of parts, or one file in file order for small results."""
+    ready = csv_ready(df)
+    if not single:
+        ready.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+        return
+    line = F.to_csv(F.struct(*[F.col(f"`{c}`") for c in ready.columns]), {"escape": '"'})
+    head = ",".join(ready.columns)
+    ordered = in_file_order(ready).select(line.alias("value"))
+    _one_file(ordered, path, lambda values: (x.encode() for part in ([head + "\n"], (v + "\n" for v in values)) for x in part))
+
+
+def replace_csv(df: DataFrame, path: str) -> None:
+    """Write a small CSV table beside an old one and put it in its place when it is whole."""
+    system, at = _place(path)
+    new = f"{path}.new"
+    df.coalesce(1).write.mode("overwrite").option("header", True).csv(new)
+    if exists(path):
+        system.delete_dir(at)
+    system.move(_place(new)[1], at)
+
+
+def sink_text(lines: DataFrame, path: str, header: DataFrame | None = None) -> None:
+    """A text log as one file: the header's lines, then the lines in file order."""
+    keys = ("_source_file", "pos", "rec_key", "seq")
+    text = in_file_order(lines).select(F.concat_ws(" ", *[c for c in lines.columns if c not in keys]).alias("value"))
+    first = [r.value for r in header.limit(100).collect()] if header is not None else []
+    _one_file(text, path, lambda values: ((v + "\n").encode() for part in (first, values) for v in part))
+
+
+def sink_fetch_log(df: DataFrame, path: str) -> None:
+    """The log as one JSON array, which `scan_fetch_log` reads; overwrites."""
+
+    def chunks(values: Iterator[str]) -> Iterator[bytes]:
+        yield b"["
+        for k, v in enumerate(values):
+            yield ((",\n  " if k else "\n  ") + v).encode()
+        yield b"\n]\n"
+
+    order = [c for c in ("ord", "fetch_id") if c in df.columns]
+    rows = df.orderBy(*order) if order else df
+    columns = [c.split()[0] for c in LOG.split(", ")]
+    _one_file(rows.select(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}).alias("value")), path, chunks)
+
+
+def sink_manual_list(dois: DataFrame, path: str) -> None:
+    """A list of DOIs as one JSON array, `[]` for none."""
+    _one_file(dois.select(F.to_json(F.array("doi")).alias("value")), path, lambda values: iter([("[" + ", ".join(v[1:-1] for v in values) + "]").encode()]))
+
+
+def sink_phase_cache(answers: DataFrame, folder: str) -> None:
+    """One JSON file per key, named as `scan_phase_cache` reads it; answers without a readable payload are left out."""
+    ok = answers.where(F.try_parse_json("payload").isNotNull() & F.col("cache_key").isNotNull())
+    write_files(ok.select(cache_path(F.col("cache_key")).alias("path"), "payload"), folder)
+
+
+def sink_binary(df: DataFrame, folder: str) -> None:
+    """Write (path, payload) rows as files below a folder."""
+    write_files(df, folder)

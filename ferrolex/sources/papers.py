@@ -50,12 +50,23 @@ def objects_of(xml: bytes | str) -> list[tuple[int, str, str, str, str]]:
 
 
 def attachments_of(xml: bytes | str) -> list[str]:
-    """File names of the supplementary attachments (.docx, .pdf): the last part of their identifier."""
+    """Identifiers of the supplementary attachments (.docx, .pdf), in order."""
     root = _root(xml)
     if root is None:
         return []
-    names = [(e.text or "").strip() for e in root.iter(f"{{{XOCS}}}attachment-eid")]
-    return [n.split("-")[-1] for n in names if n.endswith((".docx", ".pdf"))]
+    found = [(e.text or "").strip() for a in root.iter(f"{{{XOCS}}}attachment") for e in a.findall(f"{{{XOCS}}}attachment-eid")]
+    return [n for n in found if n.endswith((".docx", ".pdf"))]
+
+
+def attachments(papers: DataFrame) -> DataFrame:
+    """doi, pos, eid of papers (doi, xml)."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = [(doi, k, eid) for doi, xml in zip(b["doi"], b["xml"]) if xml is not None for k, eid in enumerate(attachments_of(xml))]
+            yield pd.DataFrame(rows, columns=["doi", "pos", "eid"])
+
+    return papers.select("doi", "xml").mapInPandas(run, "doi string, pos int, eid string")
 
 
 def docx_text_of(data: bytes) -> str:
@@ -114,8 +125,12 @@ def pdf_pages(papers: DataFrame, render: Callable[[bytes], list[bytes]]) -> Data
 
 
 def supplement_text(parts: DataFrame) -> DataFrame:
-    """doi, supp_text, supp_chars: texts (doi, filename, text) joined in order of name, each under a heading."""
-    headed = F.concat(F.lit("--- "), F.col("filename"), F.lit(" ---\n"), F.coalesce("text", F.lit("")))
+    """doi, supp_text, supp_chars: texts (doi, filename, text) joined in order of name, each under a heading.
+
+    supp_chars counts the headings as well.
+    """
+    # Fixed value: the form of a heading.
+    headed = F.concat(F.lit("\n\n=== SUPPLEMENTARY: "), F.col("filename"), F.lit(" ===\n"), F.coalesce("text", F.lit("")), F.lit("\n"))
     one = parts.select("doi", F.struct("filename", headed.alias("t")).alias("p")).groupBy("doi").agg(F.array_sort(F.collect_list("p")).alias("ps"))
-    text = F.array_join(F.transform("ps", lambda p: p["t"]), "\n")
+    text = F.array_join(F.transform("ps", lambda p: p["t"]), "")
     return one.select("doi", text.alias("supp_text"), F.length(text).alias("supp_chars"))
