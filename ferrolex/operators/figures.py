@@ -41,6 +41,15 @@ def clean_mime(content_type: Column) -> Column:
     return F.coalesce(F.nullif(F.trim(F.split_part(content_type, F.lit(";"), F.lit(1))), F.lit("")), F.lit("image/jpeg"))
 
 
+def encoded(payload: Column) -> Column:
+    """Binary as base64 text without line breaks, whatever the session's setting."""
+    return F.regexp_replace(F.base64(payload), r"[\r\n]", "")
+
+
+def decoded(text: Column) -> Column:
+    return F.unbase64(text)
+
+
 def figure_path(doi: Column, label: Column, mime: Column) -> Column:
     return F.concat(F.lit("figures/"), slug(doi), F.lit("/"), slug(doi), F.lit("_"), label, F.lit("."), extension(mime))
 

@@ -11,10 +11,10 @@ from ferrolex.functions import elements, rules
 from ferrolex.operators import composition as comp
 from ferrolex.operators import enrich, fetching, figures, mixture, nested, phases
 from ferrolex.plans import sql_reference
+from ferrolex.sources import papers
 from ferrolex.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
-NUMBERS = ("metallic_radius", "atomic_weight", "melting_point", "density", "en_pauling")
 WIDE = ("W", "Re", "Ta", "Mo", "Ni", "Fe", "Cu", "K")
 
 
@@ -108,13 +108,13 @@ def element_attributes(spark: SparkSession, d: str) -> DataFrame:
 
 
 def fraction_features_by_join(spark: SparkSession, d: str) -> DataFrame:
-    """The relational form of the means: exploded compositions joined with the broadcast element dimension, one group-by.
+    """The relational form of the means: exploded compositions joined with the element dimension, one group-by.
 
-    The dimension has about a hundred rows.
+    The planner broadcasts the dimension, of known size.
     """
     rows = enrich.fraction_rows(records(spark, d))
     dim = elements.element_table(spark).select(F.col("symbol").alias("el"), "metallic_radius", "melting_point")
-    j = rows.join(F.broadcast(dim), "el")
+    j = rows.join(dim, "el")
     mean = lambda c: F.try_divide(F.sum(F.col("frac") * F.col(c)), F.nullif(F.sum(F.when(F.col(c).isNotNull(), F.col("frac"))), F.lit(0.0)))
     return j.groupBy("rec_key").agg(rounded(mean("metallic_radius")).alias("metallic_radius"), rounded(mean("melting_point")).alias("melting_point"))
 
@@ -131,6 +131,14 @@ def enriched(spark: SparkSession, d: str) -> DataFrame:
     return enrich.enrich(table(spark, d, "w_dbtt"), table(spark, d, "mp_cache"))
 
 
+def enriched_features(spark: SparkSession, d: str) -> DataFrame:
+    """The feature rows themselves: one per record with all features."""
+    e = enriched(spark, d)
+    plain = ["format_used", "dataset_scope_flag", *[c for c, t in phases.PHASE_COLUMNS.items() if t != "double"], "mp_query_skipped"]
+    numbers = [*mixture.WEIGHTED, "mendeleev_a_bcc_equiv_angstrom", *enrich.AUTHORITATIVE, "usfe_linear_mixture_mj_m2", *[c for c, t in phases.PHASE_COLUMNS.items() if t == "double"]]
+    return e.select("rec_key", *plain, *[rounded(F.col(c)).alias(c) for c in numbers])
+
+
 def enrich_summary(spark: SparkSession, d: str) -> DataFrame:
     e = enriched(spark, d)
     return e.groupBy(F.coalesce("format_used", F.lit("none")).alias("format_used"), F.coalesce("dataset_scope_flag", F.lit("none")).alias("scope")).agg(
@@ -196,6 +204,53 @@ def chemical_systems(spark: SparkSession, d: str) -> DataFrame:
     return records(spark, d).where("parts is not null").groupBy(phases.chemical_system(F.col("parts")).alias("chemsys")).agg(F.count("*").alias("n"))
 
 
+def phase_misses(spark: SparkSession, d: str) -> DataFrame:
+    """Formula keys without an answer in the cache, with the system to search for."""
+    r = records(spark, d).where("parts is not null").select("rec_key", "parts")
+    return phases.missing_systems(r, table(spark, d, "mp_cache"))
+
+
+def runs_and_fetches(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of different columns under one another."""
+    return enrich.outer_union([table(spark, d, "extraction").select("doi", "model", "failure"), table(spark, d, "fetch_log").select("doi", "status", "message")])
+
+
+def figure_base64(spark: SparkSession, d: str) -> DataFrame:
+    f = table(spark, d, "extraction_figure").select("figure_key", figures.encoded(F.encode("description", "UTF-8")).alias("encoded"))
+    return f.withColumn("decoded", F.decode(figures.decoded(F.col("encoded")), "UTF-8"))
+
+
+def reply_parse(spark: SparkSession, d: str) -> DataFrame:
+    """Answers taken as replies of a model: records, failure and truncation."""
+    m = table(spark, d, "mp_cache")
+    reason = F.when(F.pmod("cache_id", F.lit(3)) == 0, "FinishReason.MAX_TOKENS").otherwise("STOP")
+    r = m.select("cache_id", rules.parse_reply(F.col("payload"), reason, "struct<material_id:string>").alias("r"))
+    return r.select("cache_id", F.when(F.col("r.records").isNotNull(), F.size("r.records")).alias("n_records"), "r.error", "r.truncated")
+
+
+def _escaped(c: Column) -> Column:
+    for mark, code in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")):
+        c = F.replace(c, F.lit(mark), F.lit(code))
+    return c
+
+
+def xml_objects(spark: SparkSession, d: str) -> DataFrame:
+    """The figures of a run written as a publisher's object list and read from it."""
+    f = table(spark, d, "extraction_figure").where("extraction_id is not null")
+    one = F.concat(F.lit('<object ref="'), _escaped(F.coalesce("figure_id", F.lit(""))), F.lit('" category="high" type="IMAGE">u'), F.col("figure_key").cast("string"), F.lit("</object>"))
+    lists = f.groupBy("extraction_id").agg(F.array_sort(F.collect_list(F.struct("figure_key", one.alias("x")))).alias("p"))
+    xml = F.concat(F.lit(f'<r xmlns="{papers.SVAPI}"><objects>'), F.array_join(F.transform("p", lambda p: p["x"]), ""), F.lit("</objects></r>"))
+    return papers.figure_objects(lists.select(F.col("extraction_id").cast("string").alias("doi"), xml.alias("xml"))).select("doi", "pos", "ref", "url")
+
+
+def xml_bodies(spark: SparkSession, d: str) -> DataFrame:
+    """Descriptions written as the body of a paper and read from it."""
+    f = table(spark, d, "extraction_figure")
+    para = lambda c: F.concat(F.lit("<p>"), _escaped(F.coalesce(c, F.lit(""))), F.lit("</p>"))
+    xml = F.concat(F.lit(f'<r xmlns:ja="{papers.JA}"><head>x</head><ja:body>'), para("description"), para("figure_id"), F.lit("</ja:body></r>"))
+    return f.select(F.col("figure_key").cast("string").alias("doi"), papers.body_text(xml).alias("body_text"))
+
+
 def stable_top(spark: SparkSession, d: str) -> DataFrame:
     """The 50 documents nearest to the hull."""
     docs = nested.documents(table(spark, d, "mp_cache"))
@@ -209,7 +264,8 @@ def manual_list(spark: SparkSession, d: str) -> DataFrame:
 
 
 def done(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "extraction").where("failure is null")
+    """Papers with an output from their XML; those read from PDF are to be done again."""
+    return table(spark, d, "extraction").where("failure is null and input_format = 'xml'")
 
 
 def pending_dois(spark: SparkSession, d: str) -> DataFrame:
@@ -377,7 +433,7 @@ def order_mixtures(spark: SparkSession, d: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     parts = {
-        "weighted_means": per_record(**{n: lambda p, n=n: rounded(mixture.weighted_mean(p, elements.property_map(n))) for n in NUMBERS}),
+        "weighted_means": per_record(**{n: lambda p, n=n: rounded(mixture.weighted_mean(p, elements.property_map(n))) for n in mixture.WEIGHTED.values()}),
         "vec": per_record(vec=lambda p: rounded(mixture.vec(p)), missing=lambda p: label(mixture.missing_from(p, elements.literal(elements.VEC)))),
         "size_mismatch": per_record(delta=lambda p: rounded(mixture.size_mismatch(p))),
         "mixing_entropy": per_record(entropy=lambda p: rounded(mixture.mixing_entropy(p))),
@@ -389,8 +445,8 @@ def queries() -> dict[str, Query]:
     }
     own = [
         scan_records, composition_parse, discrete_composition, compositions, composition_warnings, composition_formats, dopant_units, formats_compared, fractions_wide,
-        collected_elements, element_cache, element_attributes, fraction_features_by_join, overwritten, enrich_summary, feature_log, record_labels, record_summary,
-        phase_cache, select_phase, select_phase_window, phase_lookup, phase_off, phase_empty, phase_projection, chemical_systems, stable_top, pending_dois,
+        collected_elements, element_cache, element_attributes, fraction_features_by_join, overwritten, enriched_features, enrich_summary, feature_log, record_labels, record_summary,
+        phase_cache, select_phase, select_phase_window, phase_lookup, phase_off, phase_empty, phase_projection, phase_misses, runs_and_fetches, figure_base64, reply_parse, xml_objects, xml_bodies, chemical_systems, stable_top, pending_dois,
         work_union, first_wins, first_wins_rank, fetch_routes, response_classes, open_access_classes, status_counts, latest_status, input_formats, extraction_totals,
         runs_without_records, figure_classes, kept_figures, kept_counts, figure_filter, figure_paths, figure_urls, note_tags, tag_counts, provenance, domain_rules,
         composition_classes, enumerations, history_steps, json_props, supplement_concat, order_mixtures,

@@ -2,7 +2,46 @@
 
 from __future__ import annotations
 
-from ferrolex.functions.elements import _PROPERTIES, ATOMIC_WEIGHT, PAIR_ENTHALPY, PROPERTY_COLUMNS, USFE, VEC
+# Fixed values, written for this SQL on its own: standard atomic weights in the order of the atomic numbers 1 to 94.
+_WEIGHTS = """
+H 1.008 He 4.002602 Li 6.94 Be 9.0121831 B 10.81 C 12.011 N 14.007 O 15.999 F 18.998403163 Ne 20.1797 Na 22.98976928 Mg 24.305 Al 26.9815385
+Si 28.085 P 30.973761998 S 32.06 Cl 35.45 Ar 39.948 K 39.0983 Ca 40.078 Sc 44.955908 Ti 47.867 V 50.9415 Cr 51.9961 Mn 54.938044 Fe 55.845
+Co 58.933194 Ni 58.6934 Cu 63.546 Zn 65.38 Ga 69.723 Ge 72.63 As 74.921595 Se 78.971 Br 79.904 Kr 83.798 Rb 85.4678 Sr 87.62 Y 88.90584 Zr 91.224
+Nb 92.90637 Mo 95.95 Tc 97.90721 Ru 101.07 Rh 102.9055 Pd 106.42 Ag 107.8682 Cd 112.414 In 114.818 Sn 118.71 Sb 121.76 Te 127.6 I 126.90447
+Xe 131.293 Cs 132.90545196 Ba 137.327 La 138.90547 Ce 140.116 Pr 140.90766 Nd 144.242 Pm 144.91276 Sm 150.36 Eu 151.964 Gd 157.25 Tb 158.92535
+Dy 162.5 Ho 164.93033 Er 167.259 Tm 168.93422 Yb 173.045 Lu 174.9668 Hf 178.49 Ta 180.94788 W 183.84 Re 186.207 Os 190.23 Ir 192.217 Pt 195.084
+Au 196.966569 Hg 200.592 Tl 204.38 Pb 207.2 Bi 208.9804 Po 209 At 210 Rn 222 Fr 223 Ra 226 Ac 227 Th 232.0377 Pa 231.03588 U 238.02891 Np 237 Pu 244
+""".split()
+# Valence electrons; pair enthalpies in kJ/mol; unstable stacking fault energies in mJ/m2.
+_VALENCE = "K 1 La 3 Y 3 Al 3 Hf 4 Ti 4 Zr 4 C 4 Si 4 Ta 5 Nb 5 V 5 N 5 W 6 Mo 6 Cr 6 O 6 Re 7 Fe 8 Co 9 Ni 10 Cu 11".split()
+_ENTHALPIES = """
+Co-Cu 6 Co-Fe -1 Co-Ni 0 Co-W -1 Cr-W 1 Cu-Fe 13 Cu-Ni 4 Cu-W 22 Fe-Ni -2 Fe-W 0 Mn-W 6 Mo-W 0 Nb-W -8 Ni-W -3 Re-Ta -24 Re-W -4 Ta-W -7 Ti-W -6 V-W -1 W-Zr -9
+""".split()
+_FAULTS = "Cr 1549 Fe 980 K 26 Li 71 Mo 1425 Na 48 Nb 674 Ta 725 Ti 190 V 713 W 1786".split()
+PROPERTY_COLUMNS = ("metallic_radius", "melting_point", "density", "en_pauling", "lattice_constant", "structure")
+# The columns above by element.
+_METALS = """
+Al 143 933.5 2.7 1.61 4.05 FCC|Co 125 1768 8.86 1.88 2.51 HEX|Cr 129 2180 7.15 1.66 2.88 BCC|Cu 128 1357.8 8.96 1.9 3.61 FCC|Fe 127 1811 7.87 1.83 2.87 BCC
+Hf 160 2506 13.3 1.3 3.2 HEX|K 238 336.7 0.862 0.82 5.23 BCC|La 188 1193 6.15 1.1 3.75 HEX|Mn 137 1519 7.3 1.55 8.89 CUB|Mo 140 2896 10.2 2.16 3.15 BCC
+Nb 147 2750 8.57 1.6 3.3 BCC|Ni 125 1728 8.9 1.91 3.52 FCC|Re 137 3459 20.8 1.9 2.76 HEX|Ru 134 2607 12.1 2.2 2.7 HEX|Si - 1687 2.33 1.9 5.43 DIA
+Ta 147 3290 16.4 1.5 3.31 BCC|Ti 147 1941 4.506 1.54 2.95 HEX|V 135 2183 6.11 1.63 3.02 BCC|W 141 3695 19.3 2.36 3.16 BCC|Y 181 1795 4.47 1.22 3.65 HEX|Zr 160 2128 6.52 1.33 3.23 HEX
+"""
+FURTHER_COLUMNS = ("atomic_radius", "boiling_point", "fusion_heat", "thermal_conductivity", "en_allen", "electron_affinity")
+# The columns above by element.
+_MORE = """
+Co 135 3200 15.5 100 1.84 0.662|Cr 140 2944 21 93.9 1.65 0.666|Cu 135 2835 13 401 1.85 1.236|Fe 140 3134 13.8 80.4 1.8 0.151|K 220 1032 2.33 102.5 0.734 0.501
+Mo 145 4912 36 138 1.47 0.747|Nb 145 5017 26.8 53.7 1.41 0.917|Ni 135 3186 17.6 90.9 1.88 1.157|Re 135 5869 33.2 48 1.6 0.06|Ta 145 5731 36 57.5 1.34 0.329
+Ti 140 3560 18.8 21.9 1.38 0.076|V 135 3680 17.5 30.7 1.53 0.525|W 135 5828 35.2 173 1.47 0.816|Zr 155 4682 19.2 22.7 1.32 0.433
+"""
+
+
+def _by_element(words: list[str]) -> list[tuple]:
+    return [(a, float(b)) for a, b in zip(words[::2], words[1::2])]
+
+
+def _table(text: str) -> list[tuple]:
+    cell = lambda x: None if x == "-" else x if x.isalpha() else float(x)
+    return [tuple(map(cell, row.split())) for row in text.replace("\n", "|").split("|") if row.strip()]
 
 
 def _values(rows: list[tuple], columns: str) -> str:
@@ -12,11 +51,11 @@ def _values(rows: list[tuple], columns: str) -> str:
     return f"(VALUES {', '.join('(' + ', '.join(map(lit, r)) + ')' for r in rows)}) AS t({columns})"
 
 
-AW = _values(list(ATOMIC_WEIGHT.items()), "el, aw")
-VECS = _values(list(VEC.items()), "el, v")
-USFES = _values(list(USFE.items()), "el, u")
-PAIRS = _values([tuple(sorted(k.split("-"))) + (h,) for k, h in PAIR_ENTHALPY.items()], "a, b, h")
-PROPS = _values([(k, *v) for k, v in _PROPERTIES.items()], f"el, {', '.join(PROPERTY_COLUMNS)}, structure")
+AW = _values(_by_element(_WEIGHTS), "el, aw")
+VECS = _values(_by_element(_VALENCE), "el, v")
+USFES = _values(_by_element(_FAULTS), "el, u")
+PAIRS = _values([(*k.split("-"), h) for k, h in _by_element(_ENTHALPIES)], "a, b, h")
+PROPS = f"(SELECT * FROM {_values(_table(_METALS), f'el, {', '.join(PROPERTY_COLUMNS)}')} LEFT JOIN {_values(_table(_MORE), f'el, {', '.join(FURTHER_COLUMNS)}').replace('AS t(', 'AS m(')} USING (el)) AS q"
 
 STRING = f"""
 aw AS (SELECT * FROM {AW}),
@@ -117,6 +156,7 @@ doc AS (
   SELECT cache_key, CAST(e.key AS INTEGER) AS pos, e.value->>'$.material_id' AS material_id, e.value->>'$.formula_pretty' AS formula,
     CAST(e.value->>'$.energy_above_hull' AS DOUBLE) AS e_hull, CAST(e.value->>'$.is_stable' AS BOOLEAN) AS is_stable,
     e.value->>'$.symmetry.crystal_system' AS crystal_system, e.value->>'$.symmetry.symbol' AS spacegroup,
+    CAST(e.value->>'$.formation_energy_per_atom' AS DOUBLE) AS formation,
     CAST(e.value->>'$.bulk_modulus.vrh' AS DOUBLE) AS bulk, CAST(e.value->>'$.shear_modulus.vrh' AS DOUBLE) AS shear
   FROM newest, json_each(newest.docs) e
 )
@@ -169,6 +209,57 @@ firsts AS (SELECT doi, source, ord FROM work WHERE doi IS NOT NULL QUALIFY row_n
 LAST_CLASS = "lastc AS (SELECT extraction_id, figure_id, arg_max(figure_type, figure_key) FILTER (WHERE TRUE) AS ft0, max(figure_key) AS k FROM extraction_figure WHERE figure_id IS NOT NULL GROUP BY ALL), last AS (SELECT l.extraction_id, l.figure_id, e.figure_type FROM lastc l JOIN extraction_figure e ON e.figure_key = l.k)"
 
 
+WARN = """warn AS (
+  SELECT rec_key, 1 AS o, 'cannot read ' || composition_string AS warning FROM w_dbtt WHERE composition_string <> '' AND rec_key NOT IN (SELECT rec_key FROM ok)
+  UNION ALL
+  SELECT rec_key, 1 + s, 'no usable amount of ' || el FROM slot WHERE ct IN ('doped', 'alloy') AND el <> '' AND (c IS NULL OR u IS NULL OR u NOT IN ('ppm', 'wt%', 'at%'))
+    AND rec_key NOT IN (SELECT rec_key FROM ok)
+  UNION ALL
+  SELECT rec_key, 4 + s, 'no element ' || el FROM slot WHERE ct IN ('doped', 'alloy') AND el <> '' AND c IS NOT NULL AND u IN ('ppm', 'wt%', 'at%') AND el NOT IN (SELECT el FROM aw)
+    AND rec_key NOT IN (SELECT rec_key FROM ok)
+  UNION ALL
+  SELECT rec_key, 7, 'mixed units of dopants' FROM use WHERE rec_key NOT IN (SELECT rec_key FROM ok) GROUP BY rec_key HAVING count(DISTINCT kind) = 2
+  UNION ALL
+  SELECT rec_key, 8, 'dopants exceed the whole' FROM last WHERE rec_key NOT IN (SELECT rec_key FROM ok) GROUP BY rec_key HAVING sum(f) > 1
+)"""
+# The names of the means and the property each is of.
+MEANS = {
+    "mendeleev_atomic_radius_pm_weighted": "atomic_radius", "mendeleev_metallic_radius_pm_weighted": "metallic_radius", "mendeleev_atomic_weight_weighted": "atomic_weight",
+    "mendeleev_melting_point_k_weighted": "melting_point", "mendeleev_density_g_cm3_weighted": "density", "mendeleev_electronegativity_weighted": "en_pauling",
+    "mean_boiling_point_k": "boiling_point", "mean_fusion_heat_kj_mol": "fusion_heat", "mean_thermal_conductivity_w_mk": "thermal_conductivity",
+    "mean_en_allen": "en_allen", "mean_electron_affinity_ev": "electron_affinity",
+}
+LATTICE = f"l AS (SELECT el, CASE WHEN structure = 'BCC' THEN lattice_constant ELSE 4 / sqrt(3) * metallic_radius / 100 END AS a FROM {PROPS})"
+_EMPTY = "best.rec_key IS NULL AND newest.cache_key IS NOT NULL AND NOT heavy AND keys.n > 0"
+FEATURES = f"""{COMP}, {KEY}, {DOCS}, {chosen("keys JOIN doc d ON d.cache_key = keys.formula AND NOT heavy AND keys.n > 0", "keys.n", "rec_key")},
+{VECSQL}, {DELTA}, {ENTROPY}, {ENTHALPY}, {LATTICE},
+m AS (SELECT rec_key, {', '.join(f"{mean(c)} AS {n}" for n, c in MEANS.items())} FROM comp LEFT JOIN {PROPS_AW} p USING (el) GROUP BY rec_key),
+bcc AS (SELECT rec_key, sum(f * a) / nullif(sum(f) FILTER (WHERE a IS NOT NULL), 0) AS a FROM comp LEFT JOIN l USING (el) GROUP BY rec_key),
+us AS (SELECT rec_key, CASE WHEN NOT bool_or(u IS NULL AND f > 0.01) THEN sum(f * u) / nullif(sum(f) FILTER (WHERE u IS NOT NULL), 0) END AS usfe FROM comp LEFT JOIN (SELECT * FROM {USFES}) USING (el) GROUP BY rec_key),
+fu AS (SELECT DISTINCT rec_key, format_used FROM comp)
+SELECT w.rec_key, fu.format_used, CASE WHEN heavy THEN 'W_heavy_alloy_no_DBTT' END AS dataset_scope_flag, {', '.join(f"{r6(f'm.{n}')} AS {n}" for n in MEANS)},
+  {r6('bcc.a')} AS mendeleev_a_bcc_equiv_angstrom, {r6('coalesce(v.vec, w.vec)')} AS vec, {r6('coalesce(s.entropy, w.delta_s_mix_j_mol_k)')} AS delta_s_mix_j_mol_k,
+  {r6('coalesce(d.delta, w.delta_atomic_size)')} AS delta_atomic_size, {r6('coalesce(h.enthalpy, w.delta_h_mix_kj_mol)')} AS delta_h_mix_kj_mol, {r6('us.usfe')} AS usfe_linear_mixture_mj_m2,
+  best.material_id AS mp_material_id, CASE WHEN {_EMPTY} THEN keys.formula ELSE best.formula END AS mp_formula, {r6('best.bulk')} AS mp_bulk_modulus_gpa, {r6('best.shear')} AS mp_shear_modulus_gpa,
+  {r6('best.formation')} AS mp_formation_energy_ev_atom, {r6('best.e_hull')} AS mp_energy_above_hull_ev_atom, best.crystal_system AS mp_crystal_system, best.spacegroup AS mp_spacegroup_symbol,
+  best.is_stable AS mp_is_stable, NOT gs AND NOT cubic AS mp_bcc_assumption_applied, CASE WHEN {_EMPTY} THEN FALSE ELSE gs OR near END AS mp_all_phases_found,
+  CASE WHEN keys.rec_key IS NULL THEN NULL WHEN heavy THEN 'heavy alloy: not looked up' WHEN keys.n = 0 THEN 'all elements are below the trace limit'
+    WHEN newest.cache_key IS NULL THEN 'no answer in the cache' WHEN best.rec_key IS NULL THEN 'no matching entries' END AS mp_query_skipped
+FROM w_dbtt w LEFT JOIN fu USING (rec_key) LEFT JOIN keys USING (rec_key) LEFT JOIN m USING (rec_key) LEFT JOIN bcc USING (rec_key) LEFT JOIN vecs v USING (rec_key) LEFT JOIN delta d USING (rec_key)
+LEFT JOIN entropy s USING (rec_key) LEFT JOIN enthalpy h USING (rec_key) LEFT JOIN us USING (rec_key) LEFT JOIN best USING (rec_key) LEFT JOIN newest ON newest.cache_key = keys.formula"""
+_STEP = "trim(step)"
+
+
+def _number(pattern: str) -> str:
+    return f"try_cast(nullif(regexp_extract({_STEP}, '{pattern}', 1), '') AS DOUBLE)"
+
+
+HISTORY = f"""SELECT rec_key, CAST(pos - 1 AS INTEGER) AS pos, nullif(regexp_extract({_STEP}, '^([a-z][a-z_]+)', 1), '') AS method,
+  coalesce({_number('([0-9]+(?:[.][0-9]+)?) ?K\\b')}, {_number('([0-9]+(?:[.][0-9]+)?) ?°?C\\b')} + 273.15) AS temperature_k,
+  {_number('([0-9]+(?:[.][0-9]+)?) ?%')} AS reduction_pct, {_number('([0-9]+)_pass')} AS passes
+FROM (SELECT rec_key, unnest(s) AS step, generate_subscripts(s, 1) AS pos FROM (SELECT rec_key, string_split(processing_history, ';') AS s FROM w_dbtt WHERE processing_history IS NOT NULL))"""
+
+
 def oracle_sql() -> dict[str, str]:
     out = {
         "scan_records": "SELECT w.rec_key, w.extraction_id, e.doi FROM w_dbtt w JOIN extraction e USING (extraction_id) WHERE e.failure IS NULL",
@@ -182,12 +273,12 @@ def oracle_sql() -> dict[str, str]:
         "collected_elements": f"{COMP} SELECT DISTINCT el FROM comp",
         "element_cache": f"{COMP}, n AS (SELECT el, aw, row_number() OVER () AS z FROM (SELECT * FROM {AW})) SELECT el AS symbol, CAST(z AS INTEGER) AS atomic_number, aw AS atomic_weight FROM n WHERE el IN ('W', 'Re', 'Ta') OR el IN (SELECT el FROM comp)",
         "fraction_features_by_join": f"{COMP} SELECT rec_key, {r6(mean('metallic_radius'))} AS metallic_radius, {r6(mean('melting_point'))} AS melting_point FROM comp LEFT JOIN {PROPS_AW} p USING (el) GROUP BY rec_key",
-        "weighted_means": f"{COMP} SELECT rec_key, " + ", ".join(f"{r6(mean(c))} AS {c}" for c in ("metallic_radius", "atomic_weight", "melting_point", "density", "en_pauling")) + f" FROM comp LEFT JOIN {PROPS_AW} p USING (el) GROUP BY rec_key",
+        "weighted_means": f"{COMP} SELECT rec_key, " + ", ".join(f"{r6(mean(c))} AS {c}" for c in MEANS.values()) + f" FROM comp LEFT JOIN {PROPS_AW} p USING (el) GROUP BY rec_key",
         "vec": f"{COMP}, {VECSQL} SELECT rec_key, {r6('vec')} AS vec, missing FROM vecs",
         "size_mismatch": f"{COMP}, {DELTA} SELECT rec_key, {r6('delta')} AS delta FROM delta",
         "mixing_entropy": f"{COMP}, {ENTROPY} SELECT rec_key, {r6('entropy')} AS entropy FROM entropy",
         "mixing_enthalpy": f"{COMP}, {ENTHALPY} SELECT rec_key, {r6('enthalpy')} AS enthalpy, n_missing FROM enthalpy",
-        "bcc_lattice": f"{COMP}, l AS (SELECT el, CASE WHEN structure = 'BCC' THEN lattice_constant ELSE 4 / sqrt(3) * metallic_radius / 100 END AS a FROM {PROPS}) SELECT rec_key, {r6('sum(f * a) / nullif(sum(f) FILTER (WHERE a IS NOT NULL), 0)')} AS lattice FROM comp LEFT JOIN l USING (el) GROUP BY rec_key",
+        "bcc_lattice": f"{COMP}, {LATTICE} SELECT rec_key, {r6('sum(f * a) / nullif(sum(f) FILTER (WHERE a IS NOT NULL), 0)')} AS lattice FROM comp LEFT JOIN l USING (el) GROUP BY rec_key",
         "usfe_guarded": f"{COMP} SELECT rec_key, {r6("CASE WHEN NOT bool_or(u IS NULL AND f > 0.01) THEN sum(f * u) / nullif(sum(f) FILTER (WHERE u IS NOT NULL), 0) END")} AS usfe, coalesce(string_agg(CASE WHEN u IS NULL THEN el END, ',' ORDER BY el), '') AS missing FROM comp LEFT JOIN (SELECT * FROM {USFES}) USING (el) GROUP BY rec_key",
         "heavy_alloy_flag": f"{COMP}, {KEY} SELECT rec_key, CASE WHEN heavy THEN 'W_heavy_alloy_no_DBTT' END AS flag FROM keys",
         "formula_key": f"{COMP}, {KEY} SELECT rec_key, formula, formula || '.json' AS path FROM keys",
@@ -201,7 +292,7 @@ def oracle_sql() -> dict[str, str]:
         "phase_empty": "SELECT cache_id, CAST(NULL AS VARCHAR) AS mp_material_id, CAST(NULL AS BOOLEAN) AS mp_is_stable, 'no client' AS mp_query_skipped FROM mp_cache",
         "phase_projection": f"WITH {DOCS} SELECT cache_key, pos, material_id, crystal_system, spacegroup, {r6('bulk')} AS bulk, {r6('shear')} AS shear FROM doc",
         "chemical_systems": f"{COMP}, s AS (SELECT rec_key, string_agg(el, '-' ORDER BY el) AS chemsys FROM comp GROUP BY rec_key) SELECT chemsys, count(*) AS n FROM s GROUP BY chemsys",
-        "pending_dois": f"WITH {WORK} SELECT doi, source, ord FROM firsts WHERE translate(doi, '/.', '_-') NOT IN (SELECT translate(doi, '/.', '_-') FROM extraction WHERE failure IS NULL AND doi IS NOT NULL)",
+        "pending_dois": f"WITH {WORK} SELECT doi, source, ord FROM firsts WHERE translate(doi, '/.', '_-') NOT IN (SELECT translate(doi, '/.', '_-') FROM extraction WHERE failure IS NULL AND input_format = 'xml' AND doi IS NOT NULL)",
         "work_union": f"WITH {WORK} SELECT source, count(*) AS n FROM work GROUP BY source",
         "first_wins": f"WITH {WORK} SELECT doi, source, ord FROM firsts",
         "first_wins_rank": f"WITH {WORK} SELECT doi, source, ord FROM firsts",
@@ -232,9 +323,25 @@ u AS (SELECT rec_key, CASE WHEN NOT bool_or(u IS NULL AND f > 0.01) THEN sum(f *
 fu AS (SELECT DISTINCT rec_key, format_used FROM comp)
 SELECT coalesce(format_used, 'none') AS format_used, CASE WHEN heavy THEN 'W_heavy_alloy_no_DBTT' ELSE 'none' END AS scope, count(*) AS n, count(best.material_id) AS n_phases, {r6('sum(usfe) / 1e3')} AS usfe_sum
 FROM w_dbtt LEFT JOIN fu USING (rec_key) LEFT JOIN keys USING (rec_key) LEFT JOIN best USING (rec_key) LEFT JOIN u USING (rec_key) GROUP BY ALL""",
-        "element_attributes": f"WITH w AS (SELECT * FROM {PROPS} WHERE el = 'W') SELECT attribute, value FROM (VALUES ('atomic_number', '74'), ('lattice_structure', 'BCC'), ('vec', '6'), ('atomic_weight', '183.84'), ('atomic_radius', NULL), ('metallic_radius', (SELECT CAST(metallic_radius AS VARCHAR) FROM w)), ('covalent_radius', NULL), ('melting_point', (SELECT CAST(melting_point AS VARCHAR) FROM w)), ('boiling_point', NULL), ('density', (SELECT CAST(density AS VARCHAR) FROM w)), ('lattice_constant', (SELECT CAST(lattice_constant AS VARCHAR) FROM w)), ('en_pauling', (SELECT CAST(en_pauling AS VARCHAR) FROM w)), ('en_allen', NULL), ('fusion_heat', NULL), ('thermal_conductivity', NULL), ('electron_affinity', NULL)) AS t(attribute, value)",
+        "element_attributes": f"WITH w AS (SELECT * FROM {PROPS} WHERE el = 'W') SELECT attribute, value FROM (VALUES ('atomic_number', '74'), ('lattice_structure', 'BCC'), ('vec', '6'), ('atomic_weight', '183.84'), ('atomic_radius', (SELECT CAST(atomic_radius AS VARCHAR) FROM w)), ('metallic_radius', (SELECT CAST(metallic_radius AS VARCHAR) FROM w)), ('covalent_radius', NULL), ('melting_point', (SELECT CAST(melting_point AS VARCHAR) FROM w)), ('boiling_point', (SELECT CAST(boiling_point AS VARCHAR) FROM w)), ('density', (SELECT CAST(density AS VARCHAR) FROM w)), ('lattice_constant', (SELECT CAST(lattice_constant AS VARCHAR) FROM w)), ('en_pauling', (SELECT CAST(en_pauling AS VARCHAR) FROM w)), ('en_allen', (SELECT CAST(en_allen AS VARCHAR) FROM w)), ('fusion_heat', (SELECT CAST(fusion_heat AS VARCHAR) FROM w)), ('thermal_conductivity', (SELECT CAST(thermal_conductivity AS VARCHAR) FROM w)), ('electron_affinity', (SELECT CAST(electron_affinity AS VARCHAR) FROM w))) AS t(attribute, value)",
         "json_props": "WITH e AS (SELECT event_type, CAST(props->>'$.k' AS BIGINT) AS k FROM events) SELECT event_type, count(*) AS n, CAST(sum(k) AS BIGINT) AS k_sum, min(k) AS k_min, max(k) AS k_max FROM e GROUP BY event_type",
         "supplement_concat": "WITH s AS (SELECT extraction_id, string_agg(coalesce(description, ''), chr(10) ORDER BY figure_key) AS t FROM extraction_figure WHERE extraction_id IS NOT NULL GROUP BY extraction_id) SELECT extraction_id, md5(t) AS text_md5, length(t) AS n_chars FROM s",
+        "enriched_features": FEATURES,
+        "composition_warnings": f"{COMP}, {WARN} SELECT rec_key, warning FROM warn",
+        "feature_log": f"""{COMP}, {WARN}, fu AS (SELECT DISTINCT rec_key, format_used FROM comp),
+lines AS (
+  SELECT rec_key, 0 AS o, CASE WHEN format_used IS NULL THEN 'WARN' ELSE 'INFO' END AS level, coalesce('composition by ' || format_used, 'no composition') AS t FROM w_dbtt LEFT JOIN fu USING (rec_key)
+  UNION ALL SELECT rec_key, o, 'WARN', warning FROM warn
+)
+SELECT rec_key, CAST(row_number() OVER (PARTITION BY rec_key ORDER BY o) AS INTEGER) AS seq, level, coalesce(nullif(record_id, ''), nullif(material_name, ''), 'unknown') || ' ' || t AS message
+FROM lines JOIN w_dbtt USING (rec_key)""",
+        "history_steps": HISTORY,
+        "phase_misses": f"{COMP}, {KEY}, {DOCS}, s AS (SELECT rec_key, string_agg(el, '-' ORDER BY el) FILTER (WHERE f >= 0.01) AS chemsys FROM comp GROUP BY rec_key) SELECT DISTINCT formula AS cache_key, chemsys FROM keys JOIN s USING (rec_key) WHERE NOT heavy AND n > 0 AND formula NOT IN (SELECT cache_key FROM newest)",
+        "runs_and_fetches": "SELECT doi, model, failure FROM extraction UNION ALL BY NAME SELECT doi, status, message FROM fetch_log",
+        "figure_base64": "SELECT figure_key, to_base64(encode(description)) AS encoded, description AS decoded FROM extraction_figure",
+        "reply_parse": "SELECT cache_id, CASE WHEN json_valid(payload) AND json_type(payload) = 'ARRAY' THEN CAST(json_array_length(payload) AS INTEGER) END AS n_records, CASE WHEN json_valid(payload) AND json_type(payload) = 'ARRAY' THEN NULL ELSE 'parse_failed' END AS error, cache_id % 3 = 0 AS truncated FROM mp_cache",
+        "xml_objects": "SELECT CAST(extraction_id AS VARCHAR) AS doi, CAST(row_number() OVER (PARTITION BY extraction_id ORDER BY figure_key) - 1 AS INTEGER) AS pos, coalesce(figure_id, '') AS ref, 'u' || figure_key AS url FROM extraction_figure WHERE extraction_id IS NOT NULL",
+        "xml_bodies": "SELECT CAST(figure_key AS VARCHAR) AS doi, concat_ws(' ', nullif(trim(coalesce(description, '')), ''), nullif(trim(coalesce(figure_id, '')), '')) AS body_text FROM extraction_figure",
         "order_mixtures": "WITH x AS (SELECT l_orderkey, split_part(p_type, ' ', 1) AS el, sum(l_quantity) AS q FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY ALL) SELECT l_orderkey, count(*) AS n_components, round(CASE WHEN count(*) > 1 THEN -8.314 * (sum(q * ln(q)) / sum(q) - ln(sum(q))) ELSE 0.0 END + 1e-9, 4) AS entropy FROM x GROUP BY l_orderkey",
     }
     return out

@@ -21,19 +21,31 @@ def local_session(cores: str = "*", shuffle: int = 8) -> SparkSession:
     return builder.getOrCreate()
 
 
+def is_local(master: str | None) -> bool:
+    """Whether all executors run in one process on this machine, so that its temporary folder is shared by all."""
+    return bool(master) and (master == "local" or master.startswith("local["))
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """Folder named by spark.checkpoint.dir; a temporary one is set only where none is configured (tests)."""
+    """The folder named by spark.checkpoint.dir, which all executors share.
+
+    Where none is named a temporary one is set in a local session (tests); on a cluster that is an error, as a folder of
+    one machine would be lost with it. The setting is read from the session, the context's own folder is left as it is.
+    """
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        if not is_local(spark.conf.get("spark.master", None)):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         at = "file://" + tempfile.mkdtemp(prefix="ferrolex-")
         spark.conf.set("spark.checkpoint.dir", at)
-    context = spark.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(at)
     return at
 
 
 def cut(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint in the shared folder, so that lost executors cost no recomputation."""
-    shared_folder(df.sparkSession)
+    spark = df.sparkSession
+    at = shared_folder(spark)
+    context = getattr(spark, "_sc", None)  # none with Spark Connect, where the server has the folder of its own setting
+    if context is not None and context.getCheckpointDir() is None:
+        context.setCheckpointDir(at)
     return df.checkpoint(eager=True)

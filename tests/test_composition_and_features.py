@@ -5,7 +5,7 @@ from ferrolex.functions.elements import attributes, element_lookup, element_tabl
 from ferrolex.operators import mixture
 from ferrolex.operators.composition import expand_brackets, formula_string, with_composition, with_formula, wt_to_at
 from ferrolex.operators.enrich import enrich, fraction_columns, log_lines
-from ferrolex.operators.phases import empty_phases, formula_key, select_phase, select_phase_by_window, without_traces
+from ferrolex.operators.phases import empty_phases, formula_key, searched, select_phase, select_phase_by_window, with_phases, without_traces
 
 RECORD = "rec_key bigint, record_id string, material_name string, composition_type string, composition_string string, dopant_or_alloying_element string, dopant_concentration double, dopant_concentration_unit string, second_dopant_element string, second_dopant_concentration double, second_dopant_concentration_unit string, vec double, delta_s_mix_j_mol_k double, delta_atomic_size double, delta_h_mix_kj_mol double"
 
@@ -104,6 +104,45 @@ def test_enrich_keeps_all_records(spark):
     assert log_lines(with_composition(df)).where("level = 'WARN'").count() == 1
 
 
+def test_phases_are_searched_for_where_the_cache_misses(spark, tmp_path):
+    at = str(tmp_path / "asked")
+
+    def transport(url, params, headers, timeout):
+        with open(at, "a") as f:
+            f.write(params["elements"] + "\n")
+        if params["elements"] == "Ta,W":
+            raise TimeoutError("slow")
+        return 200, (b'[{"material_id": "new", "formula_pretty": "WRe", "energy_above_hull": 0.0, "symmetry": {"crystal_system": "Cubic"}}]' if "Re" in params["elements"] else b"[]"), ""
+
+    df = records(spark, ("alloy", "W1"), ("alloy", "W0.9Re0.1"), ("alloy", "W0.8Re0.2"), ("alloy", "W0.9Ta0.1"), ("alloy", "W0.9Mo0.1"), ("alloy", "W0.9Ni0.1"))
+    answers = spark.createDataFrame([(1, "W1.0", None, '[{"material_id": "m", "energy_above_hull": 0.0}]')], "cache_id bigint, cache_key string, written_at timestamp, payload string")
+    composed = with_composition(df)
+    live = with_phases(composed, answers, phase_source="live", transport=transport, url="u")
+    got = {r.composition_string: r for r in live.collect()}
+    assert [got[c].mp_material_id for c in ("W1", "W0.9Re0.1", "W0.8Re0.2", "W0.9Ta0.1", "W0.9Mo0.1", "W0.9Ni0.1")] == ["m", "new", "new", None, None, None]
+    assert got["W0.9Ta0.1"].mp_query_skipped == "phase search failed: TimeoutError: slow" and got["W0.9Mo0.1"].mp_query_skipped == "no matching entries"
+    assert got["W0.9Mo0.1"].mp_formula == "Mo0.1W0.9" and got["W0.9Mo0.1"].mp_all_phases_found is False
+    with open(at) as f:
+        assert sorted(f.read().split()) == ["Mo,W", "Re,W", "Ta,W"]
+    assert with_phases(composed, answers, phase_source="live").where("composition_string = 'W1'").first().mp_query_skipped.startswith("no client")
+    cached = {r.composition_string: r.mp_query_skipped for r in with_phases(composed, answers).collect()}
+    assert cached["W0.9Re0.1"] == "no answer in the cache" and cached["W1"] is None
+    new = searched(composed, answers, transport, "u").where("error is null")
+    assert {r.cache_key for r in new.collect()} == {"Re0.1W0.9", "Re0.2W0.8", "Mo0.1W0.9"} and new.select(*answers.columns).unionByName(answers).count() == 4
+
+
+def test_an_element_table_of_the_caller_reaches_all_features(spark):
+    own = element_table(spark).withColumns({c: F.when(F.col("symbol") == "La", 7.0).otherwise(F.lit(3.0)) for c in set(mixture.WEIGHTED.values()) | {"lattice_constant"}})
+    df = records(spark, ("alloy", "W0.5La0.5"))
+    answers = spark.createDataFrame([], "cache_id bigint, cache_key string, written_at timestamp, payload string")
+    r = enrich(df, answers, elements=own).first()
+    assert {r[c] for c in mixture.WEIGHTED} == {5.0} and round(r.delta_atomic_size, 6) == 40.0
+    built_in = enrich(records(spark, ("alloy", "W0.9Re0.1")), answers).first()
+    assert all(built_in[c] is not None for c in mixture.WEIGHTED)
+    lines = [x.message for x in log_lines(enrich(df, answers).withColumn("parts", F.lit(1))).orderBy("seq").collect()]
+    assert lines[0] == "m composition by A_composition_string" and any("overwritten: vec" in x for x in lines) and any("phase skipped" in x for x in lines)
+
+
 def test_invariants(spark, sf):
     df = with_composition(spark.read.parquet(f"{sf}/w_dbtt.parquet").select(*[c.split()[0] for c in RECORD.split(", ")])).where("parts is not null")
     p = F.col("parts")

@@ -93,12 +93,14 @@ def test_stream_processes_each_file_once(spark, tmp_path):
     schema = RecordSchema({"fields": [{"name": n} for n in names] + [{"name": n, "type": "float"} for n in ("dopant_concentration", "second_dopant_concentration")]}).struct
     src, out, check = (str(tmp_path / x) for x in ("in", "out", "check"))
     os.makedirs(src)
+    answers = spark.createDataFrame([(1, "W1.0", None, '[{"material_id": "m", "energy_above_hull": 0.0}]')], "cache_id bigint, cache_key string, written_at timestamp, payload string")
     for k in range(2):
         with open(f"{src}/{k}_extraction.json", "w") as f:
-            f.write(envelope(f"d{k}", [{"record_id": f"r{k}", "composition_string": "W0.95Ni0.035Fe0.015"}]))
-        run_once(spark, src, schema, out, check).awaitTermination()
-        rows = spark.read.parquet(out).collect()
-        assert len(rows) == k + 1 and all(round(r.mix_vec, 3) == 6.17 and r.dataset_scope_flag for r in rows)
+            f.write(envelope(f"d{k}", [{"record_id": f"r{k}", "composition_string": "W0.95Ni0.035Fe0.015"}, {"record_id": "p", "composition_string": "W1"}]))
+        run_once(spark, src, schema, out, check, answers).awaitTermination()
+        rows = spark.read.parquet(out).where("record_id <> 'p'").collect()
+        assert len(rows) == k + 1 and all(round(r.mix_vec, 3) == 6.17 and r.dataset_scope_flag and r.mp_query_skipped.startswith("heavy") for r in rows)
+        assert {r.mp_material_id for r in spark.read.parquet(out).where("record_id = 'p'").collect()} == {"m"}
 
 
 ATTACHED = f'<r xmlns:x="{papers.XOCS}"><body/><x:attachment><x:attachment-eid>1-s2.0-mmc1.docx</x:attachment-eid></x:attachment><x:attachment><x:attachment-eid>1-x.mp4</x:attachment-eid></x:attachment></r>'
