@@ -339,7 +339,9 @@ FROM lines JOIN w_dbtt USING (rec_key)""",
         "phase_misses": f"{COMP}, {KEY}, {DOCS}, s AS (SELECT rec_key, string_agg(el, '-' ORDER BY el) FILTER (WHERE f >= 0.01) AS chemsys FROM comp GROUP BY rec_key) SELECT DISTINCT formula AS cache_key, chemsys FROM keys JOIN s USING (rec_key) WHERE NOT heavy AND n > 0 AND formula NOT IN (SELECT cache_key FROM newest)",
         "runs_and_fetches": "SELECT doi, model, failure FROM extraction UNION ALL BY NAME SELECT doi, status, message FROM fetch_log",
         "figure_base64": "SELECT figure_key, to_base64(encode(description)) AS encoded, description AS decoded FROM extraction_figure",
-        "reply_parse": "SELECT cache_id, CASE WHEN json_valid(payload) AND json_type(payload) = 'ARRAY' THEN CAST(json_array_length(payload) AS INTEGER) END AS n_records, CASE WHEN json_valid(payload) AND json_type(payload) = 'ARRAY' THEN NULL ELSE 'parse_failed' END AS error, cache_id % 3 = 0 AS truncated FROM mp_cache",
+        "reply_parse": """WITH v AS (SELECT cache_id, CASE WHEN json_valid(payload) THEN CAST(payload AS JSON) END AS j FROM mp_cache)
+SELECT cache_id, CASE WHEN json_type(j) = 'ARRAY' THEN CAST(json_array_length(j) AS INTEGER) END AS n_records,
+  CASE WHEN json_type(j) = 'ARRAY' THEN NULL ELSE 'parse_failed' END AS error, cache_id % 3 = 0 AS truncated FROM v""",
         "xml_objects": "SELECT CAST(extraction_id AS VARCHAR) AS doi, CAST(row_number() OVER (PARTITION BY extraction_id ORDER BY figure_key) - 1 AS INTEGER) AS pos, coalesce(figure_id, '') AS ref, 'u' || figure_key AS url FROM extraction_figure WHERE extraction_id IS NOT NULL",
         "xml_bodies": "SELECT CAST(figure_key AS VARCHAR) AS doi, concat_ws(' ', nullif(trim(coalesce(description, '')), ''), nullif(trim(coalesce(figure_id, '')), '')) AS body_text FROM extraction_figure",
         "order_mixtures": "WITH x AS (SELECT l_orderkey, split_part(p_type, ' ', 1) AS el, sum(l_quantity) AS q FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY ALL) SELECT l_orderkey, count(*) AS n_components, round(CASE WHEN count(*) > 1 THEN -8.314 * (sum(q * ln(q)) / sum(q) - ln(sum(q))) ELSE 0.0 END + 1e-9, 4) AS entropy FROM x GROUP BY l_orderkey",
