@@ -77,21 +77,33 @@ def cells(records: DataFrame) -> DataFrame:
     entries = F.map_entries(F.try_variant_get(F.try_parse_json("payload"), "$", "map<string,variant>"))
     rows = records.select("file_id", F.explode(F.array(F.struct(entries.alias("m")))).alias("p")).where("p.m is not null")
 
-    def of(e: Column) -> Column:
-        v = e["value"]
-        kind = F.schema_of_variant(v)
-        code = (
-            F.when(kind == "STRING", 0).when(kind == "BOOLEAN", 2).when(kind.startswith("OBJECT"), 3).when(kind.startswith("ARRAY"), 4)
-            .when(kind != "VOID", 1)
-        )
-        number = F.when((code == 1) | (code == 0), F.try_variant_get(v, "$", "double"))
-        text = F.when(code <= 2, F.try_variant_get(v, "$", "string")).when(code >= 3, plain_text(F.to_json(v)))
-        return F.struct(e["key"].alias("key"), code.cast("tinyint").alias("kind"), number.alias("number"), text.alias("text"))
-
-    rows = rows.select("file_id", F.transform("p.m", of).alias("m"))
-    size = lambda e: F.length(e["text"])
-    mark = lambda e: F.when(e["kind"].isNotNull(), F.when(e["number"].isNotNull(), F.xxhash64(e["number"].cast("string"))).otherwise(fingerprint(e["text"])))
-    return rows.select("file_id", F.transform("m", lambda e: F.struct(e["key"].alias("key"), e["kind"].alias("kind"), mark(e).alias("mark"), e["number"].alias("number"), size(e).alias("size"))).alias("m"))
+    # Each step binds what it computes, so that nothing is computed twice for a member.
+    def typed(e: Column) -> Column:
+        return F.struct(e["key"].alias("key"), e["value"].alias("v"), F.schema_of_variant(e["value"]).alias("s"))
+
+    def coded(e: Column) -> Column:
+        s = e["s"]
+        code = F.when(s == "STRING", 0).when(s == "BOOLEAN", 2).when(s.startswith("OBJECT"), 3).when(s.startswith("ARRAY"), 4).when(s != "VOID", 1)
+        return F.struct(e["key"].alias("key"), e["v"].alias("v"), code.cast("tinyint").alias("kind"))
+
+    def valued(e: Column) -> Column:
+        number = F.when(e["kind"] == 1, F.try_variant_get(e["v"], "$", "double"))
+        text = F.when(e["kind"] <= 2, F.try_variant_get(e["v"], "$", "string")).when(e["kind"] >= 3, plain_text(F.to_json(e["v"])))
+        return F.struct(e["key"].alias("key"), e["kind"].alias("kind"), number.alias("number"), text.alias("text"))
+
+    def numbered(e: Column) -> Column:
+        number = F.coalesce(e["number"], number_in(e["text"]))
+        return F.struct(e["key"].alias("key"), e["kind"].alias("kind"), number.alias("number"), e["text"].alias("text"))
+
+    def marked(e: Column) -> Column:
+        content = F.coalesce(e["number"].cast("string"), F.when(e["number"].isNull(), words_of(e["text"])))
+        mark = F.when(e["kind"].isNotNull(), F.xxhash64(content))
+        return F.struct(e["key"].alias("key"), e["kind"].alias("kind"), mark.alias("mark"), e["number"].alias("number"), F.length(e["text"]).alias("size"))
+
+    m = F.col("p.m")
+    for step in (typed, coded, valued, numbered, marked):
+        m = F.transform(m, step)
+    return rows.select("file_id", m.alias("m"))
 
 
 def plain_text(j: Column) -> Column:
@@ -101,11 +113,14 @@ def plain_text(j: Column) -> Column:
     return F.when(bare.rlike(r"^[\[{]"), F.regexp_replace(bare, r'[\[\]{}",:\s]', "")).otherwise(bare)
 
 
-def fingerprint(text: Column) -> Column:
-    """Equal for one content in several forms: numbers by value, others by their sorted words and numbers."""
-    number = text.try_cast("double")
-    parts = F.array_join(F.array_sort(F.regexp_extract_all(text, F.lit(r"([A-Za-z]+|[0-9]+(?:\.[0-9]+)?|[^\sA-Za-z0-9\"\[\]{},:]+)"), F.lit(1))), " ")
-    return F.xxhash64(F.coalesce(number.cast("string"), parts))
+def number_in(text: Column) -> Column:
+    """The number that a text is as a whole, null for other texts."""
+    return F.when(text.rlike(r"^\s*[-+.]?[0-9]"), text.try_cast("double"))
+
+
+def words_of(text: Column) -> Column:
+    """The words, numbers and marks of a text in sorted order: equal for one content in several forms."""
+    return F.array_join(F.sort_array(F.regexp_extract_all(text, F.lit(r"([A-Za-z]+|[0-9]+(?:\.[0-9]+)?|[^\sA-Za-z0-9\"\[\]{},:]+)"), F.lit(1))), " ")
 
 
 def key_profiles(rows: DataFrame) -> DataFrame:
