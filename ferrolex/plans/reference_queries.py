@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ferrolex.functions import elements, rules
 from ferrolex.operators import composition as comp
 from ferrolex.operators import enrich, fetching, figures, mixture, nested, phases
 from ferrolex.plans import sql_reference
-from ferrolex.sources import papers
+from ferrolex.session import shared_folder
+from ferrolex.sources import files, papers
 from ferrolex.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -251,6 +254,45 @@ def xml_bodies(spark: SparkSession, d: str) -> DataFrame:
     return f.select(F.col("figure_key").cast("string").alias("doi"), papers.body_text(xml).alias("body_text"))
 
 
+def _folder(spark: SparkSession, name: str) -> str:
+    """A new folder in the folder that all executors share."""
+    return f"{shared_folder(spark).rstrip('/')}/ferrolex-{uuid.uuid4().hex}/{name}"
+
+
+def fetch_log_file(spark: SparkSession, d: str) -> DataFrame:
+    """The log written as its JSON file and read back."""
+    at = _folder(spark, "fetch_log.json")
+    files.sink_fetch_log(table(spark, d, "fetch_log"), at)
+    return files.scan_fetch_log(spark, at)
+
+
+def phase_cache_files(spark: SparkSession, d: str) -> DataFrame:
+    """The latest readable answer of each key written as the key's file and read back."""
+    at = _folder(spark, "mp_cache")
+    readable = table(spark, d, "mp_cache").where(F.col("cache_key").isNotNull() & F.try_parse_json("payload").isNotNull())
+    files.sink_phase_cache(readable.groupBy("cache_key").agg(F.max_by("payload", F.struct("written_at", "cache_id")).alias("payload")), at)
+    return files.scan_phase_cache(spark, at).select("cache_key", F.md5("payload").alias("payload_md5"))
+
+
+def envelope_files(spark: SparkSession, d: str) -> DataFrame:
+    """The records of each run written as the run's envelope and read back in order."""
+    at = _folder(spark, "outputs")
+    record = T.StructType([T.StructField("record_id", T.StringType()), T.StructField("vec", T.DoubleType()), T.StructField("reference_titles", T.ArrayType(T.StringType()))])
+    r = table(spark, d, "w_dbtt").where("extraction_id is not null").select("extraction_id", F.struct("rec_key", *record.names).alias("r"))
+    runs = r.groupBy(F.col("extraction_id").cast("string").alias("doi")).agg(F.array_sort(F.collect_list("r")).alias("records"))  # the records of one run make one file
+    files.sink_envelopes(runs.select("doi", F.transform("records", lambda x: F.struct(*[x[n].alias(n) for n in record.names])).alias("records")), at)
+    back = files.scan_extractions(spark, at, record)
+    return files.in_file_order(back).select(F.col("_source_file").alias("source_file"), "pos", "record_id", "vec", F.size("reference_titles").alias("n_titles"))
+
+
+def features_file(spark: SparkSession, d: str) -> DataFrame:
+    """Labels and overwritten columns written as CSV and read back (K2)."""
+    at = _folder(spark, "features.csv")
+    rows = overwritten(spark, d).join(record_labels(spark, d), "rec_key").select("rec_key", "label", "vec", "delta_s_mix_j_mol_k")
+    files.sink_csv(rows, at)
+    return spark.read.csv(at, header=True, multiLine=True, **files.AS_WRITTEN, schema="rec_key bigint, label string, vec double, delta_s_mix_j_mol_k double")
+
+
 def stable_top(spark: SparkSession, d: str) -> DataFrame:
     """The 50 documents nearest to the hull."""
     docs = nested.documents(table(spark, d, "mp_cache"))
@@ -446,7 +488,7 @@ def queries() -> dict[str, Query]:
     own = [
         scan_records, composition_parse, discrete_composition, compositions, composition_warnings, composition_formats, dopant_units, formats_compared, fractions_wide,
         collected_elements, element_cache, element_attributes, fraction_features_by_join, overwritten, enriched_features, enrich_summary, feature_log, record_labels, record_summary,
-        phase_cache, select_phase, select_phase_window, phase_lookup, phase_off, phase_empty, phase_projection, phase_misses, runs_and_fetches, figure_base64, reply_parse, xml_objects, xml_bodies, chemical_systems, stable_top, pending_dois,
+        phase_cache, select_phase, select_phase_window, phase_lookup, phase_off, phase_empty, phase_projection, phase_misses, fetch_log_file, phase_cache_files, envelope_files, features_file, runs_and_fetches, figure_base64, reply_parse, xml_objects, xml_bodies, chemical_systems, stable_top, pending_dois,
         work_union, first_wins, first_wins_rank, fetch_routes, response_classes, open_access_classes, status_counts, latest_status, input_formats, extraction_totals,
         runs_without_records, figure_classes, kept_figures, kept_counts, figure_filter, figure_paths, figure_urls, note_tags, tag_counts, provenance, domain_rules,
         composition_classes, enumerations, history_steps, json_props, supplement_concat, order_mixtures,

@@ -337,6 +337,10 @@ SELECT rec_key, CAST(row_number() OVER (PARTITION BY rec_key ORDER BY o) AS INTE
 FROM lines JOIN w_dbtt USING (rec_key)""",
         "history_steps": HISTORY,
         "phase_misses": f"{COMP}, {KEY}, {DOCS}, s AS (SELECT rec_key, string_agg(el, '-' ORDER BY el) FILTER (WHERE f >= 0.01) AS chemsys FROM comp GROUP BY rec_key) SELECT DISTINCT formula AS cache_key, chemsys FROM keys JOIN s USING (rec_key) WHERE NOT heavy AND n > 0 AND formula NOT IN (SELECT cache_key FROM newest)",
+        "fetch_log_file": "SELECT CAST(row_number() OVER (ORDER BY fetch_id) - 1 AS INTEGER) AS pos, doi, status, filename, message FROM fetch_log",
+        "phase_cache_files": "SELECT replace(cache_key, '/', '_') AS cache_key, md5(payload) AS payload_md5 FROM mp_cache WHERE cache_key IS NOT NULL AND json_valid(payload) QUALIFY row_number() OVER (PARTITION BY cache_key ORDER BY written_at DESC NULLS LAST, cache_id DESC) = 1",
+        "envelope_files": "SELECT extraction_id || '_extraction.json' AS source_file, CAST(row_number() OVER (PARTITION BY extraction_id ORDER BY rec_key) - 1 AS INTEGER) AS pos, record_id, vec, CAST(len(reference_titles) AS INTEGER) AS n_titles FROM w_dbtt WHERE extraction_id IS NOT NULL",
+        "features_file": f"{COMP}, {VECSQL}, {ENTROPY} SELECT w.rec_key, coalesce(nullif(record_id, ''), nullif(material_name, ''), 'unknown') AS label, {r6('coalesce(v.vec, w.vec)')} AS vec, {r6('coalesce(s.entropy, w.delta_s_mix_j_mol_k)')} AS delta_s_mix_j_mol_k FROM w_dbtt w LEFT JOIN vecs v USING (rec_key) LEFT JOIN entropy s USING (rec_key)",
         "runs_and_fetches": "SELECT doi, model, failure FROM extraction UNION ALL BY NAME SELECT doi, status, message FROM fetch_log",
         "figure_base64": "SELECT figure_key, to_base64(encode(description)) AS encoded, description AS decoded FROM extraction_figure",
         "reply_parse": """WITH v AS (SELECT cache_id, CASE WHEN json_valid(payload) THEN CAST(payload AS JSON) END AS j FROM mp_cache)

@@ -149,13 +149,17 @@ def csv_ready(df: DataFrame) -> DataFrame:
     return df.withColumns(out) if out else df
 
 
+#: Options under which CSV keeps texts as they are.
+AS_WRITTEN = {"escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
 def sink_csv(df: DataFrame, path: str, single: bool = False) -> None:
     """CSV with a header, nulls empty: a folder of parts, or one file in file order for small results."""
     ready = csv_ready(df)
     if not single:
-        ready.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+        ready.write.mode("overwrite").options(header=True, **AS_WRITTEN).csv(path)
         return
-    line = F.to_csv(F.struct(*[F.col(f"`{c}`") for c in ready.columns]), {"escape": '"'})
+    line = F.to_csv(F.struct(*[F.col(f"`{c}`") for c in ready.columns]), AS_WRITTEN)
     head = ",".join(ready.columns)
     ordered = in_file_order(ready).select(line.alias("value"))
     _one_file(ordered, path, lambda values: (x.encode() for part in ([head + "\n"], (v + "\n" for v in values)) for x in part))

@@ -11,12 +11,17 @@ TYPES = {
 }
 
 
+# The name of a schema without one, and how a list is asked for in a prompt.
+DEFAULT_NAME = "DynamicRecord"
+AS_LIST = "  (return as JSON array, or null)"
+
+
 class RecordSchema:
     """A schema: its name, its settings, its fields in order and the struct type. Of a name given twice the last counts."""
 
     def __init__(self, config: dict, origin: str = "schema"):
         self.config = config
-        self.name = config.get("project") or "DynamicRecord"
+        self.name = config.get("project") or DEFAULT_NAME
         self.fields: dict[str, dict] = {}
         for f in config.get("fields") or []:
             kind = f.get("type") or "str"
@@ -36,7 +41,7 @@ class RecordSchema:
         lines = ["Fields of each record:"]
         for name, f in self.fields.items():
             unit = f" [{f['unit']}]" if f["unit"] else ""
-            array = "  (return as JSON array, or null)" if f["type"].startswith("list") else ""
+            array = AS_LIST if f["type"].startswith("list") else ""
             text = f": {' '.join(str(f['description']).split())}" if f["description"] else ""
             lines.append(f"- {name}{unit}{array}{text}")
         return "\n".join(lines)
