@@ -143,39 +143,52 @@ def found_in(text: Column, pattern: str = UNIT) -> Column:
     return F.nullif(unit_key(F.regexp_extract(text, pattern, 0)), F.lit(""))
 
 
-def stated_units() -> dict[str, Column]:
-    """The unit key of each field, from the columns and texts of a record."""
-    notes, name = F.coalesce("notes", F.lit("")), F.coalesce("material_name", F.lit(""))
-    about = rf"\b({FORMULA}|addition)\b{GAP}({UNIT})"
-    claims = F.arrays_zip(
-        F.regexp_extract_all(notes, F.lit(about), F.lit(1)).alias("who"), F.regexp_extract_all(notes, F.lit(about), F.lit(2)).alias("unit")
-    )
-    claims = F.filter(claims, lambda c: c["who"] != BASE)
+#: A note without any of these states no unit; tested before the longer pattern.
+MAY_STATE = r"(?i)%|‰|pct|percent|permille|per mille|pp[mb]|frac|/| per "
+
+
+def claims() -> Column:
+    """array<struct<who, unit>>: what the notes state about formulas, in order."""
+    about = F.lit(rf"\b({FORMULA}|addition)\b{GAP}({UNIT})")
+    found = F.arrays_zip(F.regexp_extract_all("notes", about, F.lit(1)).alias("who"), F.regexp_extract_all("notes", about, F.lit(2)).alias("unit"))
+    empty = F.array().cast("array<struct<who:string,unit:string>>")
+    return F.when(F.col("notes").rlike(MAY_STATE), F.filter(found, lambda c: c["who"] != BASE)).otherwise(empty)
+
+
+def stated_units(claimed_units: Column) -> dict[str, Column]:
+    """The unit key of each field, from the columns and texts of a record and what its notes claim."""
     first = F.trim(F.coalesce("dopant_or_alloying_element", F.lit("")))
     second = F.trim(F.coalesce("second_dopant_element", F.lit("")))
 
     def claimed(keep) -> Column:
-        hits = F.filter(claims, keep)
-        return F.when(F.size(hits) > 0, F.nullif(unit_key(F.element_at(hits, 1)["unit"]), F.lit("")))
+        return F.nullif(unit_key(F.try_element_at(F.filter(claimed_units, keep), F.lit(1))["unit"]), F.lit(""))
 
-    impurity_notes = F.nullif(unit_key(F.regexp_extract(notes, rf"(?i:impurit(?:y|ies)[^.\[\]]*?[ :])({UNIT})", 1)), F.lit(""))
+    of_impurities = F.when(F.col("notes").rlike(r"(?i)impurit"), F.regexp_extract("notes", rf"(?i:impurit(?:y|ies)[^.\[\]]*?[ :])({UNIT})", 1))
     dopant = claimed(lambda c: (c["who"] == first) | (c["who"] == "addition") | (~first.rlike(f"^{FORMULA}$") & (c["who"] != second)))
     return {
-        "dopant_concentration": F.coalesce(found_in(F.col("dopant_concentration_unit")), found_in(name), dopant),
+        "dopant_concentration": F.coalesce(found_in(F.col("dopant_concentration_unit")), found_in(F.col("material_name")), dopant),
         "second_dopant_concentration": F.coalesce(found_in(F.col("second_dopant_concentration_unit")), claimed(lambda c: (c["who"] == second) & (second != ""))),
-        "impurity_concentration": F.coalesce(found_in(F.col("impurity_concentration")), impurity_notes, F.lit("ppm")),
+        "impurity_concentration": F.coalesce(found_in(F.col("impurity_concentration")), F.nullif(unit_key(of_impurities), F.lit("")), F.lit("ppm")),
     }
 
 
+#: The columns that state something about a value.
+STATING = (
+    *FIELDS, "dopant_concentration_unit", "second_dopant_concentration_unit", "material_name", "notes", "dopant_or_alloying_element", "second_dopant_element",
+)
+
+
 def stated_values(records: DataFrame, units: DataFrame, key: str = "rec_key") -> DataFrame:
     """key, field_name, raw and values: array<struct<pos, number, unit_key, unit>> of each non-null entry, within the row.
 
     pos is from 1; an entry without a number has one value whose number is null.
     """
-    keys = stated_units()
+    keys = stated_units(F.col("_n.claims"))
     known = known_spellings(units)
-    spread = F.explode(F.array(*[F.struct(F.lit(f).alias("field_name"), F.col(f).cast("string").alias("raw"), keys[f].alias("stated")) for f in FIELDS]))
-    long = records.select(F.col(key), spread.alias("v")).select(key, "v.*").where(F.col("raw").isNotNull())
+    noted = records.select(key, *STATING, F.explode(F.array(F.struct(claims().alias("claims")))).alias("_n"))  # once per record
+    stated = lambda f: F.when(F.col(f).isNotNull(), keys[f]).alias("stated")
+    spread = F.explode(F.array(*[F.struct(F.lit(f).alias("field_name"), F.col(f).cast("string").alias("raw"), stated(f)) for f in FIELDS]))
+    long = noted.select(F.col(key), spread.alias("v")).select(key, "v.*").where(F.col("raw").isNotNull())
     decimal = F.regexp_replace("raw", r"([0-9]),([0-9])", "$1.$2")
     one = rf"(?<![A-Za-z0-9.])({NUMBER})(?:\s*[(\[]?\s*({UNIT}))?"
     found = F.arrays_zip(F.regexp_extract_all(decimal, F.lit(one), F.lit(1)).alias("n"), F.regexp_extract_all(decimal, F.lit(one), F.lit(2)).alias("u"))
