@@ -26,7 +26,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ferrolex.functions.matching import best_matching
-from ferrolex.session import cut
+from ferrolex.session import cut, written
 
 #: Least share of agreement for content to count as going on, of the common records in which the rarer of two keys has a
 #: value; least number of agreeing records where they are under this share of all; the bonus of an unchanged name.
@@ -40,6 +40,8 @@ MINHASHES = 8
 #: A member stands in for the record key if it has at least this share of the different values of any member.
 NEARLY_ALL = 0.8
 BUCKET = 1024
+#: What is known per file (one row of some 40 bytes) is broadcast up to this many files, beyond the planner chooses.
+MAX_FILES = 200_000
 # JSON types by their code.
 KINDS = ("string", "number", "boolean", "object", "array")
 
@@ -72,7 +74,8 @@ def cells(records: DataFrame) -> DataFrame:
     """file_id and m: array<struct<key, kind, mark, number, size>> of the members of each readable record, parsed once.
 
     kind is the place in KINDS, null for a JSON null; `mark` is the fingerprint of the content, `number` its value where it
-    is one, `size` the length of its text.
+    is one, `size` the length of its text. Fingerprints have 32 bits: two different contents of one record agree by chance
+    once in four billion comparisons.
     """
     entries = F.map_entries(F.try_variant_get(F.try_parse_json("payload"), "$", "map<string,variant>"))
     rows = records.select("file_id", F.explode(F.array(F.struct(entries.alias("m")))).alias("p")).where("p.m is not null")
@@ -97,7 +100,7 @@ def cells(records: DataFrame) -> DataFrame:
 
     def marked(e: Column) -> Column:
         content = F.coalesce(e["number"].cast("string"), F.when(e["number"].isNull(), words_of(e["text"])))
-        mark = F.when(e["kind"].isNotNull(), F.xxhash64(content))
+        mark = F.when(e["kind"].isNotNull(), F.hash(content))
         return F.struct(e["key"].alias("key"), e["kind"].alias("kind"), mark.alias("mark"), e["number"].alias("number"), F.length(e["text"]).alias("size"))
 
     m = F.col("p.m")
@@ -131,7 +134,7 @@ def key_profiles(rows: DataFrame) -> DataFrame:
         F.coalesce(F.bit_or(F.expr("shiftleft(1, kind)")), F.lit(0)).alias("types"), F.count("kind").alias("n_values"),
         F.approx_count_distinct("mark", 0.08).alias("n_distinct"), *[v.alias(k) for k, v in moments.items()],
         F.array(*[F.min(F.when(F.col("mark").isNotNull(), F.hash("mark", F.lit(j)))) for j in range(MINHASHES)]).alias("hashes"),
-    ).withColumn("key_hash", F.xxhash64("key_name"))
+    ).withColumn("key_hash", F.hash("key_name"))
 
 
 def record_keys(profiles: DataFrame, record_key: str) -> DataFrame:
@@ -142,7 +145,7 @@ def record_keys(profiles: DataFrame, record_key: str) -> DataFrame:
     return best.where(F.col("best.named") | (F.col("best.n_distinct") >= NEARLY_ALL * F.col("most"))).select("file_id", F.col("best.key_hash").alias("id_hash"))
 
 
-def overlaps(rows: DataFrame, links: DataFrame, keys: DataFrame) -> DataFrame:
+def overlaps(rows: DataFrame, links: DataFrame, keys: DataFrame, few_files: bool = False) -> DataFrame:
     """file_id, prev_hash, key_hash, n_same: common records of a file and the one before in which two keys hold the same.
 
     A row with only one of the keys counts the values of this key in the common records, in the file or the one before.
@@ -150,9 +153,10 @@ def overlaps(rows: DataFrame, links: DataFrame, keys: DataFrame) -> DataFrame:
     """
     after = links.where("prev_id is not null").select(F.col("prev_id").alias("file_id"), F.col("file_id").alias("next_id"))
     of_file = links.select("file_id", F.col("prev_id").isNotNull().alias("has_prev")).join(after, "file_id", "left").join(keys, "file_id")
+    of_file = F.broadcast(of_file) if few_files else of_file
     full = F.filter("m", lambda e: e["mark"].isNotNull())
     r = rows.join(of_file, "file_id").select("file_id", "has_prev", "next_id", "id_hash", full.alias("m"))
-    r = r.select("file_id", "has_prev", "next_id", "id_hash", F.transform("m", lambda e: F.xxhash64(e["key"])).alias("k"), F.transform("m", lambda e: e["mark"]).alias("v"))
+    r = r.select("file_id", "has_prev", "next_id", "id_hash", F.transform("m", lambda e: F.hash(e["key"])).alias("k"), F.transform("m", lambda e: e["mark"]).alias("v"))
     rec = F.try_element_at("v", F.nullif(F.array_position("k", F.col("id_hash")).cast("int"), F.lit(0)))
     sides = F.array(F.struct(F.when(F.col("has_prev"), F.col("file_id")).alias("file_id"), F.lit(True).alias("now")), F.struct(F.col("next_id").alias("file_id"), F.lit(False).alias("now")))
     r = r.select(rec.alias("rec"), "k", "v", F.explode(sides).alias("s")).where("rec is not null and s.file_id is not null")
@@ -160,7 +164,7 @@ def overlaps(rows: DataFrame, links: DataFrame, keys: DataFrame) -> DataFrame:
     side = lambda now: F.min(F.when(F.col("now") == now, F.col("x")))
     both = r.groupBy("file_id", "rec").agg(side(True).alias("n"), side(False).alias("t")).where("n is not null and t is not null")
     pair = lambda a, b: F.struct(a.alias("prev_hash"), b.alias("key_hash"))
-    none = F.lit(None).cast("bigint")
+    none = F.lit(None).cast("int")
     then = F.arrays_zip(F.col("t.k").alias("k"), F.col("t.v").alias("v"))
     same = F.flatten(F.transform(F.col("n.v"), lambda v, i: F.transform(F.filter(then, lambda p: p["v"] == v), lambda p: pair(p["k"], F.get(F.col("n.k"), i)))))
     alone = F.concat(F.transform(F.col("t.k"), lambda k: pair(k, none)), F.transform(F.col("n.k"), lambda k: pair(none, k)))
@@ -281,16 +285,18 @@ def changes(files: DataFrame, records: DataFrame, record_key: str = "record_id",
 
     What is gathered per file are its keys and those of the file before, never rows.
     """
-    rows = cut(cells(records))
-    links = previous_files(files)
-    profiles = cut(key_profiles(rows)) if profiles is None else profiles
-    nothing, no_hash = F.lit(None), F.lit(None).cast("bigint")
+    rows = written(cells(records))
+    few = files.count() <= MAX_FILES
+    links = written(previous_files(files))
+    hinted = F.broadcast if few else (lambda df: df)
+    profiles = written(key_profiles(rows)) if profiles is None else profiles
+    nothing, no_hash = F.lit(None), F.lit(None).cast("int")
     part = ["file_id", "side", "key_name", "prev_hash", "key_hash", "n_same", *SKETCH]
     with_side = lambda df, side: df.select("file_id", F.lit(side).alias("side"), "key_name", no_hash.alias("prev_hash"), "key_hash", F.lit(0).cast("bigint").alias("n_same"), *SKETCH)
-    new = with_side(profiles.join(links.where("prev_id is not null").select("file_id"), "file_id"), "n")
-    old = with_side(profiles.withColumnRenamed("file_id", "prev_id").join(links.select("file_id", "prev_id"), "prev_id"), "p")
+    new = with_side(profiles.join(hinted(links.where("prev_id is not null").select("file_id")), "file_id"), "n")
+    old = with_side(profiles.withColumnRenamed("file_id", "prev_id").join(hinted(links.where("prev_id is not null").select("file_id", "prev_id")), "prev_id"), "p")
     types = dict(profiles.dtypes)
-    same = overlaps(rows, links, record_keys(profiles, record_key)).select(
+    same = overlaps(rows, links, record_keys(profiles, record_key), few).select(
         "file_id", F.lit("s").alias("side"), nothing.cast("string").alias("key_name"), "prev_hash", "key_hash", "n_same", *[nothing.cast(types[c]).alias(c) for c in SKETCH]
     )
     every = new.unionByName(old).unionByName(same)
@@ -328,7 +334,7 @@ def unified(files: DataFrame, records: DataFrame, found: DataFrame | None = None
     A key's content goes to the column its lineage began under, compared without case and underscores; a value that
     does not fit the column's type is null there.
     """
-    profiles = cut(key_profiles(cells(records)))
+    profiles = written(key_profiles(cells(records)))
     found = cut(changes(files, records, profiles=profiles)) if found is None else found
     spans = lineages(files, found)
     of_file = files.select("file_id", "feed_name", "seq_no")

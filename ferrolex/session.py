@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,3 +50,13 @@ def cut(df: DataFrame) -> DataFrame:
     if context is not None and context.getCheckpointDir() is None:
         context.setCheckpointDir(at)
     return df.checkpoint(eager=True)
+
+
+def written(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a table written in the shared folder: smaller than a checkpoint and read by column.
+
+    Tables stay in the folder `tables` there, as checkpoints do; it can be emptied when the queries have ended.
+    """
+    at = f"{shared_folder(df.sparkSession).rstrip('/')}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(at)
+    return df.sparkSession.read.schema(df.schema).parquet(at)

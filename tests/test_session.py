@@ -24,3 +24,10 @@ def test_a_cluster_without_a_shared_folder_is_refused():
 def test_cut_keeps_rows_and_lineage_is_short(spark):
     df = session.cut(spark.range(5).selectExpr("id * 2 as x"))
     assert sorted(r.x for r in df.collect()) == [0, 2, 4, 6, 8] and "Scan ExistingRDD" in df._jdf.queryExecution().toString()
+
+
+def test_written_tables_keep_rows_types_and_empty_tables(spark):
+    df = spark.createDataFrame([(1, [("a", None)]), (None, None)], "x bigint, y array<struct<k:string,v:tinyint>>")
+    for t in (df, df.where("false")):
+        back = session.written(t)
+        assert back.schema == df.schema and sorted(map(str, back.collect())) == sorted(map(str, t.collect()))
