@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ferrolex.functions.segment import split_packed
+from ferrolex.session import spread
 
 FIELDS = ("impurities", "impurity_concentration", "processing_history")
 #: An entry without any of these holds one value; tested before the rows leave the JVM.
@@ -40,12 +41,12 @@ def split_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def split_fields(df: DataFrame, key: str = "rec_key", fields: tuple[str, ...] = FIELDS) -> DataFrame:
-    """One row per value of the packed fields: key, field_name, pos, item. One narrow pass, no shuffle."""
+    """One row per value of the packed fields: key, field_name, pos, item. One narrow pass; only a table in fewer partitions than cores is spread first."""
     entries = F.explode(F.array(*[F.struct(F.lit(f).alias("field_name"), F.col(f"`{f}`").cast("string").alias("entry")) for f in fields]))
     long = (
         df.select(F.col(f"`{key}`").cast("bigint").alias("row_key"), entries.alias("e"))
         .select("row_key", "e.field_name", "e.entry")
         .where(F.col("entry").isNotNull() & F.trim("entry").rlike(MAY_SEPARATE))
     )
-    rows = long.mapInPandas(split_rows, "row_key bigint, field_name string, pos int, item string")
+    rows = spread(long).mapInPandas(split_rows, "row_key bigint, field_name string, pos int, item string")
     return rows.withColumnRenamed("row_key", key)

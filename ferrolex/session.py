@@ -52,6 +52,15 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The rows over all cores where a table comes in fewer partitions than there are, before work that costs more than moving
+    them; tables in many files are left as they are. For scans and narrow steps on them."""
+    context = getattr(df.sparkSession, "_sc", None)
+    if context is None or df.rdd.getNumPartitions() >= context.defaultParallelism:
+        return df
+    return df.repartition(context.defaultParallelism)
+
+
 def written(df: DataFrame) -> DataFrame:
     """Cut the lineage with a table written in the shared folder: smaller than a checkpoint and read by column.
 

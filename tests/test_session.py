@@ -31,3 +31,10 @@ def test_written_tables_keep_rows_types_and_empty_tables(spark):
     for t in (df, df.where("false")):
         back = session.written(t)
         assert back.schema == df.schema and sorted(map(str, back.collect())) == sorted(map(str, t.collect()))
+
+
+def test_small_tables_are_spread_over_the_cores(spark):
+    cores = spark.sparkContext.defaultParallelism
+    one, many = spark.range(0, 100, 1, 1), spark.range(0, 100, 1, cores + 3)
+    assert session.spread(one).rdd.getNumPartitions() == cores and session.spread(many).rdd.getNumPartitions() == cores + 3
+    assert sorted(r.id for r in session.spread(one).collect()) == list(range(100)) and session.spread(one.limit(0)).count() == 0
