@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from ferrolex.functions.automaton import PhraseAutomaton
 from ferrolex.llm.vocabulary import NOISE, fold, phrases
+from ferrolex.session import spread
 from ferrolex.sources.tables import small_rows
 
 #: Larger canonical lists are refused; they would need another vocabulary than the one below.
@@ -325,6 +326,7 @@ def map_to_terms(tables: list[tuple[DataFrame, str, tuple[str, ...]]], terms: Da
                 labels = [t[1] for t in by_field.get(f, [])]
                 if labels:
                     long = long.where(~((F.col("field_name") == f) & F.col("entry").isin(labels)))
+        long = spread(long)
         parts.append(long.mapInPandas(mapper({f: by_field.get(f, []) for f in fields}, named), "field_name string, row_key bigint, entry string, term_id bigint"))
     out = parts[0]
     for p in parts[1:]:

@@ -29,7 +29,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ferrolex.llm.tokens import TOKENIZERS, VOCABULARY, token_count
-from ferrolex.session import cut
+from ferrolex.session import cut, spread
 from ferrolex.sources.tables import small_rows
 
 BLOCK = 512
@@ -171,7 +171,7 @@ def slots_of(names: list[str], counts: np.ndarray, blocks: np.ndarray, keys: np.
 
 def source_texts(docs: DataFrame, sources: list[str], folder: str, vocabulary: str) -> DataFrame:
     """doc_id, source, n_tokens: each different text of the listed sources once."""
-    listed = docs.where(F.col("source").isin(sources) & F.col("text").isNotNull() & (F.length("text") > 0))
+    listed = spread(docs.select("doc_id", "source", "text").where(F.col("source").isin(sources) & F.col("text").isNotNull() & (F.length("text") > 0)))
     sized = listed.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), "source", F.length("text").alias("n"), F.md5("text").alias("h"),
         token_count(F.col("text"), folder, vocabulary).alias("n_tokens"),

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ferrolex.llm.tokens import TOKENIZERS, VOCABULARY, token_count
-from ferrolex.session import cut
+from ferrolex.session import cut, spread
 
 CAPACITY = 4096
 #: Tokens in a packing group, in containers: a group holds about this many full containers, whatever the data's size.
@@ -110,7 +110,8 @@ PACKED = "grp string, doc_id bigint, item bigint, part int, size bigint, bin int
 
 def pieces(docs: DataFrame, capacity: int, folder: str, vocabulary: str) -> DataFrame:
     """doc_id, item (number of the row), n_tokens, part, size: one row per text, or per full container and rest of a text over the capacity."""
-    sized = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(token_count(F.col("text"), folder, vocabulary), F.lit(0)).alias("n_tokens"))
+    texts = spread(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"))
+    sized = texts.select("doc_id", F.coalesce(token_count(F.col("text"), folder, vocabulary), F.lit(0)).alias("n_tokens"))
     sized = sized.withColumn("item", F.monotonically_increasing_id())  # fixed by the checkpoint that follows
     full = F.floor((F.col("n_tokens") - 1) / capacity).cast("int")
     parts = F.when(F.col("n_tokens") > capacity, F.sequence(F.lit(0), full)).otherwise(F.array(F.lit(0)))
@@ -140,8 +141,8 @@ def certified(
         F.concat(F.lit("w"), F.col("item"), F.lit("-"), F.col("part")).alias("grp"), "doc_id", "part", "size", F.lit(0).alias("bin")
     )
     loose = items.where((F.col("size") > 0) & (F.col("size") < capacity))
-    spread = lambda df, n, r: df.withColumn("grp", F.concat(F.lit(f"r{r}-"), F.pmod(F.xxhash64("item", "part", F.lit(r)), F.lit(n)).cast("string")))
-    packed = cut(spread(loose, groups, 0).select("grp", "doc_id", "item", "part", "size").groupBy("grp").applyInPandas(pack_group(capacity), PACKED))
+    scatter = lambda df, n, r: df.withColumn("grp", F.concat(F.lit(f"r{r}-"), F.pmod(F.xxhash64("item", "part", F.lit(r)), F.lit(n)).cast("string")))
+    packed = cut(scatter(loose, groups, 0).select("grp", "doc_id", "item", "part", "size").groupBy("grp").applyInPandas(pack_group(capacity), PACKED))
     proof = lambda df, r: df.groupBy("grp").agg(F.first("n_bins").alias("n_bins"), F.first("bound").alias("bound")).select(F.lit(r).alias("round_no"), "grp", "n_bins", "bound")
     proofs = proof(packed, 0)
     settled = []
@@ -155,7 +156,7 @@ def certified(
         if not left[0] or left[1] < 2:
             break
         n = max(1, math.ceil(left[0] / (capacity * group_containers)))
-        again = spread(loose_rows.select("doc_id", "item", "part", "size"), n, r).select("grp", "doc_id", "item", "part", "size").groupBy("grp").applyInPandas(pack_group(capacity), PACKED)
+        again = scatter(loose_rows.select("doc_id", "item", "part", "size"), n, r).select("grp", "doc_id", "item", "part", "size").groupBy("grp").applyInPandas(pack_group(capacity), PACKED)
         again = cut(again)
         after = again.select("grp", "bin").distinct().count()
         if after >= left[1]:

@@ -25,10 +25,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ferrolex.llm.trees import BaggedTrees
-from ferrolex.session import cut
+from ferrolex.session import cut, spread
 
-#: Pages in the training sample (expected number; all pages of smaller tables), and labelled blocks used of them at most.
-TRAIN_PAGES, TRAIN_BLOCKS = 10_000, 40_000
+#: Pages in the training sample (expected number; all pages of smaller tables), and labelled blocks of either kind used of
+#: them at most.
+TRAIN_PAGES, TRAIN_BLOCKS = 10_000, 10_000
 #: Examples of each kind that training starts from, built by rule.
 EXAMPLES = 120
 #: Pages of average spam rate added to each host, and the largest weight of the host's log odds that is tried.
@@ -365,15 +366,15 @@ def sample_of(pages: DataFrame, seed: int = 7) -> pd.DataFrame:
 
 
 def labelled(sample: pd.DataFrame, seed: int = 7) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Features, labels and pages (row of the sample) of at most TRAIN_BLOCKS labelled blocks of a sample."""
+    """Features, labels and pages (row of the sample) of the labelled blocks of a sample, at most TRAIN_BLOCKS of either kind."""
     rows = [(np.asarray(f, dtype=float).reshape(len(ls), len(FEATURES)), np.asarray(ls), k) for k, (ls, f) in enumerate(zip(sample["labels"], sample["f"])) if len(ls)]
     if not rows:
         return np.zeros((0, len(FEATURES))), np.zeros(0, dtype=int), np.zeros(0, dtype=int)
     x, y = np.concatenate([r[0] for r in rows]), np.concatenate([r[1] for r in rows])
     page = np.concatenate([np.full(len(r[1]), r[2]) for r in rows])
-    sure = np.flatnonzero(y >= 0)
-    if len(sure) > TRAIN_BLOCKS:
-        sure = np.sort(np.random.default_rng(seed).choice(sure, TRAIN_BLOCKS, replace=False))
+    rng = np.random.default_rng(seed)
+    kinds = [np.flatnonzero(y == kind) for kind in (0, 1)]
+    sure = np.sort(np.concatenate([k if len(k) <= TRAIN_BLOCKS else rng.choice(k, TRAIN_BLOCKS, replace=False) for k in kinds]))
     return x[sure], y[sure].astype(int), page[sure]
 
 
@@ -464,7 +465,7 @@ def score(docs: DataFrame, host: Column | None = None, key: str = "doc_id", mode
     """
     host = F.col("source") if host is None else host
     texts = docs.select(F.col(key).cast("bigint").alias("page"), F.coalesce(host.cast("string"), F.lit("")).alias("host"), "text").where("text is not null")
-    pages = page_features(texts)
+    pages = page_features(spread(texts))
     sample = sample_of(pages) if model is None or weight is None else None
     model = train(sample) if model is None else model
     judged = cut(pages.mapInPandas(judge(model), "page bigint, host string, odds double, share double"))
