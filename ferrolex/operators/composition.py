@@ -180,5 +180,6 @@ def with_composition(df: DataFrame) -> DataFrame:
 
 
 def formula_string(parts: Column) -> Column:
-    """The inverse of `with_formula`: symbols with their fractions in order, no blanks."""
-    return F.array_join(F.transform(parts, lambda p: F.concat(p["el"], p["f"].cast("string"))), "")
+    """The inverse of `with_formula`: symbols with their fractions to twelve places in order, no blanks, no exponents."""
+    amount = lambda f: F.regexp_replace(f.cast("decimal(18,12)").cast("string"), r"\.?0+$", "")
+    return F.array_join(F.transform(parts, lambda p: F.concat(p["el"], F.coalesce(F.nullif(amount(p["f"]), F.lit("")), F.lit("0")))), "")

@@ -157,10 +157,43 @@ def record_labels(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "w_dbtt").select("rec_key", enrich.record_label().alias("label"))
 
 
+def _padded(c: Column, width: int) -> Column:
+    return F.when(F.length(c) >= width, c).otherwise(F.rpad(c, width, " "))
+
+
 def record_summary(spark: SparkSession, d: str) -> DataFrame:
-    """What is printed for each record: padded id and material."""
-    show = lambda c: F.coalesce(F.col(c), F.lit("None"))
-    return table(spark, d, "w_dbtt").select("rec_key", F.concat(F.rpad(show("record_id"), 12, " "), F.lit(" "), F.substring(show("material_name"), 1, 60)).alias("line"))
+    """What is printed for each record: padded id and material, transition temperature and grain size."""
+    name = lambda c: F.coalesce(F.nullif(F.col(c), F.lit("")), F.lit("?"))
+    number = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("None"))
+    line = F.concat(F.lit("  "), _padded(name("record_id"), 10), F.lit("  "), _padded(name("material_name"), 20), F.lit("  DBTT="), number("dbtt_k"), F.lit("K  grain_L="), number("grain_size_l_um"), F.lit("µm"))
+    return table(spark, d, "w_dbtt").select("rec_key", line.alias("line"))
+
+
+def figure_summary(spark: SparkSession, d: str) -> DataFrame:
+    """What is printed for each figure: padded id and type, a mark of data, the start of its description."""
+    text = lambda c, other: F.coalesce(F.col(c), F.lit(other))
+    mark = F.when(F.col("contains_data"), "[DATA]").otherwise("")
+    line = F.concat(F.lit("  "), _padded(text("figure_id", "?"), 8), F.lit("  "), _padded(text("figure_type", "?"), 18), F.lit("  "), _padded(mark, 6), F.lit("  "), F.substring(text("description", ""), 1, 60))
+    return table(spark, d, "extraction_figure").select("figure_key", line.alias("line"))
+
+
+def figure_order(spark: SparkSession, d: str) -> DataFrame:
+    """The main figures of each run in the order in which they are sent: sorted as text, gr10 before gr2 (O2)."""
+    f = table(spark, d, "extraction_figure").where("extraction_id is not null").where(figures.main_figure(F.col("figure_id")))
+    return f.groupBy("extraction_id").agg(F.array_join(F.sort_array(F.collect_set("figure_id")), ",").alias("refs"))
+
+
+def formula_strings(spark: SparkSession, d: str) -> DataFrame:
+    """Compositions written as formulas."""
+    return records(spark, d).where("parts is not null").select("rec_key", comp.formula_string(F.col("parts")).alias("formula"))
+
+
+def supplement_files(spark: SparkSession, d: str) -> DataFrame:
+    """Papers with their supplements by name, or the unnamed ones (S9, J10); names are made up of the log's papers."""
+    log = table(spark, d, "fetch_log").where("doi is not null")
+    own = log.where("fetch_id % 3 = 0").select(F.concat(fetching.slug(F.col("doi")), F.lit("_mmc"), (F.col("fetch_id") % 2 + 1).cast("string"), F.lit(".docx")).alias("filename"))
+    loose = spark.createDataFrame([("mmc1.docx",), ("mmc2.docx",), ("other.pdf",)], "filename string")
+    return fetching.supplements(log.select("doi"), own.distinct().unionByName(loose))
 
 
 def phase_cache(spark: SparkSession, d: str) -> DataFrame:
@@ -487,7 +520,7 @@ def queries() -> dict[str, Query]:
     }
     own = [
         scan_records, composition_parse, discrete_composition, compositions, composition_warnings, composition_formats, dopant_units, formats_compared, fractions_wide,
-        collected_elements, element_cache, element_attributes, fraction_features_by_join, overwritten, enriched_features, enrich_summary, feature_log, record_labels, record_summary,
+        collected_elements, element_cache, element_attributes, fraction_features_by_join, overwritten, enriched_features, enrich_summary, feature_log, record_labels, record_summary, figure_summary, figure_order, formula_strings, supplement_files,
         phase_cache, select_phase, select_phase_window, phase_lookup, phase_off, phase_empty, phase_projection, phase_misses, fetch_log_file, phase_cache_files, envelope_files, features_file, runs_and_fetches, figure_base64, reply_parse, xml_objects, xml_bodies, chemical_systems, stable_top, pending_dois,
         work_union, first_wins, first_wins_rank, fetch_routes, response_classes, open_access_classes, status_counts, latest_status, input_formats, extraction_totals,
         runs_without_records, figure_classes, kept_figures, kept_counts, figure_filter, figure_paths, figure_urls, note_tags, tag_counts, provenance, domain_rules,

@@ -317,7 +317,11 @@ def oracle_sql() -> dict[str, str]:
         "composition_classes": "WITH x AS (SELECT rec_key, base_material_purity_pct AS p, CASE WHEN dopant_concentration_unit = 'wt%' THEN dopant_concentration WHEN dopant_or_alloying_element IS NULL THEN 0 END AS w FROM w_dbtt) SELECT rec_key, CASE WHEN coalesce(w, 0) = 0 AND p >= 99.9 THEN 'pure' WHEN w < 1 THEN 'doped' WHEN w >= 1 THEN 'alloy' END AS class FROM x",
         "enumerations": "SELECT rec_key, 'composition_type' AS field_name FROM w_dbtt WHERE composition_type NOT IN ('pure', 'doped', 'alloy') UNION ALL SELECT rec_key, 'dopant_concentration_unit' FROM w_dbtt WHERE dopant_concentration_unit NOT IN ('ppm', 'wt%', 'at%') UNION ALL SELECT rec_key, 'grain_size_estimated_dimensions' FROM w_dbtt WHERE grain_size_estimated_dimensions NOT IN ('full_3D', 'two_directions', 'single_direction_only')",
         "stable_top": f"WITH {ALL_DOCS} SELECT cache_id, doc_pos, d->>'$.material_id' AS material_id, CAST(d->>'$.energy_above_hull' AS DOUBLE) AS e_hull FROM doc WHERE CAST(d->>'$.energy_above_hull' AS DOUBLE) <= 0.1 ORDER BY e_hull, cache_id, doc_pos LIMIT 50",
-        "record_summary": "SELECT rec_key, substr(rpad(coalesce(record_id, 'None'), 12, ' '), 1, 12) || ' ' || substr(coalesce(material_name, 'None'), 1, 60) AS line FROM w_dbtt",
+        "record_summary": "WITH p AS (SELECT rec_key, coalesce(nullif(record_id, ''), '?') AS r, coalesce(nullif(material_name, ''), '?') AS m, coalesce(CAST(dbtt_k AS VARCHAR), 'None') AS t, coalesce(CAST(grain_size_l_um AS VARCHAR), 'None') AS g FROM w_dbtt) SELECT rec_key, '  ' || CASE WHEN length(r) < 10 THEN rpad(r, 10, ' ') ELSE r END || '  ' || CASE WHEN length(m) < 20 THEN rpad(m, 20, ' ') ELSE m END || '  DBTT=' || t || 'K  grain_L=' || g || 'µm' AS line FROM p",
+        "figure_summary": "WITH p AS (SELECT figure_key, coalesce(figure_id, '?') AS i, coalesce(figure_type, '?') AS t, coalesce(description, '') AS x, contains_data AS c FROM extraction_figure) SELECT figure_key, '  ' || CASE WHEN length(i) < 8 THEN rpad(i, 8, ' ') ELSE i END || '  ' || CASE WHEN length(t) < 18 THEN rpad(t, 18, ' ') ELSE t END || '  ' || CASE WHEN c THEN '[DATA]' ELSE '      ' END || '  ' || substr(x, 1, 60) AS line FROM p",
+        "figure_order": "SELECT extraction_id, array_to_string(list_sort(list(DISTINCT figure_id)), ',') AS refs FROM extraction_figure WHERE extraction_id IS NOT NULL AND starts_with(figure_id, 'gr') GROUP BY extraction_id",
+        "formula_strings": f"{COMP} SELECT rec_key, string_agg(el || coalesce(nullif(regexp_replace(CAST(CAST(f AS DECIMAL(18, 12)) AS VARCHAR), '[.]?0+$', ''), ''), '0'), '' ORDER BY pos) AS formula FROM comp GROUP BY rec_key",
+        "supplement_files": "WITH p AS (SELECT DISTINCT doi, translate(doi, '/.', '_-') AS s FROM fetch_log WHERE doi IS NOT NULL), n AS (SELECT DISTINCT translate(doi, '/.', '_-') AS s, translate(doi, '/.', '_-') || '_mmc' || (fetch_id % 2 + 1) || '.docx' AS filename FROM fetch_log WHERE doi IS NOT NULL AND fetch_id % 3 = 0) SELECT doi, filename FROM p JOIN n USING (s) UNION ALL SELECT doi, filename FROM p, (VALUES ('mmc1.docx'), ('mmc2.docx')) AS g(filename) WHERE s NOT IN (SELECT s FROM n)",
         "enrich_summary": f"""{COMP}, {KEY}, {DOCS}, {chosen("keys JOIN doc d ON d.cache_key = keys.formula AND NOT heavy AND keys.n > 0", "keys.n", "rec_key")},
 u AS (SELECT rec_key, CASE WHEN NOT bool_or(u IS NULL AND f > 0.01) THEN sum(f * u) / nullif(sum(f) FILTER (WHERE u IS NOT NULL), 0) END AS usfe FROM comp LEFT JOIN (SELECT * FROM {USFES}) USING (el) GROUP BY rec_key),
 fu AS (SELECT DISTINCT rec_key, format_used FROM comp)
