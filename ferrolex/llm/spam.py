@@ -172,22 +172,22 @@ class Line:
         tokens = text.split()
         self.tokens = len(tokens)
         self.upper = sum([t[0].isupper() for t in tokens])
-        self.digits = with_digits(tokens)
+        self.digits = with_digits(tokens) if DIGIT.search(text) else 0
         self.hashtags = len(HASHTAG.findall(text)) if tagged else 0
         self.references = len(REFERENCE.findall(text)) if any(h in text for h in REFERENCE_HINTS) else 0
-        self.kind = self.classify(plain)
+        whole = not (links or self.phrases or self.shop)
+        self.kind = self.classify(plain, tokens if whole else plain.split(), whole)
 
-    def classify(self, plain: str) -> str:
-        """p prose, n numbers, r references, o other."""
+    def classify(self, plain: str, bare: list[str], whole: bool) -> str:
+        """p prose, n numbers, r references, o other, from the tokens of the line without links and phrases of trade."""
         n = len(self.words)
-        bare = plain.split()
         if not bare or self.links > 0.4 * len(self.text) or len(plain) < 0.6 * len(self.text):
             return "o"
         if self.references:
             return "r"
         if n >= 4 and self.function >= 0.12 * n:
             return "p"
-        digits = with_digits(bare)
+        digits = self.digits if whole else with_digits(bare)
         return "n" if digits >= 0.5 * len([t for t in bare if t.isalnum() or any(c.isalnum() for c in t)]) and n <= 1 + digits else "o"
 
 
