@@ -68,7 +68,7 @@ def _cells(records: DataFrame, profile: DataFrame, load: str, at: str | None) ->
         )
     if not cells:
         raise ValueError("no profiled column is in the table")
-    time = F.col(at).cast("timestamp") if at and at in types else F.lit(None).cast("timestamp")
+    time = F.col(at) if at and at in types else F.lit(None).cast("timestamp")
     return records.select(F.col(load).alias("load_id"), time.alias("at"), F.explode(F.array(*cells)).alias("c")).select("load_id", "at", "c.*")
 
 
@@ -199,7 +199,7 @@ def control_limits(metrics: DataFrame, sigmas: float = 3.0, least_loads: int = 8
     """
     cells = F.explode(F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).alias("x")) for c in WATCHED]))
     long = metrics.select("load_id", "first_at", "column_name", cells.alias("m")).select("load_id", "first_at", "column_name", "m.*").where("x is not null")
-    order = F.coalesce(F.unix_micros("first_at").cast("double"), F.col("load_id").cast("double"), F.lit(0.0))
+    order = F.coalesce(F.unix_micros(F.col("first_at").cast("timestamp")).cast("double"), F.col("load_id").cast("double"), F.lit(0.0))
     ends = long.agg(F.min(order).alias("lo"), F.max(order).alias("hi")).first()
     lo, hi = (ends.lo or 0.0, ends.hi or 0.0)
     long = long.withColumn("span", F.floor((order - F.lit(lo)) / F.lit(max(hi - lo, 1.0)) * SPANS))

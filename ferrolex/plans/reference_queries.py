@@ -13,7 +13,7 @@ from ferrolex.functions import elements, rules
 from ferrolex.operators import composition as comp
 from ferrolex.operators import enrich, fetching, figures, mixture, nested, phases
 from ferrolex.plans import sql_reference
-from ferrolex.session import shared_folder
+from ferrolex.session import shared_folder, spread
 from ferrolex.sources import files, papers
 from ferrolex.sources.tables import table
 
@@ -30,7 +30,7 @@ NEEDED = ["rec_key", "record_id", "material_name", "composition_type", "composit
 
 
 def records(spark: SparkSession, d: str) -> DataFrame:
-    return comp.with_composition(table(spark, d, "w_dbtt").select(*NEEDED))
+    return comp.with_composition(spread(table(spark, d, "w_dbtt").select(*NEEDED)))
 
 
 def per_record(**columns: Callable[[Column], Column]) -> Query:
@@ -131,7 +131,7 @@ def overwritten(spark: SparkSession, d: str) -> DataFrame:
 
 
 def enriched(spark: SparkSession, d: str) -> DataFrame:
-    return enrich.enrich(table(spark, d, "w_dbtt"), table(spark, d, "mp_cache"))
+    return enrich.enrich(spread(table(spark, d, "w_dbtt")), table(spark, d, "mp_cache"))
 
 
 def enriched_features(spark: SparkSession, d: str) -> DataFrame:

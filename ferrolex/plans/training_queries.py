@@ -9,27 +9,35 @@ from pyspark.sql import functions as F
 
 from ferrolex.operators import drift, nested, packed_fields, quality, units
 from ferrolex.plans import sql_training
-from ferrolex.session import cut
+from ferrolex.session import cut, spread
 from ferrolex.sources.tables import table
 
 ROOTS = ("symmetry", "bulk_modulus", "shear_modulus", "origins")
 
 
+def _answers(spark: SparkSession, d: str) -> DataFrame:
+    return spread(table(spark, d, "mp_cache"))
+
+
+def _stating(spark: SparkSession, d: str) -> DataFrame:
+    return spread(table(spark, d, "w_dbtt").select("rec_key", *units.STATING))
+
+
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
-    found = drift.changes(table(spark, d, "raw_file"), table(spark, d, "raw_record"))
+    found = drift.changes(table(spark, d, "raw_file"), spread(table(spark, d, "raw_record")))
     return found.select("file_id", "key_name", "change_kind")
 
 
 def p2_unified(spark: SparkSession, d: str) -> DataFrame:
-    return drift.unified(table(spark, d, "raw_file"), table(spark, d, "raw_record"))
+    return drift.unified(table(spark, d, "raw_file"), spread(table(spark, d, "raw_record")))
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
-    return units.converted(table(spark, d, "w_dbtt"), table(spark, d, "ref_unit"))
+    return units.converted(_stating(spark, d), table(spark, d, "ref_unit"))
 
 
 def p3_ppm(spark: SparkSession, d: str) -> DataFrame:
-    return units.to_ppm(table(spark, d, "w_dbtt"), table(spark, d, "ref_unit")).drop("raw", "offset")
+    return units.to_ppm(_stating(spark, d), table(spark, d, "ref_unit")).drop("raw", "offset")
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
@@ -47,11 +55,11 @@ def p4_anomalies(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
-    return nested.leaf_paths(table(spark, d, "mp_cache"), ROOTS)
+    return nested.leaf_paths(_answers(spark, d), ROOTS)
 
 
 def _p5(name: str) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, d: nested.flat_tables(table(spark, d, "mp_cache"))[name]
+    return lambda spark, d: nested.flat_tables(_answers(spark, d))[name]
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
