@@ -7,7 +7,7 @@ file before it are matched by bipartite matching on this agreement, with name an
 keys without common records are compared by their sketches. Unmatched keys were added or removed. Lineages of keys
 over renames, found by pointer doubling, then name one fixed column each.
 
-Defined results: records that are not JSON objects count for nothing; a file without readable records has no keys;
+Defined results: of a file listed several times one listing counts; records that are not JSON objects count for nothing; a file without readable records has no keys;
 files without feed or order number are compared with nothing; of files with one order number the lower file_id comes
 first; a type changes only where both files have non-null values. Of a record repeated within a file one version counts
 for agreement, the smallest; keys and types use all rows. A file without the record key is keyed by its string member
@@ -53,14 +53,19 @@ UNIFIED = {
 }
 
 
+def listed(files: DataFrame) -> DataFrame:
+    """file_id, feed_name, seq_no: each file once; of several listings the one with the lowest order number counts."""
+    place = F.min(F.struct("seq_no", "feed_name"))
+    return files.where("file_id is not null").groupBy("file_id").agg(place.alias("p")).select("file_id", "p.feed_name", "p.seq_no")
+
+
 def previous_files(files: DataFrame) -> DataFrame:
     """file_id, feed_name, seq_no, prev_id: each file with the one before it in its feed.
 
     Found in buckets of order numbers, then between buckets, so that no feed is sorted by one task as a whole.
     """
-    f = files.where("file_id is not null and feed_name is not null and seq_no is not null").select(
-        "file_id", "feed_name", "seq_no", F.floor(F.col("seq_no") / BUCKET).alias("b")
-    )
+    placed = listed(files.where("feed_name is not null and seq_no is not null"))
+    f = placed.select("file_id", "feed_name", "seq_no", F.floor(F.col("seq_no") / BUCKET).alias("b"))
     order = F.struct("seq_no", "file_id")
     inner = f.withColumn("p", F.lag("file_id").over(W.partitionBy("feed_name", "b").orderBy("seq_no", "file_id")))
     ends = f.groupBy("feed_name", "b").agg(F.max(order).getField("file_id").alias("end_id"))
@@ -310,7 +315,7 @@ def lineages(files: DataFrame, found: DataFrame) -> DataFrame:
     Each rename points at the rename before it of the same content; pointers are doubled until all point at a first one,
     in as many rounds as the logarithm of the longest chain. Only rename events are handled, never files or records.
     """
-    events = found.where("change_kind = 'renamed'").join(files.select("file_id", "feed_name", "seq_no"), "file_id")
+    events = found.where("change_kind = 'renamed'").join(listed(files), "file_id")
     event = lambda key: F.xxhash64("file_id", key)
     made = events.select("feed_name", F.col("key_name").alias("k"), "seq_no", F.lit(1).alias("made"), event("key_name").alias("id"), F.lit(None).cast("string").alias("root"))
     used = events.select("feed_name", F.col("prev_key").alias("k"), "seq_no", F.lit(0).alias("made"), event("key_name").alias("id"), F.col("prev_key").alias("root"))
@@ -337,7 +342,7 @@ def unified(files: DataFrame, records: DataFrame, found: DataFrame | None = None
     profiles = written(key_profiles(cells(records)))
     found = cut(changes(files, records, profiles=profiles)) if found is None else found
     spans = lineages(files, found)
-    of_file = files.select("file_id", "feed_name", "seq_no")
+    of_file = listed(files)
     # Fields per key and file: few rows beside the records, joined on the file.
     keys = (
         profiles.join(of_file, "file_id").alias("k")

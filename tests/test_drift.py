@@ -1,5 +1,7 @@
 import json
 
+from pyspark.sql import functions as F
+
 from ferrolex.operators import drift
 from ferrolex.sources.tables import table
 
@@ -43,6 +45,19 @@ def test_edges(spark):
     assert changes(spark, [rec(1, x=None)], [rec(1, x=3)]) == set()
 
 
+def test_repeated_rows_nulls_and_clashing_columns(spark):
+    a = [rec(i, VEC=i * 1.5, x=None) for i in range(6)]
+    b = [rec(i, mean_vec=i * 1.5, x=None) for i in range(6)] * 2
+    files, records = feed(spark, a, b)
+    extra = spark.createDataFrame([(None, "feed", 1, None, None), (9, None, 3, None, None), (8, "feed", None, None, None)], files.schema)
+    lost = spark.createDataFrame([(None, None, None, None), (7, None, 1, '{"record_id": 1}'), (8, 99, 1, '{"record_id": "W-1", "z": "' + "y" * 100_000 + '"}')], records.schema)
+    clash = lambda df: df.withColumns({c: F.lit("clash") for c in ("m", "p", "key_name", "rows", "now", "next_id")})
+    files, records = clash(files.unionByName(files).unionByName(extra)), clash(records.unionByName(records).unionByName(lost))
+    assert [tuple(r) for r in drift.changes(files, records).collect()] == [(2, "VEC", "mean_vec", "renamed")]
+    rows = drift.unified(files, records).collect()
+    assert len(rows) == 2 * 18 + 2 and sum(r.vec is not None for r in rows) == 36
+
+
 def test_unified_follows_lineages(spark):
     a = [rec(i, VEC=6.0 + i / 9, composition_string=f"W0.{i}1") for i in range(1, 6)]
     b = [rec(i, mean_vec=str(6.0 + i / 9), composition_string=f"W0.{i}1", extra=[1, 2]) for i in range(3, 8)]
